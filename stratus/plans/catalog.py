@@ -13,7 +13,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratus.operators import batched, current, daily, envelope, flatten, paramquery
+from stratus.operators import (
+    batched, cities, current, daily, dedup, envelope, flatten, latest, metrics, paramquery,
+)
 from stratus.plans import oracle as O
 from stratus.plans import views as V
 
@@ -179,3 +181,426 @@ def q_batched_requests(spark, sf_dir):
     """Three requests answered in one job; equals three single runs."""
     out = batched.batched_query(V.bronze(spark, sf_dir), V.requests(spark))
     return out.withColumn("metric_pos", F.col("metric_pos").cast("int"))
+
+
+# --- latest values (E3 E4 C6 C7 C9) --------------------------------------
+def _latest_sql(where: str = "TRUE") -> str:
+    cols = ", ".join(
+        f"{O.R(f'arg_max({m}, (hour_ts, fetch_seq)) FILTER (WHERE {m} IS NOT NULL)')} AS {m}"
+        for m in ("temperature_2m", "relative_humidity_2m", "wind_speed_10m")
+    )
+    return (O.with_(O.HOURLY) + f" SELECT city_id, city_name, country, {cols} FROM hourly "
+            f"WHERE city_id IS NOT NULL AND city_id <> '' AND {where} "
+            "GROUP BY city_id, city_name, country")
+
+
+@register("latest_by_city", _latest_sql())
+def q_latest_by_city(spark, sf_dir):
+    """Last non-null value of each metric per city, by (hour, fetch)."""
+    return latest.latest_by_city(V.hourly(spark, sf_dir))
+
+
+SELECTED = ["c1", "c10", "c100"]
+
+
+@register("latest_by_city_selected",
+          _latest_sql("city_id IN (" + ", ".join(f"'{c}'" for c in SELECTED) + ")"))
+def q_latest_by_city_selected(spark, sf_dir):
+    """Anchored multi-value selector (``c1`` does not match ``c10x``)."""
+    from stratus.functions.text import label_match
+    h = V.hourly(spark, sf_dir).where(label_match("city_id", SELECTED))
+    return latest.latest_by_city(h)
+
+
+CURRENT_RANKED = O.with_(O.HOURLY) + """
+, ranked AS (
+  SELECT *,
+         row_number() OVER (PARTITION BY city_id, city_name, country, floor(fetch_seq / 24)
+                            ORDER BY hour_ts DESC, fetch_seq DESC) AS rn,
+         max(hour_ts) OVER (PARTITION BY city_id, city_name, country, floor(fetch_seq / 24)) AS last_hour,
+         max(fetch_seq) OVER (PARTITION BY city_id, city_name, country, floor(fetch_seq / 24)) AS last_seq
+  FROM hourly
+),
+cur AS (
+  SELECT city_id, city_name, country, floor(fetch_seq / 24) AS block, last_seq,
+         strftime(last_hour, '%Y-%m-%dT%H:%M:%S.%fZ') AS ts,
+         temperature_2m AS temperature_c, relative_humidity_2m AS humidity_pct,
+         wind_speed_10m AS wind_ms,
+         coalesce(temperature_2m, relative_humidity_2m, wind_speed_10m) IS NOT NULL AS has_current
+  FROM ranked WHERE rn = 1
+)"""
+
+
+@register("latest_current_by_city", CURRENT_RANKED + f"""
+SELECT city_id, city_name,
+       {O.R("arg_max(temperature_c, (ts, last_seq)) FILTER (WHERE temperature_c IS NOT NULL)")} AS temperature_c,
+       {O.R("arg_max(humidity_pct, (ts, last_seq)) FILTER (WHERE humidity_pct IS NOT NULL)")} AS humidity_pct,
+       {O.R("arg_max(wind_ms, (ts, last_seq)) FILTER (WHERE wind_ms IS NOT NULL)")} AS wind_ms
+FROM cur WHERE has_current GROUP BY city_id, city_name""")
+def q_latest_current_by_city(spark, sf_dir):
+    """Latest current values per city in arrival order."""
+    cur = current.current_flat(_envelopes(spark, sf_dir), keep=["_last_seq"])
+    return latest.latest_current_by_city(cur, order_by=("ts", "_last_seq"))
+
+
+@register("city_event_counts", CURRENT_RANKED + """
+SELECT city_id, city_name, coalesce(country, 'na') AS country, count(*) AS events
+FROM cur WHERE has_current GROUP BY 1, 2, 3""")
+def q_city_event_counts(spark, sf_dir):
+    """E5: current events per city."""
+    return metrics.city_event_counts(current.current_flat(_envelopes(spark, sf_dir)))
+
+
+@register("messages_per_poll", CURRENT_RANKED + """
+SELECT CAST(block AS BIGINT) AS poll,
+       CAST(sum(CASE WHEN has_current THEN 2 ELSE 1 END) AS BIGINT) AS messages,
+       count(*) AS cities
+FROM cur GROUP BY block""")
+def q_messages_per_poll(spark, sf_dir):
+    """Raw + current messages per poll (2 with a current value, 1 without)."""
+    vals = current.current_values(_envelopes(spark, sf_dir), keep=["block"])
+    return metrics.messages_per_poll(
+        vals.select(F.col("block").cast("bigint").alias("poll"), "has_current")
+    )
+
+
+@register("messages_by_topic", CURRENT_RANKED + """
+SELECT 'weather.raw.openmeteo' AS topic, count(*) AS messages FROM cur
+UNION ALL
+SELECT 'weather.current.metrics' AS topic, count(*) AS messages FROM cur WHERE has_current""")
+def q_messages_by_topic(spark, sf_dir):
+    """Messages produced per topic (every raw event; current when found)."""
+    vals = current.current_values(_envelopes(spark, sf_dir))
+    return vals.select(
+        F.explode(F.when(
+            F.col("has_current"),
+            F.array(F.lit("weather.raw.openmeteo"), F.lit("weather.current.metrics")),
+        ).otherwise(F.array(F.lit("weather.raw.openmeteo")))).alias("topic")
+    ).groupBy("topic").agg(F.count(F.lit(1)).alias("messages"))
+
+
+# --- rates (E12 I5) -------------------------------------------------------
+@register("event_rate_1m", O.with_(O.CITY_EVENTS) + f"""
+SELECT {O.TS("date_trunc('minute', ts)")} AS window_start, city_name,
+       {O.R('count(*) / 60.0')} AS rate
+FROM city_events GROUP BY date_trunc('minute', ts), city_name""")
+def q_event_rate_1m(spark, sf_dir):
+    """Events per second in 1-minute windows, by city name."""
+    return metrics.event_rate(V.city_events(spark, sf_dir))
+
+
+@register("event_rate_sliding", O.with_(O.CITY_EVENTS) + f"""
+, win AS (
+  SELECT city_name, time_bucket(INTERVAL 10 SECOND, ts) - k * INTERVAL '10 seconds' AS ws
+  FROM city_events, range(6) AS r(k)
+)
+SELECT {O.TS('ws')} AS window_start, city_name, {O.R('count(*) / 60.0')} AS rate
+FROM win GROUP BY ws, city_name""")
+def q_event_rate_sliding(spark, sf_dir):
+    """1-minute windows sliding every 10 s (the dashboard refresh)."""
+    return metrics.event_rate(V.city_events(spark, sf_dir), slide="10 seconds")
+
+
+# --- statuses (E6 E7 A10) -------------------------------------------------
+@register("status_latest", O.with_(O.STATUSES) + """
+SELECT request_id, status, ts, log_offset FROM (
+  SELECT *, row_number() OVER (PARTITION BY request_id ORDER BY ts DESC, log_offset DESC) AS rn
+  FROM statuses) WHERE rn = 1""")
+def q_status_latest(spark, sf_dir):
+    """Last status message per request."""
+    return latest.latest_status(V.statuses(spark, sf_dir))
+
+
+ASKED_SQL = """
+asked AS (SELECT DISTINCT concat('r', CAST(c_custkey % 250 AS VARCHAR)) AS request_id FROM customer)"""
+
+
+@register("status_with_pending", O.with_(O.STATUSES, ASKED_SQL) + """
+, last AS (
+  SELECT request_id, status, ts, log_offset FROM (
+    SELECT *, row_number() OVER (PARTITION BY request_id ORDER BY ts DESC, log_offset DESC) AS rn
+    FROM statuses) WHERE rn = 1)
+SELECT a.request_id, coalesce(l.status, 'pending') AS status, l.ts, l.log_offset
+FROM asked a LEFT JOIN last l ON a.request_id = l.request_id""")
+def q_status_with_pending(spark, sf_dir):
+    """Asked ids without any message are ``pending``."""
+    asked = V.read_table(spark, sf_dir, "customer").select(
+        F.concat(F.lit("r"), (F.col("c_custkey") % 250).cast("string")).alias("request_id")
+    )
+    return latest.latest_status(V.statuses(spark, sf_dir), asked=asked)
+
+
+@register("status_rollup", O.with_(O.TASK_STATES) + """
+, one AS (
+  SELECT run_id, task, state FROM (
+    SELECT *, row_number() OVER (PARTITION BY run_id, task
+                                 ORDER BY pk DESC, coalesce(state, '') DESC) AS rn
+    FROM task_states) WHERE rn = 1)
+SELECT run_id,
+       CASE WHEN bool_and(coalesce(state, 'unknown') = 'success') THEN 'success' ELSE 'error' END AS status,
+       string_agg(task || '=' || coalesce(state, 'unknown'), ',' ORDER BY task) AS upstream
+FROM one GROUP BY run_id""")
+def q_status_rollup(spark, sf_dir):
+    """Run outcome and sorted upstream state map (shown as text)."""
+    r = latest.status_rollup(V.task_states(spark, sf_dir))
+    return r.select("run_id", "status", latest.map_text("upstream").alias("upstream"))
+
+
+# --- labelled series (E13 E10 E11) ----------------------------------------
+@register("sum_latest_by_labels", O.with_(O.SAMPLES) + f"""
+SELECT consumergroup, topic, {O.R('sum(value)')} AS value FROM (
+  SELECT *, row_number() OVER (PARTITION BY metric, consumergroup, topic, part
+                               ORDER BY ts DESC, seq DESC) AS rn
+  FROM samples) WHERE rn = 1
+GROUP BY consumergroup, topic""")
+def q_sum_latest_by_labels(spark, sf_dir):
+    """``sum(lag) by (consumergroup, topic)`` over the latest samples."""
+    return metrics.sum_latest(
+        V.samples(spark, sf_dir), series=["metric", "consumergroup", "topic", "part"],
+        by=["consumergroup", "topic"],
+    )
+
+
+def _hist_sql() -> str:
+    from stratus.schemas import LATENCY_BUCKETS
+    cols = []
+    for b in LATENCY_BUCKETS:
+        name = metrics._bucket_name(b)  # noqa: SLF001
+        cond = "sec IS NOT NULL" if b == float("inf") else f"sec <= CAST({b!r} AS DOUBLE)"
+        cols.append(f"count_if({cond}) AS {name}")
+    return (O.with_(O.FETCH_LOG) + " SELECT kind, count(*) AS calls, count(reason) AS failures, "
+            f"{O.R('sum(sec)')} AS sum_sec, " + ", ".join(cols) + " FROM fetch_log GROUP BY kind")
+
+
+@register("fetch_histogram", _hist_sql())
+def q_fetch_histogram(spark, sf_dir):
+    """Calls, failures and cumulative latency buckets per kind."""
+    return metrics.latency_histogram(V.fetch_log(spark, sf_dir))
+
+
+@register("fetch_failures", O.with_(O.FETCH_LOG) + """
+SELECT kind, reason, count(*) AS failures FROM fetch_log WHERE reason IS NOT NULL
+GROUP BY kind, reason""")
+def q_fetch_failures(spark, sf_dir):
+    """Failures by kind and reason."""
+    return metrics.failures_by_reason(V.fetch_log(spark, sf_dir))
+
+
+# --- registry (C4 C10 H10 H11 H13 G4-G8 D1 D3 B9 B10 E9) -----------------
+@register("city_validate", O.with_(O.CITIES) + r"""
+SELECT id,
+       concat_ws(',',
+         CASE WHEN coalesce(id, '') = '' THEN 'id_empty' END,
+         CASE WHEN NOT regexp_full_match(coalesce(id, ''), '[a-z0-9][a-z0-9\-]{1,62}[a-z0-9]') THEN 'id_pattern' END,
+         CASE WHEN coalesce(length(name), 0) < 1 THEN 'name_empty' END,
+         CASE WHEN coalesce(length(country), 0) <> 2 THEN 'country_length' END,
+         CASE WHEN NOT coalesce(lat BETWEEN -90 AND 90, FALSE) THEN 'lat_range' END,
+         CASE WHEN NOT coalesce(lon BETWEEN -180 AND 180, FALSE) THEN 'lon_range' END
+       ) AS violations,
+       (coalesce(id, '') <> '' AND regexp_full_match(coalesce(id, ''), '[a-z0-9][a-z0-9\-]{1,62}[a-z0-9]')
+        AND coalesce(length(name), 0) >= 1 AND coalesce(length(country), 0) = 2
+        AND coalesce(lat BETWEEN -90 AND 90, FALSE) AND coalesce(lon BETWEEN -180 AND 180, FALSE)) AS valid
+FROM cities""")
+def q_city_validate(spark, sf_dir):
+    """Rule violations per registry row."""
+    v = cities.validate(V.cities(spark, sf_dir))
+    return v.select("id", F.array_join("violations", ",").alias("violations"), "valid")
+
+
+@register("city_slugs", O.with_(O.CITIES) + r"""
+SELECT id,
+       trim(regexp_replace(regexp_replace(regexp_replace(
+         lower(trim(concat_ws('-', name, nullif(country, '')))), '\s+', '-', 'g'),
+         '[^a-z0-9\-]+', '', 'g'), '-{2,}', '-', 'g'), '-') AS registry_slug,
+       coalesce(nullif(trim(regexp_replace(regexp_replace(lower(name),
+         '[^a-z0-9\-]+', '-', 'g'), '-+', '-', 'g'), '-'), ''), 'na') AS event_slug,
+       trim(translate(lower(concat(name, ' ', country)), ' _/', '---'), '-') AS ui_slug
+FROM cities""")
+def q_city_slugs(spark, sf_dir):
+    """The three slug forms (registry id default, event, UI)."""
+    from stratus.functions.text import slug_event, slug_ui
+    c = V.cities(spark, sf_dir)
+    return c.select(
+        "id",
+        cities.created_id().alias("registry_slug"),
+        slug_event("name").alias("event_slug"),
+        slug_ui(F.concat("name", F.lit(" "), "country")).alias("ui_slug"),
+    )
+
+
+REG_COLS = f"id, name, country, {O.R('lat')} AS lat, {O.R('lon')} AS lon, active"
+
+
+@register("city_upsert", O.with_(O.CITIES, O.CHANGES) + f"""
+SELECT {REG_COLS} FROM cities WHERE id NOT IN (SELECT id FROM changes)
+UNION ALL SELECT {REG_COLS} FROM changes""")
+def q_city_upsert(spark, sf_dir):
+    """Replace by id, else append."""
+    return cities.upsert(V.cities(spark, sf_dir), V.changes(spark, sf_dir))
+
+
+@register("city_update", O.with_(O.CITIES, O.CHANGES) + f"""
+, accepted AS (SELECT * FROM changes WHERE id IN (SELECT id FROM cities))
+SELECT {REG_COLS} FROM cities WHERE id NOT IN (SELECT id FROM accepted)
+UNION ALL SELECT {REG_COLS} FROM accepted""")
+def q_city_update(spark, sf_dir):
+    """Only existing ids are updated."""
+    reg, _ = cities.update_existing(V.cities(spark, sf_dir), V.changes(spark, sf_dir))
+    return reg
+
+
+@register("city_update_rejected", O.with_(O.CITIES, O.CHANGES) + """
+SELECT id, 'city not found' AS error FROM changes WHERE id NOT IN (SELECT id FROM cities)""")
+def q_city_update_rejected(spark, sf_dir):
+    """D3: updates of unknown ids are rejected."""
+    _, rej = cities.update_existing(V.cities(spark, sf_dir), V.changes(spark, sf_dir))
+    return rej.select("id", "error")
+
+
+@register("city_delete", O.with_(O.CITIES, O.CHANGES) + f"""
+SELECT {REG_COLS} FROM cities WHERE id NOT IN (SELECT id FROM changes)""")
+def q_city_delete(spark, sf_dir):
+    """Delete by id."""
+    reg, _ = cities.delete(V.cities(spark, sf_dir), V.changes(spark, sf_dir).select("id"))
+    return reg
+
+
+@register("city_delete_rejected", O.with_(O.CITIES, O.CHANGES) + """
+SELECT id, 'city not found' AS error FROM changes WHERE id NOT IN (SELECT id FROM cities)""")
+def q_city_delete_rejected(spark, sf_dir):
+    """D3: deletes of unknown ids are rejected."""
+    _, rej = cities.delete(V.cities(spark, sf_dir), V.changes(spark, sf_dir).select("id"))
+    return rej.select("id", "error")
+
+
+@register("city_toggle", O.with_(O.CITIES) + f"""
+SELECT id, name, country, {O.R('lat')} AS lat, {O.R('lon')} AS lon,
+       CASE WHEN country = 'AS' THEN NOT coalesce(active, TRUE) ELSE active END AS active
+FROM cities""")
+def q_city_toggle(spark, sf_dir):
+    """Flip the active flag of the chosen cities."""
+    c = V.cities(spark, sf_dir)
+    reg, _ = cities.toggle(c, c.where(F.col("country") == "AS").select("id"))
+    return reg
+
+
+@register("city_change_log", O.with_(O.CITIES, O.CHANGES) + """
+SELECT id, change_seq, 1 + row_number() OVER (ORDER BY change_seq) AS version
+FROM changes WHERE id IN (SELECT id FROM cities)""")
+def q_city_change_log(spark, sf_dir):
+    """One version per accepted change, in change order (base version 1)."""
+    c = V.cities(spark, sf_dir)
+    accepted = V.changes(spark, sf_dir).join(c.select("id"), "id", "left_semi")
+    log = cities.change_log(1, accepted.select("id", "change_seq"))
+    return log.select("id", "change_seq", F.col("version").cast("bigint").alias("version"))
+
+
+NOW_REQ = """
+now_req AS (SELECT event_id, concat(' C', CAST(user_id AS VARCHAR), ' ') AS city_id FROM events)"""
+
+ACTIVE_SQL = """
+active AS (
+  SELECT coalesce(nullif(trim(regexp_replace(regexp_replace(lower(id), '[^a-z0-9\\-]+', '-', 'g'),
+                  '-+', '-', 'g'), '-'), ''), 'na') AS id,
+         coalesce(nullif(name, ''), id) AS name,
+         coalesce(nullif(country, ''), 'na') AS country, lat, lon
+  FROM cities WHERE coalesce(active, TRUE))"""
+
+
+def _now_requests(spark, sf_dir):
+    ev = V.read_table(spark, sf_dir, "events")
+    return ev.select(
+        "event_id",
+        F.concat(F.lit(" C"), F.col("user_id").cast("string"), F.lit(" ")).alias("city_id"),
+    )
+
+
+@register("now_lookup", O.with_(O.CITIES, NOW_REQ, ACTIVE_SQL) + f"""
+SELECT r.event_id, a.id AS city_id, a.name, a.country, {O.R('a.lat')} AS lat, {O.R('a.lon')} AS lon
+FROM now_req r JOIN active a ON lower(trim(r.city_id)) = a.id""")
+def q_now_lookup(spark, sf_dir):
+    """On-demand fetch requests resolved to active cities."""
+    found, _ = cities.lookup(_now_requests(spark, sf_dir), V.cities(spark, sf_dir))
+    return found.select("event_id", "city_id", "name", "country", "lat", "lon")
+
+
+@register("now_unknown", O.with_(O.CITIES, NOW_REQ, ACTIVE_SQL) + """
+SELECT event_id, lower(trim(city_id)) AS city_id FROM now_req
+WHERE lower(trim(city_id)) NOT IN (SELECT id FROM active)""")
+def q_now_unknown(spark, sf_dir):
+    """Requested ids with no active city (logged and skipped)."""
+    _, unknown = cities.lookup(_now_requests(spark, sf_dir), V.cities(spark, sf_dir))
+    return unknown.select("event_id", "city_id")
+
+
+@register("active_cities", O.with_(O.CITIES, ACTIVE_SQL) + f"""
+SELECT id, name, country, {O.R('lat')} AS lat, {O.R('lon')} AS lon FROM active""")
+def q_active_cities(spark, sf_dir):
+    """The fetch list (active, event-slug ids, defaults)."""
+    return cities.active_for_fetch(V.cities(spark, sf_dir))
+
+
+@register("registry_counts", O.with_(O.CITIES) + """
+SELECT count(id) AS cities, count_if(coalesce(active, TRUE)) AS active_cities, 1 AS version
+FROM cities""")
+def q_registry_counts(spark, sf_dir):
+    """City count, active count, document version."""
+    reg = V.cities(spark, sf_dir).withColumn("version", F.lit(1))
+    return cities.registry_counts(reg)
+
+
+@register("registry_listing", O.with_(O.CITIES) + """
+SELECT id, name, country, printf('%.4f', lat) AS lat, printf('%.4f', lon) AS lon,
+       CASE WHEN coalesce(active, TRUE) THEN 'active' ELSE 'inactive' END AS status
+FROM cities""")
+def q_registry_listing(spark, sf_dir):
+    """Registry as listed to users."""
+    return cities.listing(V.cities(spark, sf_dir))
+
+
+@register("city_choices", O.with_(O.HOURLY) + """
+SELECT DISTINCT city_id FROM hourly WHERE city_id IS NOT NULL""")
+def q_city_choices(spark, sf_dir):
+    """Selector choices (cities that reported)."""
+    return metrics.choices(V.hourly(spark, sf_dir), "city_id")
+
+
+# --- charts, gold presence, de-dup (B8 A17 G3) ---------------------------
+def _daily_sql_cte() -> str:
+    return O.with_(O.HOURLY) + """
+, daily AS (
+  SELECT city_id, city_name, country, date,
+         avg(temperature_2m) AS avg_temperature_2m, min(temperature_2m) AS min_temperature_2m,
+         max(temperature_2m) AS max_temperature_2m,
+         avg(relative_humidity_2m) AS avg_relative_humidity_2m,
+         avg(wind_speed_10m) AS avg_wind_speed_10m
+  FROM hourly GROUP BY city_id, city_name, country, date)"""
+
+
+@register("chart_series", _daily_sql_cte() + " " + " UNION ALL ".join(
+    f"SELECT city_id, {O.D('date')} AS date, '{c}' AS series, {O.R(c)} AS value FROM daily"
+    for c in ("avg_temperature_2m", "min_temperature_2m", "max_temperature_2m",
+              "avg_relative_humidity_2m", "avg_wind_speed_10m")))
+def q_chart_series(spark, sf_dir):
+    """One chart series per aggregate column."""
+    return metrics.chart_series(daily.daily_aggregate(V.bronze(spark, sf_dir)))
+
+
+PRESENCE_DAY = "2024-01-15"
+
+
+@register("partition_presence", _daily_sql_cte() + f"""
+SELECT '{PRESENCE_DAY}' AS date, count(*) AS n_rows, count(*) > 0 AS present
+FROM daily WHERE date = DATE '{PRESENCE_DAY}'""")
+def q_partition_presence(spark, sf_dir):
+    """Rows of one day in the gold table."""
+    return daily.partition_presence(daily.daily_aggregate(V.bronze(spark, sf_dir)), PRESENCE_DAY)
+
+
+@register("hourly_dedup", O.with_(O.HOURLY) + f"""
+SELECT {BRONZE_COLS}, fetch_seq FROM (
+  SELECT *, row_number() OVER (PARTITION BY city_id, hour_ts ORDER BY fetch_seq DESC) AS rn
+  FROM hourly) WHERE rn = 1""")
+def q_hourly_dedup(spark, sf_dir):
+    """Last fetch per (city, hour)."""
+    return dedup.last_fetch(V.hourly(spark, sf_dir))

@@ -113,11 +113,18 @@ fetch_log AS (
 
 CHANGES = """,
 changes AS (
-  SELECT id, concat(name, ' v2') AS name, country, lat, lon, NOT active AS active
-  FROM cities WHERE length(id) % 2 = 0
+  SELECT id, concat(name, ' v2') AS name, country, lat, lon, NOT active AS active,
+         city_key * 2 AS change_seq
+  FROM cities_k WHERE length(id) % 2 = 0
   UNION ALL
-  SELECT concat('n', id) AS id, name, country, lat, lon, active
-  FROM cities WHERE country = 'EU'
+  SELECT concat('n', id) AS id, name, country, lat, lon, active, city_key * 2 + 1 AS change_seq
+  FROM cities_k WHERE country = 'EU'
+)"""
+
+CITY_EVENTS = CITIES_K + """,
+city_events AS (
+  SELECT e.event_id, e.ts, e.event_type, c.id AS city_id, c.name AS city_name, c.country
+  FROM events e JOIN cities_k c ON c.city_key = e.user_id
 )"""
 
 REQUESTS = """

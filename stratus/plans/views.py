@@ -72,6 +72,16 @@ def hourly(spark: SparkSession, sf_dir: str, with_seq: bool = True) -> DataFrame
     return j.select(*cols)
 
 
+def city_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with their city labels and a session-zone ``ts``."""
+    ev = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
+    c = _cities_keyed(spark, sf_dir).select("city_key", "id", "name", "country")
+    return ev.join(c, ev["user_id"] == c["city_key"]).select(
+        "event_id", F.col("ts").cast("timestamp").alias("ts"), "event_type",
+        F.col("id").alias("city_id"), F.col("name").alias("city_name"), "country",
+    )
+
+
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly rows with exactly the bronze columns."""
     return hourly(spark, sf_dir, with_seq=False)
@@ -137,14 +147,16 @@ def fetch_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Registry change set: renamed/toggled existing cities + new ones."""
-    c = cities(spark, sf_dir)
+    """Registry change set: renamed/toggled existing cities + new ones.
+    ``change_seq`` orders the changes (edits on even, additions on odd)."""
+    c = _cities_keyed(spark, sf_dir)
     edits = c.where(F.length("id") % 2 == 0).select(
         "id", F.concat("name", F.lit(" v2")).alias("name"), "country", "lat", "lon",
-        (~F.col("active")).alias("active"),
+        (~F.col("active")).alias("active"), (F.col("city_key") * 2).alias("change_seq"),
     )
     new = c.where(F.col("country") == "EU").select(
-        F.concat(F.lit("n"), "id").alias("id"), "name", "country", "lat", "lon", "active"
+        F.concat(F.lit("n"), "id").alias("id"), "name", "country", "lat", "lon", "active",
+        (F.col("city_key") * 2 + 1).alias("change_seq"),
     )
     return edits.unionByName(new)
 
