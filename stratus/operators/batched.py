@@ -89,7 +89,12 @@ def batched_query(bronze: DataFrame, requests: DataFrame) -> DataFrame:
     Output: request_id, city_id, city_name, country, date, metric, metric_pos,
     agg, value.  Pivot one request with :func:`to_wide`.
     """
-    stats = daily_stats(bronze)
+    return batched_from_stats(daily_stats(bronze), requests)
+
+
+def batched_from_stats(stats: DataFrame, requests: DataFrame) -> DataFrame:
+    """Same, over a stored :func:`daily_stats` table (the request stream reads
+    that small gold table instead of rescanning the hourly rows)."""
     req = normalize_requests(requests).where(F.col("error").isNull())
     per_metric = req.select(
         "request_id", "city_ids", "date_from", "date_to", "agg",

@@ -42,6 +42,13 @@ def read_registry(spark: SparkSession, path: str) -> DataFrame:
     ).where(F.col("id").isNotNull() | F.col("name").isNotNull())
 
 
+def read_registry_version(spark: SparkSession, root: str, version: int) -> DataFrame:
+    """A12 for folders written by ``write_registry`` (one city per line)."""
+    ddl = ("version int, updated_at string, updated_by string, id string, name string, "
+           "country string, lat double, lon double, active boolean")
+    return spark.read.schema(ddl).json(f"{root}/v={version}")
+
+
 def read_statuses(spark: SparkSession, path: str) -> DataFrame:
     """A10: the whole status log (JSON lines); ``ts`` normalised to a
     timestamp in ``ts_norm``; a file's arrival order kept in ``log_offset``."""
