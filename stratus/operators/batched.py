@@ -111,16 +111,21 @@ def batched_from_stats(stats: DataFrame, requests: DataFrame) -> DataFrame:
         .join(stats, ["city_id", "metric"])
         .where(in_range)
     )
-    # Open bounds are closed with the data's first and last day (scalar
-    # subqueries over the stats), so the day range stays finite.
+    # Open bounds are closed with the data's first and last day (one scalar
+    # subquery each, evaluated once), so the day range stays finite.
     lo = stats.select(F.min("date")).scalar()
     hi = stats.select(F.max("date")).scalar()
-    start = F.greatest(F.coalesce("date_from", lo), lo)
-    stop = F.least(F.coalesce("date_to", hi), hi)
+    bounded = per_metric.where(F.size("city_ids") == 0).select(
+        "request_id", "agg", "metric_pos", "metric",
+        F.greatest(F.coalesce(F.col("date_from"), lo), lo).alias("_start"),
+        F.least(F.coalesce(F.col("date_to"), hi), hi).alias("_stop"),
+    )
     every_city = (
-        per_metric.where(F.size("city_ids") == 0)
-        .select("request_id", "agg", "metric_pos", "metric",
-                F.explode(F.when(start <= stop, F.sequence(start, stop))).alias("date"))
+        bounded.select(
+            "request_id", "agg", "metric_pos", "metric",
+            F.explode(F.when(F.col("_start") <= F.col("_stop"),
+                             F.sequence("_start", "_stop"))).alias("date"),
+        )
         .join(stats, ["date", "metric"])
     )
     cols = ["request_id", *KEYS, "metric", "metric_pos", "agg"]
@@ -136,6 +141,14 @@ def batched_from_stats(stats: DataFrame, requests: DataFrame) -> DataFrame:
     )
 
 
+def write_stats(stats: DataFrame, path: str) -> None:
+    """Store :func:`daily_stats` as a gold table partitioned by ``date``
+    (built by the daily job; read by the request stream)."""
+    (stats.repartition("date").sortWithinPartitions("city_id", "metric")
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("date").parquet(path))
+
+
 def request_errors(requests: DataFrame) -> DataFrame:
     """(request_id, error) for requests that cannot run."""
     return normalize_requests(requests).where(F.col("error").isNotNull()).select(
