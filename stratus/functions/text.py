@@ -75,3 +75,8 @@ def label_match(c: ColumnOrName, values: Iterable[str] | None) -> Column:
     if not vals:
         return F.lit(True)
     return _c(c).rlike("^(?:" + "|".join(_quote(v) for v in vals) + ")$")
+
+
+def result_path(base: str, request_id: ColumnOrName) -> Column:
+    """Result folder of a request (``{base}/{request_id}``)."""
+    return F.concat(F.lit(base.rstrip("/") + "/"), _c(request_id))

@@ -72,6 +72,14 @@ def active_for_fetch(cities: DataFrame) -> DataFrame:
     )
 
 
+def create(base: DataFrame, new: DataFrame) -> DataFrame:
+    """Create cities (H13 H15): country upper-cased, id always derived from
+    ``name-country`` (a given id is ignored), then upserted by that id."""
+    rows = new.withColumn("country", F.upper("country")).withColumn("id", created_id())
+    rows = rows.withColumn("active", is_active())
+    return upsert(base, rows.select(*CITY_COLS))
+
+
 def upsert(base: DataFrame, changes: DataFrame, order_col: str | None = None) -> DataFrame:
     """Replace the row with the same id, else append.  With several
     changes to one id, the one with the largest ``order_col`` wins."""

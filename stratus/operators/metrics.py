@@ -114,6 +114,11 @@ def chart_series(result: DataFrame, prefixes: Sequence[str] = SERIES_PREFIXES) -
     return result.unpivot(["city_id", "date"], cols, "series", "value")
 
 
+def default_choice(df: DataFrame, label: str, n: int = 1) -> DataFrame:
+    """The first ``n`` choices in sorted order (the selector's default)."""
+    return choices(df, label).orderBy(label).limit(n)
+
+
 def choices(df: DataFrame, label: str) -> DataFrame:
     """Distinct values of a label (a selector's choice list)."""
     return df.select(label).where(F.col(label).isNotNull()).distinct()

@@ -565,6 +565,30 @@ def q_city_choices(spark, sf_dir):
     return metrics.choices(V.hourly(spark, sf_dir), "city_id")
 
 
+@register("default_city_choice", O.with_(O.HOURLY) + """
+SELECT city_id FROM (SELECT DISTINCT city_id FROM hourly WHERE city_id IS NOT NULL)
+ORDER BY city_id LIMIT 1""")
+def q_default_city_choice(spark, sf_dir):
+    """The selector's default (first city id); the limit is the feature."""
+    return metrics.default_choice(V.hourly(spark, sf_dir), "city_id")
+
+
+@register("city_create", O.with_(O.CITIES) + r"""
+, created AS (
+  SELECT trim(regexp_replace(regexp_replace(regexp_replace(
+           lower(trim(concat_ws('-', name, nullif(lower(country), '')))), '\s+', '-', 'g'),
+           '[^a-z0-9\-]+', '', 'g'), '-{2,}', '-', 'g'), '-') AS id,
+         name, upper(country) AS country, lat, lon, coalesce(active, TRUE) AS active
+  FROM cities WHERE country = 'AM')""" + f"""
+SELECT {REG_COLS} FROM cities WHERE id NOT IN (SELECT id FROM created)
+UNION ALL SELECT {REG_COLS} FROM created""")
+def q_city_create(spark, sf_dir):
+    """create = id from name-country (given id ignored), upper country."""
+    c = V.cities(spark, sf_dir)
+    new = c.where(F.col("country") == "AM").withColumn("country", F.lower("country"))
+    return cities.create(c, new)
+
+
 # --- charts, gold presence, de-dup (B8 A17 G3) ---------------------------
 def _daily_sql_cte() -> str:
     return O.with_(O.HOURLY) + """
