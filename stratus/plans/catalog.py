@@ -18,6 +18,7 @@ from stratus.operators import (
 )
 from stratus.plans import oracle as O
 from stratus.plans import views as V
+from stratus.sources.streams import TOPIC_CURRENT, TOPIC_RAW
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -264,18 +265,18 @@ def q_messages_per_poll(spark, sf_dir):
     )
 
 
-@register("messages_by_topic", CURRENT_RANKED + """
-SELECT 'weather.raw.openmeteo' AS topic, count(*) AS messages FROM cur
+@register("messages_by_topic", CURRENT_RANKED + f"""
+SELECT '{TOPIC_RAW}' AS topic, count(*) AS messages FROM cur
 UNION ALL
-SELECT 'weather.current.metrics' AS topic, count(*) AS messages FROM cur WHERE has_current""")
+SELECT '{TOPIC_CURRENT}' AS topic, count(*) AS messages FROM cur WHERE has_current""")
 def q_messages_by_topic(spark, sf_dir):
     """Messages produced per topic (every raw event; current when found)."""
     vals = current.current_values(_envelopes(spark, sf_dir))
     return vals.select(
         F.explode(F.when(
             F.col("has_current"),
-            F.array(F.lit("weather.raw.openmeteo"), F.lit("weather.current.metrics")),
-        ).otherwise(F.array(F.lit("weather.raw.openmeteo")))).alias("topic")
+            F.array(F.lit(TOPIC_RAW), F.lit(TOPIC_CURRENT)),
+        ).otherwise(F.array(F.lit(TOPIC_RAW)))).alias("topic")
     ).groupBy("topic").agg(F.count(F.lit(1)).alias("messages"))
 
 
