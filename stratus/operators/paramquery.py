@@ -61,7 +61,7 @@ def resolve(conf: Mapping[str, Any] | None = None, **kw: Any) -> QueryParams:
     """
     c = {k: v for k, v in {**(conf or {}), **kw}.items() if v is not None}
     rid = c.get("request_id") or DEFAULT_REQUEST_ID
-    metrics_in = list(c.get("metrics") or DEFAULT_METRICS)
+    metrics_in = c.get("metrics") or list(DEFAULT_METRICS)   # list or CSV text
     agg = (c.get("agg") or DEFAULT_AGG).lower()
     if agg not in AGGS:
         raise RequestError(f"invalid agg: {agg!r} (expected one of {', '.join(AGGS)})")

@@ -40,6 +40,8 @@ def test_resolve_lists_and_case():
     assert p.metrics == ("wind_speed_10m", "temperature_2m")
     assert p.agg == "max" and p.date_from == dt.date(2024, 1, 2)
     assert p.columns == ["max_wind_speed_10m", "max_temperature_2m"]
+    q = resolve(city_ids="a, b", metrics="relative_humidity_2m, bogus")   # CSV text form
+    assert q.city_ids == ("a", "b") and q.metrics == ("relative_humidity_2m",)
 
 
 @pytest.mark.parametrize("conf", [
