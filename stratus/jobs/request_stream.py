@@ -28,7 +28,7 @@ def main(argv: list[str] | None = None) -> int:
     spark = get_session("query-runner")
     src = Source(a.source, path=a.requests, topic=a.topic, bootstrap=a.bootstrap,
                  starting_offsets=START_LATEST)
-    q = start_requests(read_stream(spark, src), spark.read.parquet(a.stats), a.results,
+    q = start_requests(read_stream(spark, src), a.stats, a.results,
                        a.status, a.checkpoint, {"availableNow": True} if a.once else None)
     q.awaitTermination()
     return 0
