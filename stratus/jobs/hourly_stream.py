@@ -24,6 +24,10 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--bootstrap", default=None)
     p.add_argument("--topic", default=TOPIC_RAW)
     p.add_argument("--starting-offsets", default=START_LATEST)
+    p.add_argument("--min-partitions", default=None,
+                   help="kafka: split large topic partitions into at least this many tasks")
+    p.add_argument("--max-per-trigger", default=None,
+                   help="kafka: maxOffsetsPerTrigger; files: maxFilesPerTrigger")
     p.add_argument("--bronze", required=True)
     p.add_argument("--partition-by-date", action="store_true")
     p.add_argument("--messages", default=None, help="JSON folder for hourly messages")
@@ -34,8 +38,16 @@ def main(argv: list[str] | None = None) -> int:
     a = p.parse_args(argv)
 
     spark = get_session("weather-streaming-hourly")
+    opts = {}
+    if a.source == "kafka":
+        if a.min_partitions:
+            opts["minPartitions"] = a.min_partitions
+        if a.max_per_trigger:
+            opts["maxOffsetsPerTrigger"] = a.max_per_trigger
+    elif a.max_per_trigger:
+        opts["maxFilesPerTrigger"] = a.max_per_trigger
     src = Source(a.source, path=a.raw_path, topic=a.topic, bootstrap=a.bootstrap,
-                 starting_offsets=a.starting_offsets)
+                 starting_offsets=a.starting_offsets, options=opts)
     bronze = Sink("parquet", path=a.bronze,
                   partition_by=("date",) if a.partition_by_date else ())
     if a.messages_topic:

@@ -2,8 +2,11 @@
 
 Kafka and a directory of JSON-lines files are interchangeable: both give a
 ``value`` text column (Kafka adds ``timestamp``, ``partition``, ``offset`` for
-arrival order).  Kafka needs the ``spark-sql-kafka-0-10_2.13`` package on the
-classpath; the file twin needs nothing and is what the tests run.
+arrival order).  A topic partition that carries a large share of the events
+is split into several tasks with the Kafka option ``minPartitions``;
+``maxOffsetsPerTrigger`` / ``maxFilesPerTrigger`` bound each micro-batch.
+Kafka needs the ``spark-sql-kafka-0-10_2.13`` package on the classpath; the
+file twin needs nothing and is what the tests run.
 """
 
 from __future__ import annotations

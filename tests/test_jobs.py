@@ -21,12 +21,17 @@ def test_jobs_end_to_end(spark, tmp, capsys):
     assert hourly_stream.main([
         "--source", "files", "--raw-path", f"{tmp}/raw", "--bronze", f"{tmp}/bronze",
         "--partition-by-date", "--messages", f"{tmp}/msgs", "--checkpoint", f"{tmp}/ckpt",
-        "--trigger", "once"]) == 0
+        "--trigger", "once", "--max-per-trigger", "1"]) == 0
     assert spark.read.parquet(f"{tmp}/bronze").count() == 4
 
     assert daily.main(["--bronze", f"{tmp}/bronze", "--gold", f"{tmp}/gold",
                        "--stats", f"{tmp}/stats", "--check-day", "2025-01-01"]) == 0
     assert "rows=2 present=True" in capsys.readouterr().out
+    # Incremental run over one day replaces only that day.
+    assert daily.main(["--bronze", f"{tmp}/bronze", "--gold", f"{tmp}/gold",
+                       "--date-from", "2025-01-01", "--date-to", "2025-01-01",
+                       "--check-day", "2025-01-01"]) == 0
+    assert spark.read.parquet(f"{tmp}/gold").count() == 2
 
     assert run_query.main(["--bronze", f"{tmp}/bronze", "--out-base", f"{tmp}/q",
                            "--request_id", "r1", "--city_ids", "a", "--metrics",
