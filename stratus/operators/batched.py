@@ -112,9 +112,9 @@ def batched_from_stats(stats: DataFrame, requests: DataFrame) -> DataFrame:
         .where(in_range)
     )
     # Open bounds are closed with the data's first and last day (one scalar
-    # subquery each, evaluated once), so the day range stays finite.
-    lo = stats.select(F.min("date")).scalar()
-    hi = stats.select(F.max("date")).scalar()
+    # subquery returning both, evaluated once), so the day range stays finite.
+    bounds = stats.select(F.struct(F.min("date").alias("lo"), F.max("date").alias("hi"))).scalar()
+    lo, hi = bounds.getField("lo"), bounds.getField("hi")
     bounded = per_metric.where(F.size("city_ids") == 0).select(
         "request_id", "agg", "metric_pos", "metric",
         F.greatest(F.coalesce(F.col("date_from"), lo), lo).alias("_start"),
