@@ -51,3 +51,32 @@ def test_jobs_end_to_end(spark, tmp, capsys):
     for rid, word in (("x", "success"), ("y", "error"), ("z", "pending")):
         assert status.main(["--status", f"{tmp}/status", "--request_id", rid]) == 0
         assert json.loads(capsys.readouterr().out.strip().splitlines()[-1])["status"] == word
+
+
+def test_registry_job(spark, tmp):
+    from stratus.jobs import registry
+    doc = {"version": 5, "updated_at": "2025-09-25T12:26:15Z", "updated_by": "x", "cities": [
+        {"id": "paris-fr", "name": "Paris", "country": "FR", "lat": 48.8566, "lon": 2.3522, "active": True},
+        {"id": "lyon-fr", "name": "Lyon", "country": "FR", "lat": 45.764, "lon": 4.8357, "active": True}]}
+    with open(f"{tmp}/cities.json", "w") as f:
+        json.dump(doc, f)
+    changes = [
+        {"op": "create", "seq": 1, "name": "Saint Étienne", "country": "fr", "lat": 45.4, "lon": 4.4},
+        {"op": "create", "seq": 2, "name": "Nowhere", "country": "FR", "lat": 99.0, "lon": 0.0},
+        {"op": "update", "seq": 3, "id": "paris-fr", "name": "Paris", "country": "FR",
+         "lat": 48.0, "lon": 2.0, "active": True},
+        {"op": "update", "seq": 4, "id": "ghost", "name": "G", "country": "FR", "lat": 0.0, "lon": 0.0},
+        {"op": "toggle", "seq": 5, "id": "lyon-fr"},
+        {"op": "delete", "seq": 6, "id": "ghost2"},
+    ]
+    _lines(f"{tmp}/changes", [json.dumps(c) for c in changes])
+    assert registry.main(["--registry", f"{tmp}/cities.json", "--changes", f"{tmp}/changes",
+                          "--out-root", f"{tmp}/reg", "--version", "6", "--user", "tests",
+                          "--rejected", f"{tmp}/rej"]) == 0
+    reg = {r.id: r for r in spark.read.json(f"{tmp}/reg/v=6").collect()}
+    assert set(reg) == {"paris-fr", "lyon-fr", "saint-tienne-fr"}
+    assert reg["paris-fr"].lat == 48.0 and reg["lyon-fr"].active is False
+    assert reg["saint-tienne-fr"].country == "FR"
+    rej = {r.id: r.error for r in spark.read.json(f"{tmp}/rej").collect()}
+    assert rej == {"nowhere-fr": "invalid: lat_range", "ghost": "city not found",
+                   "ghost2": "city not found"}
