@@ -42,6 +42,21 @@ def live_rate(
     return event_rate(df, ts=ts, by=by, width=width, slide=slide)
 
 
+def live_last_fetch(stream: DataFrame, watermark: str = "2 days",
+                    order_by: Sequence[str] = ("ingested_at",)) -> DataFrame:
+    """G3 on a stream: last fetch per (city_id, hour_ts).  The watermark on
+    ``hour_ts`` (a grouping key) bounds the state: an hour is final, emitted
+    in append mode and dropped from state, once the watermark passes it."""
+    keys = ("city_id", "hour_ts")
+    rest = [c for c in stream.columns if c not in keys]
+    return (
+        stream.withWatermark("hour_ts", watermark)
+        .groupBy(*keys)
+        .agg(F.max_by(F.struct(*rest), F.struct(*order_by)).alias("_r"))
+        .select(*keys, "_r.*")
+    )
+
+
 def start_snapshot(df: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
                    output_mode: str = "complete") -> StreamingQuery:
     """Keep a Parquet snapshot of an aggregating stream.
@@ -63,3 +78,15 @@ def start_snapshot(df: DataFrame, path: str, checkpoint: str, trigger: dict | No
     if trigger:
         w = w.trigger(**trigger)
     return w.start()
+
+
+def read_updates(spark, path: str, keys: Sequence[str]) -> DataFrame:
+    """Read an ``update``-mode snapshot: the newest row per key across the
+    ``batch=<id>`` folders (a ``max_by`` aggregate, no single-task step)."""
+    df = spark.read.parquet(path)
+    rest = [c for c in df.columns if c not in (*keys, "batch_id", "batch")]
+    return (
+        df.groupBy(*keys)
+        .agg(F.max_by(F.struct(*rest), F.col("batch_id")).alias("_r"))
+        .select(*keys, "_r.*")
+    )

@@ -80,3 +80,42 @@ def test_registry_job(spark, tmp):
     rej = {r.id: r.error for r in spark.read.json(f"{tmp}/rej").collect()}
     assert rej == {"nowhere-fr": "invalid: lat_range", "ghost": "city not found",
                    "ghost2": "city not found"}
+
+
+def test_live_job(spark, tmp):
+    from stratus.jobs import live
+    msgs = [
+        {"key": "a|2025010100", "value": json.dumps({"city_id": "a", "city_name": "A", "country": "FR",
+                                                     "hour_ts": "2025-01-01T00:00:00Z", "temperature_2m": 1.0})},
+        {"key": "a|2025010101", "value": json.dumps({"city_id": "a", "city_name": "A", "country": "FR",
+                                                     "hour_ts": "2025-01-01T01:00:00Z", "wind_speed_10m": 3.0})},
+    ]
+    _lines(f"{tmp}/msgs", [json.dumps(m) for m in msgs])
+    cur = [{"city_id": "a", "city_name": "A", "country": "FR", "ts": f"2025-01-01T00:0{i}:00Z",
+            "temperature_c": 1.0} for i in range(3)]
+    cur.append({"city_id": "a", "city_name": "A", "country": "FR", "ts": "2025-01-01T01:00:00Z"})
+    _lines(f"{tmp}/cur", [json.dumps(c) for c in cur])
+    assert live.main(["--source", "files", "--messages", f"{tmp}/msgs", "--latest-out", f"{tmp}/latest",
+                      "--current", f"{tmp}/cur", "--rate-out", f"{tmp}/rate",
+                      "--checkpoint", f"{tmp}/ckpt", "--once"]) == 0
+    r = spark.read.parquet(f"{tmp}/latest").collect()
+    assert [(x.city_id, x.temperature_2m, x.wind_speed_10m) for x in r] == [("a", 1.0, 3.0)]
+    rates = spark.read.parquet(f"{tmp}/rate").collect()
+    assert len(rates) == 3 and all(x.rate == 1 / 60 for x in rates)
+
+
+def test_stream_last_fetch(spark, tmp):
+    import datetime as dt
+    from stratus.streaming.live import live_last_fetch
+    rows_ = [{"city_id": "a", "hour_ts": "2025-01-01T00:00:00Z", "t": float(i),
+              "ingested_at": f"2025-01-01T00:0{i}:00Z"} for i in range(3)]
+    rows_.append({"city_id": "a", "hour_ts": "2025-01-05T00:00:00Z", "t": 9.0,
+                  "ingested_at": "2025-01-05T00:00:00Z"})
+    _lines(f"{tmp}/in", [json.dumps(x) for x in rows_])
+    s = spark.readStream.schema("city_id string, hour_ts timestamp, t double, ingested_at string").json(f"{tmp}/in")
+    q = (live_last_fetch(s, watermark="1 day").writeStream.outputMode("append").format("parquet")
+         .option("path", f"{tmp}/out").option("checkpointLocation", f"{tmp}/ck")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    out = spark.read.parquet(f"{tmp}/out").collect()
+    assert [(x.hour_ts, x.t) for x in out] == [(dt.datetime(2025, 1, 1), 2.0)]   # later hour still open
