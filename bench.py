@@ -73,6 +73,8 @@ def main() -> None:
         "daily_stats_build": lambda: batched.daily_stats(bronze()),
         "batched_requests": lambda: batched.batched_from_stats(
             spark.read.parquet(stats_path), V.requests(spark)),
+        "batched_many_requests": lambda: batched.batched_from_stats(
+            spark.read.parquet(stats_path), V.order_requests(spark, SF_DIR)),
         "hourly_dedup": lambda: dedup.last_fetch(bronze()),
         "event_rate_1m": lambda: metrics.event_rate(V.city_events(spark, SF_DIR)),
         "status_rollup": lambda: latest.status_rollup(V.task_states(spark, SF_DIR)),

@@ -48,15 +48,19 @@ def norm_id(c: ColumnOrName) -> Column:
     return F.lower(strip_ws(_c(c)))
 
 
+# Every character Python's str.strip() removes (derived by rule, not listed).
+WHITESPACE = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
+
+
 def strip_ws(c: ColumnOrName) -> Column:
-    """Strip leading/trailing whitespace of any kind (``trim`` only drops spaces)."""
-    return F.regexp_replace(_c(c), r"^\s+|\s+$", "")
+    """Strip leading/trailing whitespace of any kind (plain ``trim`` only drops
+    spaces); a character-set trim, no regex."""
+    return F.trim(_c(c), F.lit(WHITESPACE))
 
 
 def csv_to_list(c: ColumnOrName) -> Column:
-    """'a, b,,c' -> ['a','b','c']: split on commas, strip, drop blanks."""
-    parts = F.transform(F.split(_c(c), ","), strip_ws)
-    return F.filter(parts, lambda x: x != F.lit(""))
+    """'a, b,,c' -> ['a','b','c']: split on commas, strip entries, drop blanks."""
+    return F.array_remove(F.transform(F.split(_c(c), ","), strip_ws), "")
 
 
 def list_to_csv(c: ColumnOrName) -> Column:

@@ -55,31 +55,35 @@ def normalize_requests(requests: DataFrame) -> DataFrame:
     """Request rows -> resolved parameters plus an ``error`` text (NULL if OK).
 
     Same rules as :func:`stratus.operators.paramquery.resolve`, as columns.
+    Built in two projections: the text work (list parsing, whitelist, date
+    parsing) once per row, then the cheap checks on its results, so no
+    expensive expression is inlined several times.
     """
-    empty_or_null = lambda c: c.isNull() | (F.size(c) == 0)
     metrics_in = F.when(
-        empty_or_null(F.col("metrics")), F.array(*[F.lit(m) for m in DEFAULT_METRICS])
+        F.col("metrics").isNull() | (F.size("metrics") == 0),
+        F.array(*[F.lit(m) for m in DEFAULT_METRICS]),
     ).otherwise(F.col("metrics"))
-    metrics = keep_known(_csv_list(metrics_in))
-    agg = F.lower(F.coalesce(F.nullif(F.col("agg"), F.lit("")), F.lit(DEFAULT_AGG)))
-    dfrom_txt = F.nullif(F.trim(F.col("date_from")), F.lit(""))
-    dto_txt = F.nullif(F.trim(F.col("date_to")), F.lit(""))
-    dfrom = dfrom_txt.try_cast("date")
-    dto = dto_txt.try_cast("date")
-    error = (
-        F.when(~agg.isin(*AGGS), F.concat(F.lit("invalid agg: "), agg))
-        .when(F.size(metrics) == 0, F.lit("no valid metric requested"))
-        .when(dfrom_txt.isNotNull() & dfrom.isNull(), F.concat(F.lit("invalid date_from: "), dfrom_txt))
-        .when(dto_txt.isNotNull() & dto.isNull(), F.concat(F.lit("invalid date_to: "), dto_txt))
-    )
-    return requests.select(
+    parsed = requests.select(
         F.coalesce(F.nullif(F.col("request_id"), F.lit("")), F.lit(DEFAULT_REQUEST_ID)).alias("request_id"),
         _csv_list(F.col("city_ids")).alias("city_ids"),
-        dfrom.alias("date_from"),
-        dto.alias("date_to"),
-        metrics.alias("metrics"),
-        agg.alias("agg"),
-        error.alias("error"),
+        keep_known(_csv_list(metrics_in)).alias("metrics"),
+        F.lower(F.coalesce(F.nullif(F.col("agg"), F.lit("")), F.lit(DEFAULT_AGG))).alias("agg"),
+        F.nullif(F.trim(F.col("date_from")), F.lit("")).alias("_from_txt"),
+        F.nullif(F.trim(F.col("date_to")), F.lit("")).alias("_to_txt"),
+    )
+    dfrom = F.col("_from_txt").try_cast("date")
+    dto = F.col("_to_txt").try_cast("date")
+    error = (
+        F.when(~F.col("agg").isin(*AGGS), F.concat(F.lit("invalid agg: "), F.col("agg")))
+        .when(F.size("metrics") == 0, F.lit("no valid metric requested"))
+        .when(F.col("_from_txt").isNotNull() & dfrom.isNull(),
+              F.concat(F.lit("invalid date_from: "), F.col("_from_txt")))
+        .when(F.col("_to_txt").isNotNull() & dto.isNull(),
+              F.concat(F.lit("invalid date_to: "), F.col("_to_txt")))
+    )
+    return parsed.select(
+        "request_id", "city_ids", dfrom.alias("date_from"), dto.alias("date_to"),
+        "metrics", "agg", error.alias("error"),
     )
 
 
@@ -95,17 +99,21 @@ def batched_query(bronze: DataFrame, requests: DataFrame) -> DataFrame:
 def batched_from_stats(stats: DataFrame, requests: DataFrame) -> DataFrame:
     """Same, over a stored :func:`daily_stats` table (the request stream reads
     that small gold table instead of rescanning the hourly rows)."""
-    req = normalize_requests(requests).where(F.col("error").isNull())
+    # No row filters on parsed columns: a filter would be pushed below the
+    # projection and re-run the parsing.  Invalid requests explode no metric,
+    # requests without cities explode no city, and an empty or inverted day
+    # range explodes no day.
+    req = normalize_requests(requests)
     per_metric = req.select(
         "request_id", "city_ids", "date_from", "date_to", "agg",
-        F.posexplode("metrics").alias("metric_pos", "metric"),
+        F.posexplode(F.when(F.col("error").isNull(), F.col("metrics"))).alias("metric_pos", "metric"),
     )
     in_range = (
         (F.col("date_from").isNull() | (F.col("date") >= F.col("date_from")))
         & (F.col("date_to").isNull() | (F.col("date") <= F.col("date_to")))
     )
     listed = (
-        per_metric.where(F.size("city_ids") > 0)
+        per_metric
         .select("request_id", "date_from", "date_to", "agg", "metric_pos", "metric",
                 F.explode(F.array_distinct("city_ids")).alias("city_id"))
         .join(stats, ["city_id", "metric"])
@@ -115,15 +123,15 @@ def batched_from_stats(stats: DataFrame, requests: DataFrame) -> DataFrame:
     # subquery returning both, evaluated once), so the day range stays finite.
     bounds = stats.select(F.struct(F.min("date").alias("lo"), F.max("date").alias("hi"))).scalar()
     lo, hi = bounds.getField("lo"), bounds.getField("hi")
-    bounded = per_metric.where(F.size("city_ids") == 0).select(
-        "request_id", "agg", "metric_pos", "metric",
+    bounded = per_metric.select(
+        "request_id", "agg", "metric_pos", "metric", "city_ids",
         F.greatest(F.coalesce(F.col("date_from"), lo), lo).alias("_start"),
         F.least(F.coalesce(F.col("date_to"), hi), hi).alias("_stop"),
     )
     every_city = (
         bounded.select(
             "request_id", "agg", "metric_pos", "metric",
-            F.explode(F.when(F.col("_start") <= F.col("_stop"),
+            F.explode(F.when((F.size("city_ids") == 0) & (F.col("_start") <= F.col("_stop")),
                              F.sequence("_start", "_stop"))).alias("date"),
         )
         .join(stats, ["date", "metric"])

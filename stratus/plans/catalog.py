@@ -184,6 +184,38 @@ def q_batched_requests(spark, sf_dir):
     return out.withColumn("metric_pos", F.col("metric_pos").cast("int"))
 
 
+@register("batched_requests_orders", O.with_(O.HOURLY) + f"""
+, req AS (
+  SELECT concat('o', CAST(o_orderkey AS VARCHAR)) AS request_id,
+         concat('c', CAST(o_custkey AS VARCHAR)) AS city_id,
+         DATE '2024-01-01' + CAST(o_orderkey % 20 AS INTEGER) AS dfrom,
+         DATE '2024-01-01' + CAST(o_orderkey % 20 AS INTEGER) + 7 AS dto,
+         CASE o_orderstatus WHEN 'F' THEN ['temperature_2m']
+              WHEN 'O' THEN ['wind_speed_10m', 'temperature_2m']
+              ELSE ['relative_humidity_2m'] END AS metrics,
+         CASE o_orderpriority WHEN '1-URGENT' THEN 'max' WHEN '2-HIGH' THEN 'min'
+              ELSE 'avg' END AS agg
+  FROM orders),
+rm AS (
+  SELECT request_id, city_id, dfrom, dto, agg, metrics[1] AS metric, 0 AS metric_pos FROM req
+  UNION ALL
+  SELECT request_id, city_id, dfrom, dto, agg, metrics[2] AS metric, 1 AS metric_pos
+  FROM req WHERE len(metrics) >= 2),
+j AS (
+  SELECT rm.request_id, h.city_id, h.city_name, h.country, h.date, rm.metric, rm.metric_pos, rm.agg,
+         CASE rm.metric WHEN 'temperature_2m' THEN h.temperature_2m
+              WHEN 'relative_humidity_2m' THEN h.relative_humidity_2m
+              ELSE h.wind_speed_10m END AS v
+  FROM rm JOIN hourly h ON h.city_id = rm.city_id AND h.date BETWEEN rm.dfrom AND rm.dto)
+SELECT request_id, city_id, city_name, country, {O.D('date')} AS date, metric, metric_pos, agg,
+       {O.R("CASE agg WHEN 'avg' THEN avg(v) WHEN 'min' THEN min(v) ELSE max(v) END")} AS value
+FROM j GROUP BY request_id, city_id, city_name, country, date, metric, metric_pos, agg""")
+def q_batched_requests_orders(spark, sf_dir):
+    """D4 at volume: one request per order, answered in one job."""
+    out = batched.batched_query(V.bronze(spark, sf_dir), V.order_requests(spark, sf_dir))
+    return out.withColumn("metric_pos", F.col("metric_pos").cast("int"))
+
+
 # --- latest values (E3 E4 C6 C7 C9) --------------------------------------
 def _latest_sql(where: str = "TRUE") -> str:
     cols = ", ".join(

@@ -178,5 +178,30 @@ def requests(spark: SparkSession) -> DataFrame:
     )
 
 
+def order_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One parametric request per order (many requests for the batched path):
+    the customer's city, an 8-day window starting on day (orderkey mod 20)
+    of January 2024, metrics by order status, aggregation by priority."""
+    o = read_table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    start = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("o_orderkey") % 20).cast("int"))
+    metrics = (
+        F.when(F.col("o_orderstatus") == "F", F.array(F.lit("temperature_2m")))
+        .when(F.col("o_orderstatus") == "O",
+              F.array(F.lit("wind_speed_10m"), F.lit("temperature_2m")))
+        .otherwise(F.array(F.lit("relative_humidity_2m")))
+    )
+    agg = (F.when(F.col("o_orderpriority") == "1-URGENT", "max")
+           .when(F.col("o_orderpriority") == "2-HIGH", "min").otherwise("avg"))
+    return o.select(
+        F.concat(F.lit("o"), F.col("o_orderkey").cast("string")).alias("request_id"),
+        F.array(F.concat(F.lit("c"), F.col("o_custkey").cast("string"))).alias("city_ids"),
+        F.date_format(start, "yyyy-MM-dd").alias("date_from"),
+        F.date_format(F.date_add(start, 7), "yyyy-MM-dd").alias("date_to"),
+        metrics.alias("metrics"),
+        agg.alias("agg"),
+    )
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
