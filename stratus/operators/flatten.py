@@ -7,7 +7,7 @@ parse, zip, generate and project all run inside one codegen stage.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from stratus.functions.times import hour_key, json_ts, parse_hour
@@ -40,6 +40,7 @@ def flatten(
     value_col: str = "value",
     keep_ingested_at: bool = False,
     keep: list[str] | None = None,
+    observe: Observation | str | None = None,
 ) -> DataFrame:
     """B2: raw JSON text -> bronze rows.
 
@@ -47,9 +48,20 @@ def flatten(
     is NULL); a short array is padded with NULLs; a bad hour text gives a
     NULL ``hour_ts`` (``try_to_timestamp``, ANSI stays on).
     ``keep`` passes extra input columns through (e.g. an arrival offset).
+    ``observe`` (an ``Observation`` or, for streams, a name) attaches pipeline
+    counters computed during the job itself: ``events``, ``dropped_events``
+    and ``hourly_rows`` (in streaming they appear in the query progress under
+    ``observedMetrics``).
     """
     keep = list(keep or [])
     z = _zipped(df, value_col, keep)
+    if observe is not None:
+        z = z.observe(
+            observe,
+            F.count(F.lit(1)).alias("events"),
+            F.count_if(F.col("_z").isNull()).alias("dropped_events"),
+            F.coalesce(F.sum(F.size("_z")), F.lit(0)).alias("hourly_rows"),
+        )
     rows = z.select(
         *keep, "city_id", "city_name", "country", "ingested_at", F.inline("_z")
     )

@@ -29,11 +29,13 @@ def start_hourly(
     trigger: dict | None = None,
     mode: str = "two_queries",
     keep_ingested_at: bool = False,
+    observe: str | None = "flatten",
 ) -> list[StreamingQuery]:
     """I1 + I2: start the flatten; returns the running queries (wait on them
     with ``spark.streams.awaitAnyTermination()`` so a failure of either is
-    seen)."""
-    norm = flatten(raw, keep_ingested_at=keep_ingested_at)
+    seen).  ``observe`` names the per-batch counters (events, dropped events,
+    hourly rows) reported in ``query.lastProgress["observedMetrics"]``."""
+    norm = flatten(raw, keep_ingested_at=keep_ingested_at, observe=observe)
     if mode == "two_queries":
         qs = [stream_writer(norm, bronze, os.path.join(checkpoint_root, "bronze"), trigger).start()]
         if payload is not None:

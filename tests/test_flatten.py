@@ -104,3 +104,11 @@ def test_envelope_round_trip(spark):
     cols = [c for c in h.columns if c != "fetch_seq"]
     assert back.exceptAll(h.select(cols)).count() == 0
     assert h.select(cols).exceptAll(back).count() == 0
+
+
+def test_observed_counters(spark):
+    from pyspark.sql import Observation
+    obs = Observation("flatten")
+    out = flatten.flatten(_df(spark, [raw_event(), raw_event(drop=("time",)), "nope"]), observe=obs)
+    assert out.count() == 2
+    assert obs.get == {"events": 3, "dropped_events": 2, "hourly_rows": 2}

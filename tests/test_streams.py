@@ -35,12 +35,15 @@ def _events():
 def test_stream_flatten_equals_batch_and_restart_adds_nothing(spark, tmp):
     _write_lines(f"{tmp}/raw", _events())
     batch = flatten.flatten(spark.read.schema("value string").text(f"{tmp}/raw"))
-    for _ in range(2):  # second run restarts from the checkpoint
+    for run in range(2):  # the second run restarts from the checkpoint
         raw = read_stream(spark, Source("files", path=f"{tmp}/raw"))
         qs = sh.start_hourly(raw, Sink("parquet", path=f"{tmp}/bronze", partition_by=("date",)),
                              Sink("json", path=f"{tmp}/msgs"), f"{tmp}/ckpt", NOW)
         for q in qs:
             q.awaitTermination()
+        if run == 0:
+            m = qs[0].lastProgress["observedMetrics"]["flatten"]
+            assert (m["events"], m["dropped_events"], m["hourly_rows"]) == (4, 2, 4)
     out = spark.read.parquet(f"{tmp}/bronze").select(*batch.columns)
     assert rows(out) == rows(batch) and out.count() == 4
     msgs = parse_hourly_messages(spark.read.json(f"{tmp}/msgs"))
