@@ -96,6 +96,10 @@ def status_rollup(task_states: DataFrame, runs: DataFrame | None = None) -> Data
     only if every task succeeded.  ``upstream`` is the sorted task -> state
     map.  With ``runs`` (run_id, run_state), runs without task rows fall back
     to the run state.
+
+    The per-run collection happens after the (run, task) de-duplication, so
+    it holds one entry per distinct task of the run (bounded by the DAG),
+    not the run's raw rows, however many attempts a hot run logs.
     """
     state = F.coalesce(F.col("state"), F.lit(TASK_UNKNOWN))
     one = task_states.groupBy("run_id", "task").agg(
