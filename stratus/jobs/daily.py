@@ -29,7 +29,7 @@ def main(argv: list[str] | None = None) -> int:
                    help="recompute only days >= this (partition-pruned; implies dynamic)")
     p.add_argument("--date-to", default=None, help="recompute only days <= this")
     a = p.parse_args(argv)
-    spark = get_session("batch-daily-agg")
+    spark = get_session("batch-daily-agg", profile="cluster")
     bronze = read_bronze(spark, a.bronze)          # A3: fails before any job runs
     mode = a.mode
     if a.date_from or a.date_to:

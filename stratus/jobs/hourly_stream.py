@@ -37,7 +37,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--trigger", default=None, help='"once" (available now) or an interval')
     a = p.parse_args(argv)
 
-    spark = get_session("weather-streaming-hourly")
+    spark = get_session("weather-streaming-hourly", profile="cluster")
     opts = {}
     if a.source == "kafka":
         if a.min_partitions:

@@ -40,7 +40,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--checkpoint", required=True)
     p.add_argument("--once", action="store_true")
     a = p.parse_args(argv)
-    spark = get_session("live-gauges")
+    spark = get_session("live-gauges", profile="cluster")
     trigger = {"availableNow": True} if a.once else {"processingTime": "10 seconds"}
 
     msgs = read_stream(spark, Source(a.source, path=a.messages, topic=a.messages_topic,

@@ -70,7 +70,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--user", default="backend")
     p.add_argument("--rejected", default=None)
     a = p.parse_args(argv)
-    spark = get_session("registry-changes")
+    spark = get_session("registry-changes", profile="cluster")
     base = read_registry(spark, a.registry)
     changes = spark.read.schema(CHANGE_DDL).json(a.changes)
     reg, rejected = apply_changes(base, changes)

@@ -25,7 +25,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--checkpoint", required=True)
     p.add_argument("--once", action="store_true", help="answer what is there, then stop")
     a = p.parse_args(argv)
-    spark = get_session("query-runner")
+    spark = get_session("query-runner", profile="cluster")
     src = Source(a.source, path=a.requests, topic=a.topic, bootstrap=a.bootstrap,
                  starting_offsets=START_LATEST)
     q = start_requests(read_stream(spark, src), a.stats, a.results,

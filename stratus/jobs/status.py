@@ -28,7 +28,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--status", required=True)
     p.add_argument("--request_id", required=True)
     a = p.parse_args(argv)
-    spark = get_session("request-status")
+    spark = get_session("request-status", profile="cluster")
     row = status_of(spark, read_statuses(spark, a.status), a.request_id).first()
     print(json.dumps({k: v for k, v in row.asDict().items() if v is not None}, default=str))
     return 0

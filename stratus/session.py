@@ -22,17 +22,35 @@ DEFAULTS = {
 }
 
 
+# Sizing for a large cluster over a large Parquet lake ("cluster" profile).
+# Each is applied only where the cluster configuration has not set it.
+CLUSTER_DEFAULTS = {
+    # Scan splits and post-shuffle partitions of ~256 MB: few tasks per TB,
+    # each fitting executor memory; AQE coalesces small shuffle partitions
+    # and splits skewed ones.
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.shuffle.partitions": "4000",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    # Streaming state (latest per city, windows) in RocksDB, off the JVM heap.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+}
+
+
 def get_session(
     app: str = "stratus",
     master: str | None = None,
     shuffle_partitions: int | None = None,
     extra: dict[str, str] | None = None,
+    profile: str = "local",
 ) -> SparkSession:
     """Build (or reuse) a session with the defaults above.
 
     ``master`` is only set when given, so ``spark-submit --master`` wins on a
     cluster.  ``spark.checkpoint.dir`` is taken from the cluster config; a
     scratch folder is made only when none is configured (local runs, tests).
+    ``profile="cluster"`` adds :data:`CLUSTER_DEFAULTS` where unset.
     """
     b = SparkSession.builder.appName(app)
     if master:
@@ -45,6 +63,10 @@ def get_session(
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("WARN")
+    if profile == "cluster":
+        for k, v in CLUSTER_DEFAULTS.items():
+            if spark.conf.get(k, None) is None:
+                spark.conf.set(k, v)
     checkpoint_dir(spark)
     return spark
 
