@@ -394,6 +394,19 @@ def q_sum_latest_by_labels(spark, sf_dir):
     )
 
 
+@register("targets_up", f"""
+WITH up AS (
+  SELECT 'up' AS metric, concat('target-', CAST(user_id AS VARCHAR)) AS target, ts,
+         event_id AS seq, CASE WHEN event_type = 'error' THEN 0.0 ELSE 1.0 END AS value
+  FROM events)
+SELECT {O.R('sum(value)')} AS value FROM (
+  SELECT *, row_number() OVER (PARTITION BY metric, target ORDER BY ts DESC, seq DESC) AS rn
+  FROM up) WHERE rn = 1""")
+def q_targets_up(spark, sf_dir):
+    """E13 with no labels: ``sum(up)`` over each target's latest sample."""
+    return metrics.sum_latest(V.up_samples(spark, sf_dir), series=["metric", "target"], by=[])
+
+
 def _hist_sql() -> str:
     from stratus.schemas import LATENCY_BUCKETS
     cols = []

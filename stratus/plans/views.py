@@ -135,6 +135,19 @@ def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def up_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scrape-target health samples: one series per target (user), value 1
+    (up) or 0 (an error event)."""
+    ev = read_table(spark, sf_dir, "events")
+    return ev.select(
+        F.lit("up").alias("metric"),
+        F.concat(F.lit("target-"), F.col("user_id").cast("string")).alias("target"),
+        F.col("ts").cast("timestamp").alias("ts"),
+        F.col("event_id").alias("seq"),
+        F.when(F.col("event_type") == "error", 0.0).otherwise(1.0).alias("value"),
+    )
+
+
 def fetch_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """API call log: kind, failure reason (NULL = ok), latency seconds."""
     ev = read_table(spark, sf_dir, "events")
