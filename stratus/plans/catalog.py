@@ -54,19 +54,25 @@ def q_hourly_flatten(spark, sf_dir):
     return flatten.flatten(_envelopes(spark, sf_dir))
 
 
-@register("hourly_kafka_payload", O.with_(O.HOURLY) + """
+@register("hourly_kafka_payload", O.with_(O.HOURLY) + f"""
 SELECT concat(city_id, '|', strftime(hour_ts, '%Y%m%d%H')) AS key,
        count(*) AS n_messages,
        max(strftime(hour_ts, '%Y-%m-%dT%H:%M:%SZ')) AS hour_text,
-       count(temperature_2m) AS n_with_temperature
+       count(temperature_2m) AS n_with_temperature,
+       {O.R('sum(temperature_2m)')} AS sum_temperature,
+       {O.R('sum(wind_speed_10m)')} AS sum_wind
 FROM hourly GROUP BY 1""")
 def q_hourly_kafka_payload(spark, sf_dir):
-    """Messages per key; null metrics are left out of the JSON."""
+    """Messages per key; null metrics are left out of the JSON, and the
+    values read back from the JSON equal the source values."""
     p = flatten.hourly_payload(V.bronze(spark, sf_dir))
+    field = lambda name: F.get_json_object("value", f"$.{name}")
     return p.groupBy("key").agg(
         F.count(F.lit(1)).alias("n_messages"),
-        F.max(F.get_json_object("value", "$.hour_ts")).alias("hour_text"),
-        F.count(F.get_json_object("value", "$.temperature_2m")).alias("n_with_temperature"),
+        F.max(field("hour_ts")).alias("hour_text"),
+        F.count(field("temperature_2m")).alias("n_with_temperature"),
+        F.sum(field("temperature_2m").try_cast("double")).alias("sum_temperature"),
+        F.sum(field("wind_speed_10m").try_cast("double")).alias("sum_wind"),
     )
 
 
