@@ -44,7 +44,11 @@ def main() -> None:
     spark = get_session("plan-report", master="local[8]", shuffle_partitions=16)
     print("# Physical plans of the catalogue queries\n")
     print(f"Scale factor folder: `{sf}`.  Initial adaptive plans; AQE may still switch a\n"
-          "sort-merge join to a broadcast when it measures a small side.\n")
+          "sort-merge join to a broadcast when it measures a small side.  Counts include\n"
+          "repeated subtrees (both branches of a union, scalar subqueries); at run time\n"
+          "identical exchanges and subqueries are reused (`ReusedExchange`,\n"
+          "`ReusedSubquery`): e.g. `batched_requests` computed from the raw tables runs\n"
+          "its stats aggregation shuffle once and reuses it 3 times.\n")
     print("| query | shuffles | broadcasts | joins | aggregates | pushed filters |")
     print("|---|---|---|---|---|---|")
     for name in sorted(catalog.QUERIES):
