@@ -17,8 +17,14 @@ from pyspark.sql import functions as F
 KEYS = ("city_id", "hour_ts")
 
 
-def last_fetch(hourly: DataFrame, order_by: Sequence[str] = ("fetch_seq",),
+def last_fetch(hourly: DataFrame, order_by: Sequence[str] | None = None,
                keys: Sequence[str] = KEYS) -> DataFrame:
+    """``order_by`` defaults to ``fetch_seq``, else ``ingested_at`` (kept by
+    ``flatten(keep_ingested_at=True)``)."""
+    if order_by is None:
+        order_by = [c for c in ("fetch_seq", "ingested_at") if c in hourly.columns][:1]
+        if not order_by:
+            raise ValueError("last_fetch needs a fetch-order column (fetch_seq or ingested_at)")
     rest = [c for c in hourly.columns if c not in keys]
     return (
         hourly.groupBy(*keys)

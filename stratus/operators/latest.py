@@ -24,6 +24,16 @@ EVENT_TIME = ("hour_ts", "fetch_seq")
 ARRIVAL = ("timestamp", "partition", "offset")
 
 
+def event_order(df: DataFrame) -> tuple[str, ...]:
+    """Default "latest" ordering for an hourly table: the hour, then the best
+    fetch-order column present (``fetch_seq``, else ``ingested_at``); the hour
+    alone on a plain bronze table."""
+    for tie in ("fetch_seq", "ingested_at"):
+        if tie in df.columns:
+            return ("hour_ts", tie)
+    return ("hour_ts",)
+
+
 def last_non_null(value: Column | str, order: Column) -> Column:
     """Value at the largest ``order`` among rows where value is not NULL
     (a NULL never overwrites)."""
@@ -33,13 +43,16 @@ def last_non_null(value: Column | str, order: Column) -> Column:
 
 def latest_by_city(
     hourly: DataFrame,
-    order_by: Sequence[str] = EVENT_TIME,
+    order_by: Sequence[str] | None = None,
     keys: Sequence[str] = CITY_KEYS,
     metrics: Sequence[str] = METRICS,
 ) -> DataFrame:
     """Latest non-null value of each metric per city, each on its own
-    (C6: rows without a city id are ignored; C7: nulls are skipped)."""
-    order = F.struct(*[F.col(c) for c in order_by])
+    (C6: rows without a city id are ignored; C7: nulls are skipped).
+    ``order_by`` defaults to :func:`event_order`; pass :data:`ARRIVAL` for
+    broker order."""
+    order_by = tuple(order_by or event_order(hourly))
+    order = F.col(order_by[0]) if len(order_by) == 1 else F.struct(*[F.col(c) for c in order_by])
     valid = hourly.where(F.col("city_id").isNotNull() & (F.col("city_id") != ""))
     return valid.groupBy(*keys).agg(*[last_non_null(m, order).alias(m) for m in metrics])
 

@@ -18,11 +18,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from stratus.operators.latest import EVENT_TIME, latest_by_city
+from stratus.operators.latest import latest_by_city
 from stratus.operators.metrics import event_rate
 
 
-def live_latest(stream: DataFrame, order_by: Sequence[str] = EVENT_TIME) -> DataFrame:
+def live_latest(stream: DataFrame, order_by: Sequence[str] | None = None) -> DataFrame:
     """Streaming latest-per-city (use ``update`` or ``complete`` mode)."""
     return latest_by_city(stream, order_by=order_by)
 

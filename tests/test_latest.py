@@ -4,6 +4,7 @@ import datetime as dt
 import random
 
 from conftest import rows
+from pyspark.sql import functions as F
 
 from stratus.operators import dedup, latest, metrics
 
@@ -94,3 +95,20 @@ def test_last_fetch_per_hour(spark):
     assert out.columns == h.columns
     assert rows(out, "hour_ts", "temperature_2m", "relative_humidity_2m") == [
         (t, 2.0, None), (t.replace(hour=1), 3.0, 3.0)]
+
+
+def test_default_order_on_plain_bronze(spark):
+    """A bronze table from the flatten has no fetch_seq: order by the hour
+    (then ingested_at when kept)."""
+    t = dt.datetime(2024, 1, 1)
+    b = spark.createDataFrame(
+        [("a", "A", "EU", t, 1.0, None, None), ("a", "A", "EU", t.replace(hour=2), 2.0, None, None)],
+        "city_id string, city_name string, country string, hour_ts timestamp, "
+        "temperature_2m double, relative_humidity_2m double, wind_speed_10m double")
+    assert latest.event_order(b) == ("hour_ts",)
+    assert rows(latest.latest_by_city(b), "temperature_2m") == [(2.0,)]
+    plan = latest.latest_by_city(b)._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan          # single primitive ordering: hash-based
+    with_ing = b.withColumn("ingested_at", F.lit("2024-01-01T03:00:00Z"))
+    assert latest.event_order(with_ing) == ("hour_ts", "ingested_at")
+    assert dedup.last_fetch(with_ing).count() == 2
