@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from stratus.operators.latest import latest_status
 from stratus.session import get_session
 from stratus.sources.files import read_statuses
+from stratus.sources.streams import START_EARLIEST, TOPIC_RESULTS, Source, parse_statuses, read_log
 
 
 def status_of(spark: SparkSession, statuses: DataFrame, request_id: str) -> DataFrame:
@@ -25,11 +26,18 @@ def status_of(spark: SparkSession, statuses: DataFrame, request_id: str) -> Data
 
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(description="status of one request")
-    p.add_argument("--status", required=True)
+    p.add_argument("--status", default=None, help="status folder (JSON lines)")
+    p.add_argument("--bootstrap", default=None, help="read the status topic instead")
+    p.add_argument("--topic", default=TOPIC_RESULTS)
     p.add_argument("--request_id", required=True)
     a = p.parse_args(argv)
     spark = get_session("request-status", profile="cluster")
-    row = status_of(spark, read_statuses(spark, a.status), a.request_id).first()
+    if a.bootstrap:
+        log = parse_statuses(read_log(spark, Source("kafka", topic=a.topic, bootstrap=a.bootstrap,
+                                                    starting_offsets=START_EARLIEST)))
+    else:
+        log = read_statuses(spark, a.status)
+    row = status_of(spark, log, a.request_id).first()
     print(json.dumps({k: v for k, v in row.asDict().items() if v is not None}, default=str))
     return 0
 

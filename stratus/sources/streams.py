@@ -16,7 +16,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratus.schemas import HOURLY_MESSAGE_DDL, REQUEST_DDL
+from stratus.functions.times import epoch_or_iso
+from stratus.schemas import HOURLY_MESSAGE_DDL, REQUEST_DDL, STATUS_DDL
 
 # Topic names and start policies of the pipeline (fixed values).
 TOPIC_RAW = "weather.raw.openmeteo"
@@ -89,3 +90,13 @@ def parse_hourly_messages(df: DataFrame) -> DataFrame:
     extra = [c for c in df.columns if c != "value"]
     p = df.select(*extra, F.from_json("value", HOURLY_MESSAGE_DDL).alias("m")).select(*extra, "m.*")
     return p.withColumn("hour_ts", F.try_to_timestamp("hour_ts"))
+
+
+def parse_statuses(df: DataFrame) -> DataFrame:
+    """A10: status message JSON -> status columns, ``ts`` normalised to
+    ``ts_norm`` (epoch or ISO), and ``log_offset`` for ties: the broker offset
+    when the rows come from Kafka, else the read order."""
+    extra = [c for c in df.columns if c != "value"]
+    p = df.select(*extra, F.from_json("value", STATUS_DDL).alias("s")).select(*extra, "s.*")
+    order = F.col("offset") if "offset" in extra else F.monotonically_increasing_id()
+    return p.withColumn("ts_norm", epoch_or_iso("ts")).withColumn("log_offset", order)

@@ -15,7 +15,7 @@ from stratus.operators.daily import MissingColumns
 from stratus.plans import views as V
 from stratus.sources import files
 from stratus.sources.sinks import as_messages, append_json
-from stratus.sources.streams import parse_hourly_messages
+from stratus.sources.streams import Source, parse_hourly_messages, parse_statuses, read_log
 
 
 def test_read_result_only_parquet_and_absent(spark, tmp):
@@ -61,6 +61,8 @@ def test_status_log_reader(spark, tmp):
     assert rows(st, "status", "ts_norm") == [("submitted", dt.datetime(2025, 1, 1)),
                                              ("success", dt.datetime(2025, 1, 1, 0, 0, 5))]
     assert files.read_statuses(spark, f"{tmp}/none").count() == 0
+    parsed = parse_statuses(read_log(spark, Source("files", path=f"{tmp}/s")))
+    assert rows(parsed, "status", "ts_norm") == rows(st, "status", "ts_norm")
     append_json(st.drop("ts_norm", "log_offset"), f"{tmp}/s2")
     assert spark.read.json(f"{tmp}/s2").count() == 2
 
