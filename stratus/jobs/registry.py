@@ -28,11 +28,10 @@ CHANGE_DDL = ("op string, seq bigint, id string, name string, country string, "
 
 
 def _split(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Valid rows (extra columns such as ``seq`` kept) and rejected rows."""
-    v = cities.validate(df)
-    bad = v.where(~F.col("valid")).select(
+    """Valid rows (``seq`` kept) and (id, error) rows for the invalid ones."""
+    good, bad = cities.split_valid(df)
+    return good, bad.select(
         "id", F.concat(F.lit("invalid: "), F.array_join("violations", ",")).alias("error"))
-    return v.where("valid").drop("violations", "valid"), bad
 
 
 def apply_changes(base: DataFrame, changes: DataFrame) -> tuple[DataFrame, DataFrame]:

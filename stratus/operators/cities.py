@@ -55,9 +55,10 @@ def validate(cities: DataFrame) -> DataFrame:
 
 
 def split_valid(cities: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Good rows and quarantined rows (with their violations)."""
+    """Good rows (input columns kept, id defaulted) and quarantined rows
+    (with ``violations``)."""
     v = validate(cities)
-    return v.where("valid").select(*CITY_COLS), v.where(~F.col("valid"))
+    return v.where("valid").drop("violations", "valid"), v.where(~F.col("valid"))
 
 
 def active_for_fetch(cities: DataFrame) -> DataFrame:

@@ -127,15 +127,5 @@ city_events AS (
   FROM events e JOIN cities_k c ON c.city_key = e.user_id
 )"""
 
-REQUESTS = """
-requests AS (
-  SELECT * FROM (VALUES
-    ('r1', ['c1', 'c2'], '2024-01-02', '2024-01-10', ['temperature_2m', 'bogus'], 'avg'),
-    ('r2', CAST([] AS VARCHAR[]), NULL, NULL, ['wind_speed_10m', 'temperature_2m'], 'max'),
-    ('r3', ['c5'], NULL, '2024-01-09', ['relative_humidity_2m'], 'min')
-  ) t(request_id, city_ids, date_from, date_to, metrics, agg)
-)"""
-
-
 def with_(*ctes: str) -> str:
     return "WITH " + ",".join(c.strip().lstrip(",") for c in ctes)

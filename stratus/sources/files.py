@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from stratus.functions.times import epoch_or_iso
 from stratus.operators.daily import require_columns
-from stratus.schemas import BRONZE_DDL, HOURLY_MESSAGE_DDL, REGISTRY_DDL, STATUS_DDL
+from stratus.schemas import HOURLY_MESSAGE_DDL, REGISTRY_DDL, STATUS_DDL
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -76,11 +76,6 @@ def read_result(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("pathGlobFilter", "*.parquet").parquet(path)
 
 
-def read_bronze_typed(spark: SparkSession, path: str) -> DataFrame:
-    """Bronze with the declared schema (no inference; for stream sources)."""
-    return spark.read.schema(BRONZE_DDL).parquet(path)
-
-
 def _exists(spark: SparkSession, path: str) -> bool:
     # Ask the cluster's file system (HDFS, object store, local) through the
     # Hadoop API, not the driver's local disk.
