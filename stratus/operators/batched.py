@@ -5,10 +5,9 @@ each request's answer is a slice of one per-(city, date, metric) statistics
 table.  The table is built once (one two-phase aggregate over the hourly
 rows), then requests are joined to it on equality keys:
 
-* requests that list cities: explode the ids, join on (city_id, metric), keep
-  the date range;
-* requests for all cities: explode the (data-bounded) day range, join on
-  (date, metric).
+* requests that list cities: explode the (data-bounded) day range and the
+  ids, join on (city_id, date, metric);
+* requests for all cities: explode the day range, join on (date, metric).
 
 Both joins are equi-joins, so the planner can hash-partition both sides; no
 nested-loop or cross product is built, however many requests arrive.
@@ -101,39 +100,35 @@ def batched_from_stats(stats: DataFrame, requests: DataFrame) -> DataFrame:
     that small gold table instead of rescanning the hourly rows)."""
     # No row filters on parsed columns: a filter would be pushed below the
     # projection and re-run the parsing.  Invalid requests explode no metric,
-    # requests without cities explode no city, and an empty or inverted day
-    # range explodes no day.
+    # an empty or inverted day range explodes no day, and each branch below
+    # explodes nothing for the requests it does not handle.
     req = normalize_requests(requests)
     per_metric = req.select(
         "request_id", "city_ids", "date_from", "date_to", "agg",
         F.posexplode(F.when(F.col("error").isNull(), F.col("metrics"))).alias("metric_pos", "metric"),
     )
-    in_range = (
-        (F.col("date_from").isNull() | (F.col("date") >= F.col("date_from")))
-        & (F.col("date_to").isNull() | (F.col("date") <= F.col("date_to")))
-    )
-    listed = (
-        per_metric
-        .select("request_id", "date_from", "date_to", "agg", "metric_pos", "metric",
-                F.explode(F.array_distinct("city_ids")).alias("city_id"))
-        .join(stats, ["city_id", "metric"])
-        .where(in_range)
-    )
     # Open bounds are closed with the data's first and last day (one scalar
-    # subquery returning both, evaluated once), so the day range stays finite.
+    # subquery returning both, evaluated once), so every day range is finite.
     bounds = stats.select(F.struct(F.min("date").alias("lo"), F.max("date").alias("hi"))).scalar()
     lo, hi = bounds.getField("lo"), bounds.getField("hi")
-    bounded = per_metric.select(
+    start = F.greatest(F.coalesce(F.col("date_from"), lo), lo)
+    stop = F.least(F.coalesce(F.col("date_to"), hi), hi)
+    days = per_metric.select(
         "request_id", "agg", "metric_pos", "metric", "city_ids",
-        F.greatest(F.coalesce(F.col("date_from"), lo), lo).alias("_start"),
-        F.least(F.coalesce(F.col("date_to"), hi), hi).alias("_stop"),
+        F.explode(F.when(start <= stop, F.sequence(start, stop))).alias("date"),
     )
+    # Requests that list cities: one key per (city, day, metric) asked for,
+    # joined on the exact key, so a one-week request never touches the other
+    # days of its cities.
+    listed = (
+        days.select("request_id", "agg", "metric_pos", "metric", "date",
+                    F.explode(F.array_distinct("city_ids")).alias("city_id"))
+        .join(stats, ["city_id", "date", "metric"])
+    )
+    # Requests for all cities: join each asked (day, metric) to every city.
     every_city = (
-        bounded.select(
-            "request_id", "agg", "metric_pos", "metric",
-            F.explode(F.when((F.size("city_ids") == 0) & (F.col("_start") <= F.col("_stop")),
-                             F.sequence("_start", "_stop"))).alias("date"),
-        )
+        days.where(F.size("city_ids") == 0)
+        .select("request_id", "agg", "metric_pos", "metric", "date")
         .join(stats, ["date", "metric"])
     )
     cols = ["request_id", *KEYS, "metric", "metric_pos", "agg"]
