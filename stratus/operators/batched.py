@@ -5,8 +5,9 @@ each request's answer is a slice of one per-(city, date, metric) statistics
 table.  The table is built once (one two-phase aggregate over the hourly
 rows), then requests are joined to it on equality keys:
 
-* requests that list cities: explode the (data-bounded) day range and the
-  ids, join on (city_id, date, metric);
+* requests that list cities: explode the ids and the week buckets the
+  (data-bounded) day range overlaps, join on (city_id, metric, week), keep
+  the days in range;
 * requests for all cities: explode the day range, join on (date, metric).
 
 Both joins are equi-joins, so the planner can hash-partition both sides; no
@@ -113,22 +114,28 @@ def batched_from_stats(stats: DataFrame, requests: DataFrame) -> DataFrame:
     lo, hi = bounds.getField("lo"), bounds.getField("hi")
     start = F.greatest(F.coalesce(F.col("date_from"), lo), lo)
     stop = F.least(F.coalesce(F.col("date_to"), hi), hi)
-    days = per_metric.select(
+    ranged = per_metric.select(
         "request_id", "agg", "metric_pos", "metric", "city_ids",
-        F.explode(F.when(start <= stop, F.sequence(start, stop))).alias("date"),
+        start.alias("_start"), stop.alias("_stop"),
     )
-    # Requests that list cities: one key per (city, day, metric) asked for,
-    # joined on the exact key, so a one-week request never touches the other
-    # days of its cities.
+    # Requests that list cities: a range condition on the day, answered as an
+    # equi-join on week buckets (each request explodes the few weeks it
+    # overlaps), then the exact day filter.  A request reads at most its
+    # weeks of its cities' stats, not the cities' whole history.
+    weeks = F.sequence(_week(F.col("_start")), _week(F.col("_stop")))
     listed = (
-        days.select("request_id", "agg", "metric_pos", "metric", "date",
-                    F.explode(F.array_distinct("city_ids")).alias("city_id"))
-        .join(stats, ["city_id", "date", "metric"])
+        ranged.select("request_id", "agg", "metric_pos", "metric", "_start", "_stop",
+                      F.explode(F.array_distinct("city_ids")).alias("city_id"))
+        .select("*", F.explode(F.when(F.col("_start") <= F.col("_stop"), weeks)).alias("_wk"))
+        .join(stats.withColumn("_wk", _week(F.col("date"))), ["city_id", "metric", "_wk"])
+        .where(F.col("date").between(F.col("_start"), F.col("_stop")))
     )
-    # Requests for all cities: join each asked (day, metric) to every city.
+    # Requests for all cities: every asked (day, metric) joined to all cities.
     every_city = (
-        days.where(F.size("city_ids") == 0)
-        .select("request_id", "agg", "metric_pos", "metric", "date")
+        ranged.where(F.size("city_ids") == 0)
+        .select("request_id", "agg", "metric_pos", "metric",
+                F.explode(F.when(F.col("_start") <= F.col("_stop"),
+                                 F.sequence("_start", "_stop"))).alias("date"))
         .join(stats, ["date", "metric"])
     )
     cols = ["request_id", *KEYS, "metric", "metric_pos", "agg"]
@@ -144,6 +151,11 @@ def batched_from_stats(stats: DataFrame, requests: DataFrame) -> DataFrame:
     )
 
 
+def _week(d: Column) -> Column:
+    """Week bucket of a day (days since the epoch div 7)."""
+    return F.floor(F.datediff(d, F.lit("1970-01-01").cast("date")) / 7)
+
+
 def write_stats(stats: DataFrame, path: str) -> None:
     """Store :func:`daily_stats` as a gold table partitioned by ``date``
     (built by the daily job; read by the request stream)."""
