@@ -1,5 +1,6 @@
 """Continuous flatten: raw events (Kafka topic or JSON folder) -> bronze
-Parquet + hourly messages (Kafka topic or JSON folder).
+Parquet + hourly messages (Kafka topic or JSON folder), and optionally the
+current observations (I4).
 
     python -m stratus.jobs.hourly_stream --source files --raw-path IN \
         --bronze OUT --messages MSG --checkpoint CKPT [--trigger "30 seconds"|once]
@@ -13,8 +14,10 @@ import argparse
 
 from stratus.session import get_session
 from stratus.sources.sinks import Sink
-from stratus.sources.streams import START_LATEST, TOPIC_HOURLY, TOPIC_RAW, Source, read_stream
-from stratus.streaming.hourly import start_hourly
+from stratus.sources.streams import (
+    START_LATEST, TOPIC_CURRENT, TOPIC_HOURLY, TOPIC_RAW, Source, read_stream,
+)
+from stratus.streaming.hourly import start_current, start_hourly
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -32,6 +35,8 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--partition-by-date", action="store_true")
     p.add_argument("--messages", default=None, help="JSON folder for hourly messages")
     p.add_argument("--messages-topic", default=None, help=f"e.g. {TOPIC_HOURLY}")
+    p.add_argument("--current", default=None, help="Parquet folder for current observations (I4)")
+    p.add_argument("--current-topic", default=None, help=f"or a topic, e.g. {TOPIC_CURRENT}")
     p.add_argument("--checkpoint", required=True)
     p.add_argument("--mode", choices=["two_queries", "one_pass"], default="two_queries")
     p.add_argument("--trigger", default=None, help='"once" (available now) or an interval')
@@ -62,6 +67,10 @@ def main(argv: list[str] | None = None) -> int:
     elif a.trigger:
         trigger = {"processingTime": a.trigger}
     queries = start_hourly(read_stream(spark, src), bronze, payload, a.checkpoint, trigger, a.mode)
+    if a.current or a.current_topic:
+        cur = (Sink("kafka", topic=a.current_topic, bootstrap=a.bootstrap) if a.current_topic
+               else Sink("parquet", path=a.current))
+        queries.append(start_current(read_stream(spark, src), cur, f"{a.checkpoint}/current", trigger))
     if trigger and "availableNow" in trigger:
         for q in queries:
             q.awaitTermination()

@@ -21,8 +21,9 @@ def test_jobs_end_to_end(spark, tmp, capsys):
     assert hourly_stream.main([
         "--source", "files", "--raw-path", f"{tmp}/raw", "--bronze", f"{tmp}/bronze",
         "--partition-by-date", "--messages", f"{tmp}/msgs", "--checkpoint", f"{tmp}/ckpt",
-        "--trigger", "once", "--max-per-trigger", "1"]) == 0
+        "--trigger", "once", "--max-per-trigger", "1", "--current", f"{tmp}/current"]) == 0
     assert spark.read.parquet(f"{tmp}/bronze").count() == 4
+    assert sorted(r.temperature_c for r in spark.read.parquet(f"{tmp}/current").collect()) == [4.0, 5.0]
 
     assert daily.main(["--bronze", f"{tmp}/bronze", "--gold", f"{tmp}/gold",
                        "--stats", f"{tmp}/stats", "--check-day", "2025-01-01"]) == 0
