@@ -122,20 +122,23 @@ def toggle(base: DataFrame, ids: DataFrame):
 
 def global_row_number(df: DataFrame, order_cols: list[str], name: str = "rn") -> DataFrame:
     """1-based position of each row in the total order, without moving all
-    rows to one task: range-partition, number rows inside each partition,
-    then add the row counts of the preceding partitions (a table with one
-    row per partition, so bounded by the partition count)."""
-    ranged = df.repartitionByRange(*order_cols).withColumn("_pid", F.spark_partition_id())
-    local = ranged.withColumn(
-        "_lrn", F.row_number().over(Window.partitionBy("_pid").orderBy(*order_cols))
+    rows to one task: range-partition and sort within partitions, take the
+    in-partition position from ``monotonically_increasing_id`` (partition id
+    in the upper bits, row number within the partition in the lower 33 bits),
+    then add the row counts of the preceding partitions (a table with one row
+    per partition, so bounded by the partition count)."""
+    ranged = df.repartitionByRange(*order_cols).sortWithinPartitions(*order_cols)
+    pid = F.spark_partition_id().cast("long")
+    tagged = ranged.withColumn("_pid", pid).withColumn(
+        "_lrn", F.monotonically_increasing_id() - F.shiftleft(pid, 33) + 1
     )
-    counts = local.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select(
         "_pid",
         (F.sum("_n").over(Window.orderBy("_pid")) - F.col("_n")).alias("_off"),
     )
     return (
-        local.join(F.broadcast(offsets), "_pid")
+        tagged.join(F.broadcast(offsets), "_pid")
         .withColumn(name, F.col("_off") + F.col("_lrn"))
         .drop("_pid", "_lrn", "_off")
     )
