@@ -80,6 +80,20 @@ def q_stream_latest(spark, sf_dir):
     return spark.read.parquet(f"{base}/out")
 
 
+@register("stream_dedup", SQL["hourly_dedup"])
+def q_stream_dedup(spark, sf_dir):
+    """G3 on a stream: last fetch per (city, hour), state bounded by a
+    watermark on the hour (complete snapshot here, so open hours show too)."""
+    base = _dirs(spark, "dedup")
+    h = V.hourly(spark, sf_dir)
+    h.write.parquet(f"{base}/in")
+    stream = spark.readStream.schema(h.schema).parquet(f"{base}/in")
+    q = live.start_snapshot(live.live_last_fetch(stream, watermark="2 days", order_by=("fetch_seq",)),
+                            f"{base}/out", f"{base}/ckpt", AVAILABLE_NOW, "complete")
+    _await([q])
+    return spark.read.parquet(f"{base}/out").select(*h.columns)
+
+
 @register("stream_rate", SQL["event_rate_1m"])
 def q_stream_rate(spark, sf_dir):
     """Per-minute rate by city with a watermark."""
