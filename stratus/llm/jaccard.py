@@ -41,7 +41,7 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratus.llm import graph
@@ -213,6 +213,30 @@ def _packed_sets(batches):
                                          ["doc_id", "items"])
 
 
+def _plausible(pairs: DataFrame, sizes: DataFrame, t: Fraction) -> DataFrame:
+    """The pairs (u, v) that sizes and parity bits don't rule out.  Both are
+    bounds that no similar pair can break."""
+    a = sizes.select(F.col("doc_id").alias("u"), F.col("n_shingles").alias("n_a"), F.col("bits").alias("a"))
+    b = sizes.select(F.col("doc_id").alias("v"), F.col("n_shingles").alias("n_b"), F.col("bits").alias("b"))
+    return pairs.join(a, "u").join(b, "v").where(_possible("n_a", "n_b", "a", "b", t)).select("u", "v")
+
+
+def _possible(n_a: str, n_b: str, bits_a: str, bits_b: str, t: Fraction) -> Column:
+    apart = sum((F.bit_count(F.col(bits_a)[i].bitwiseXOR(F.col(bits_b)[i])) for i in range(8)), F.lit(0))
+    p, q = t.numerator, t.denominator
+    return ((q * F.least(n_a, n_b) >= p * F.greatest(n_a, n_b))
+            & ((p + q) * apart <= (q - p) * (F.col(n_a) + F.col(n_b))))
+
+
+def _sets_of(pairs: DataFrame, known: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """(doc_id, items): the whole sets of the documents in ``pairs``."""
+    wanted = scratch.save(pairs.select(F.col("u").alias("doc_id")).union(
+        pairs.select(F.col("v").alias("doc_id"))).distinct(), f"{name}-wanted")
+    return scratch.save(
+        known.join(bounded_broadcast(wanted, MAX_BROADCAST), "doc_id", "left_semi")
+        .mapInArrow(_packed_sets, "doc_id long, items array<long>").dropDuplicates(["doc_id"]), name)
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, t: Fraction) -> DataFrame:
     """The pairs (u, v) whose sets have similarity t or more."""
     a = sets.select(F.col("doc_id").alias("u"), F.col("items").alias("a"))
@@ -259,11 +283,8 @@ def _shared(rows: DataFrame, bands: list[Band], scratch: Scratch) -> DataFrame:
 
 def _crossing(shared: DataFrame, clusters: DataFrame, sizes: DataFrame, tested: DataFrame,
               t: Fraction) -> DataFrame:
-    """Pairs of different clusters that share a signature, not tested yet.
-
-    Sizes and parity bits rule out most without touching the sets: both are
-    bounds that no similar pair can break.
-    """
+    """Pairs of different clusters that share a signature, are possible by size
+    and parity bits, and were not tested yet."""
     of = shared.select("sig", "doc_id").join(clusters, "doc_id", "left").withColumn(
         "component", F.coalesce("component", "doc_id"))
     per_sig = Window.partitionBy("sig")
@@ -271,15 +292,11 @@ def _crossing(shared: DataFrame, clusters: DataFrame, sizes: DataFrame, tested:
              .withColumn("hi", F.max("component").over(per_sig)).where("lo < hi")
              .select("sig", "doc_id", "component")
              .join(sizes, "doc_id"))
-    a = mixed.select("sig", *[F.col(c).alias(f"a_{c}") for c in ("doc_id", "component", "n_shingles", "bits")])
-    b = mixed.select("sig", *[F.col(c).alias(f"b_{c}") for c in ("doc_id", "component", "n_shingles", "bits")])
-    apart = sum((F.bit_count(F.col("a_bits")[i].bitwiseXOR(F.col("b_bits")[i])) for i in range(8)), F.lit(0))
-    p, q = t.numerator, t.denominator
-    both = F.col("a_n_shingles") + F.col("b_n_shingles")
+    a, b = (mixed.select("sig", *[F.col(c).alias(f"{side}_{c}") for c in
+                                  ("doc_id", "component", "n_shingles", "bits")]) for side in "ab")
     return (a.join(b, "sig")
             .where("a_doc_id < b_doc_id AND a_component <> b_component")
-            .where(q * F.least("a_n_shingles", "b_n_shingles") >= p * F.greatest("a_n_shingles", "b_n_shingles"))
-            .where((p + q) * apart <= (q - p) * both)
+            .where(_possible("a_n_shingles", "b_n_shingles", "a_bits", "b_bits", t))
             .select(F.col("a_doc_id").alias("u"), F.col("b_doc_id").alias("v")).distinct()
             .join(tested, ["u", "v"], "left_anti"))
 
@@ -315,23 +332,24 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id",
     rows = (texts.mapInArrow(_signer(bands, t), "doc_id long, slack int, sigs array<long>")
             .select("doc_id", "slack", F.explode("sigs").alias("sig")))
     shared = _shared(rows, bands, scratch)
+    scratch.free()
+    one = sizes.where("n_shingles > 0").dropDuplicates(["doc_id"])
 
     # Round 1: each set against the head it shares most signatures with.
     best = shared.where("doc_id <> head").groupBy("doc_id", "head").count().groupBy("doc_id").agg(
         F.max_by("head", F.struct("count", -F.col("head"))).alias("u"))
     tested = scratch.save(best.select("u", F.col("doc_id").alias("v")), "tested")
-    wanted = scratch.save(tested.select(F.col("u").alias("doc_id")).union(
-        tested.select(F.col("v").alias("doc_id"))).distinct(), "wanted")
-    sets = scratch.save(
-        known.join(bounded_broadcast(wanted, MAX_BROADCAST), "doc_id", "left_semi")
-        .mapInArrow(_packed_sets, "doc_id long, items array<long>").dropDuplicates(["doc_id"]), "sets")
-    links = scratch.save(_verified(tested, sets, t), "links")
+    maybe = scratch.save(_plausible(tested, one, t), "maybe")
+    links = scratch.save(_verified(maybe, _sets_of(maybe, known, scratch, "sets"), t), "links")
+    scratch.drop("sets")
+    scratch.free()
     near = _clusters(links, scratch, "near")
 
     # Round 2: signatures that still join different clusters.
-    one = sizes.where("n_shingles > 0").dropDuplicates(["doc_id"])
-    more = scratch.save(_verified(_crossing(shared, near, one, tested, t), sets, t), "more")
-    scratch.drop("sets", "shared")
+    rest = scratch.save(_crossing(shared, near, one, tested, t), "rest")
+    more = scratch.save(_verified(rest, _sets_of(rest, known, scratch, "sets-2"), t), "more")
+    scratch.drop("sets-2", "shared")
+    scratch.free()
     nonempty = same.join(sizes.where("n_shingles > 0").select(F.col("doc_id").alias("v")).distinct(),
                          "v", "left_semi").select("u", "v")
     whole = _clusters(links.union(more).union(nonempty), scratch, "whole")

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from stratus.llm import jaccard
+from stratus.llm import chat, decontaminate, jaccard, mixing, toxicity, urls, wavelet
 from stratus.llm.scratch import Scratch, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,14 +27,14 @@ def register(name: str, sql: str | None = None):
 #: Words of a text in DuckDB: A-Z lower-cased, split at ASCII white space.
 _SQL_WORDS = """
 list_filter(regexp_split_to_array(translate(coalesce({t}, ''),
-  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), x -> x <> '')"""
+  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"""
 
 
 @register("op10_ngram_jaccard", f"""
 WITH RECURSIVE w AS (SELECT doc_id, {_SQL_WORDS.format(t='text')} AS w FROM documents),
 s AS (
   SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-    ELSE list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i+4], ' ')) END) AS g FROM w),
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' ')) END) AS g FROM w),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
 common AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS k
   FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
@@ -48,3 +49,118 @@ JOIN (SELECT u AS doc_id, min(v) AS component_id FROM reach GROUP BY 1) r USING
 def op10_ngram_jaccard(spark, sf_dir):
     """Near-duplicate components of all documents by 5-word shingles."""
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"), Scratch(spark, "op10"))
+
+
+@register("op2_toxicity")
+def op2_toxicity(spark, sf_dir):
+    """Toxicity scores of all documents; fold 0 is held out of the training."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.train(docs, labels.where(toxicity.fold("doc_id") != 0))
+    return (docs.select("doc_id", (toxicity.fold("doc_id") == 0).alias("held_out"),
+                        toxicity.score(F.col("text"), model).alias("score"))
+            .withColumn("predicted", (F.col("score") >= 0.5).cast("int")))
+
+
+#: (host, path, verdict)
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"),
+             ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+
+
+@register("op3_url_rules", """
+WITH u AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+  FROM pages),
+h AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+r(h, p, v) AS (VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'),
+  ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
+f AS (SELECT page_id, host, path, h || p AS rule, v,
+    row_number() OVER (PARTITION BY page_id ORDER BY length(h || p) DESC, length(h) DESC) AS k
+  FROM h JOIN r ON (host = r.h OR ends_with(host, '.' || r.h)) AND starts_with(path, r.p))
+SELECT h.page_id, h.host, h.path, f.rule, coalesce(f.v, 'allow') AS verdict
+FROM h LEFT JOIN f ON f.page_id = h.page_id AND f.k = 1
+""")
+def op3_url_rules(spark, sf_dir):
+    """Block and allow rules over all pages."""
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return urls.judge(table(spark, sf_dir, "pages"), rules)
+
+
+@register("op7_source_mixing", r"""
+WITH d AS (SELECT doc_id, source, CASE WHEN text IS NULL THEN 0
+    ELSE len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) END AS size FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size,
+    ((row_number() OVER (ORDER BY source NULLS LAST)) - 1) % 3 + 1 AS w FROM d GROUP BY source),
+o AS (SELECT *, row_number() OVER (ORDER BY 3.0::DOUBLE * source_size / w, source) AS k FROM s),
+c AS (SELECT *, sum(source_size) OVER () AS t, sum(w) OVER () AS tw,
+    coalesce(sum(source_size) OVER b, 0) AS cut, coalesce(sum(w) OVER b, 0) AS cut_w
+  FROM o WINDOW b AS (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+l AS (SELECT (t - 3 * cut)::DOUBLE / (tw - cut_w)::DOUBLE AS level FROM c
+  WHERE (t - 3 * cut)::DOUBLE / (tw - cut_w)::DOUBLE * w <= 3 * source_size ORDER BY k LIMIT 1),
+g AS (SELECT source, source_size, least(level * w, 3.0::DOUBLE * source_size) AS target FROM s, l),
+m AS (SELECT doc_id, size, source_size, target, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate,
+    ('0x' || substr(md5('mix-1:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT::DOUBLE / 4503599627370496 AS u
+  FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source)
+SELECT doc_id, size::BIGINT AS size, source_size, target,
+  (size * (floor(rate) + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM m
+""")
+def op7_source_mixing(spark, sf_dir):
+    """How many words of each document the mix takes."""
+    mixed = mixing.with_copies(table(spark, sf_dir, "documents"), Scratch(spark, "op7"))
+    return mixed.select("doc_id", F.col("_size").alias("size"), F.col("_source_size").alias("source_size"),
+                        F.col("_target").alias("target"),
+                        (F.col("_size") * F.col("_copies")).alias("taken"))
+
+
+
+_SQL_ESCAPED = r"""(length({x}) + length({x}) - length(replace({x}, '\', ''))
+  + coalesce(list_sum(list_transform(regexp_extract_all({x}, '#{{3,}}'), lambda r: length(r) - 2)), 0)
+  + (length({x}) - length(replace({x}, '</turn>', ''))) // 7)"""
+
+
+@register("op8_chat_formatting", rf"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS t FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok')
+SELECT conv_id::BIGINT AS conv_id, count(*) AS n_turns,
+  sha256(string_agg(r || chr(10) || t || chr(10), '' ORDER BY turn, r, t)) AS turns_sha256,
+  sum(CASE WHEN r = 'assistant' THEN length(t) ELSE 0 END)::BIGINT AS loss_chars,
+  sha256(string_agg(CASE WHEN r = 'assistant' THEN t ELSE '' END, '' ORDER BY turn, r, t)) AS loss_sha256,
+  sum(14 + {_SQL_ESCAPED.format(x='r')} + {_SQL_ESCAPED.format(x='t')})::BIGINT AS formatted_chars
+FROM c GROUP BY conv_id
+""")
+def op8_chat_formatting(spark, sf_dir):
+    """Digests of all conversations, read back from the formatted output."""
+    scratch = Scratch(spark, "op8")
+    said = "\\### Assistant: </turn> ok"
+    probe = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)],
+                                  "conv_id long, turn long, role string, text string")
+    turns = table(spark, sf_dir, "conversations").select(
+        F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text").unionByName(probe)
+    segs = scratch.save(chat.segments(turns), "segments")
+    exs = scratch.save(chat.examples(segs), "examples")
+    return chat.digests(chat.parsed(segs, exs))
+
+
+#: Tokenizer file of the installed vocabularies, and the id that ends a document.
+TOKENIZER, END_ID = "word_bpe_49k.json", 2
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(TOKENIZER)
+
+
+@register("op1_wavelet_tokens")
+def op1_wavelet_tokens(spark, sf_dir):
+    """Token offsets and checksums of all documents, read back from the shards."""
+    shards = wavelet.write_shards(table(spark, sf_dir, "documents"), Scratch(spark, "op1"),
+                                  tokenizer_path(), END_ID)
+    return wavelet.read_documents(shards)
+
+
+@register("op5_decontamination")
+def op5_decontamination(spark, sf_dir):
+    """Documents that hold a benchmark item."""
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

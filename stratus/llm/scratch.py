@@ -7,6 +7,7 @@ them and a lost executor costs one task, not the whole lineage.
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,6 +40,12 @@ class Scratch:
             p = jvm.org.apache.hadoop.fs.Path(self.path(n))
             p.getFileSystem(conf).delete(p, True)
 
+    def free(self) -> None:
+        """Let Spark delete the shuffle files of plans that are no longer held:
+        its cleaner acts when the driver's JVM collects their handles."""
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
