@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratus.llm import chat, decontaminate, jaccard, mixing, toxicity, urls, wavelet
+from stratus.llm import chat, decontaminate, embeddings, jaccard, mixing, toxicity, urls, wavelet
 from stratus.llm.scratch import Scratch, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -164,3 +164,19 @@ def op1_wavelet_tokens(spark, sf_dir):
 def op5_decontamination(spark, sf_dir):
     """Documents that hold a benchmark item."""
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@register("op6_embedding_dedup", """
+WITH RECURSIVE g AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL),
+link AS (SELECT a.vec_id AS u, b.vec_id AS v FROM g a JOIN g b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+reach AS (SELECT vec_id AS u, vec_id AS v FROM embeddings
+  UNION SELECT r.u, l.v FROM reach r JOIN link l ON r.v = l.u),
+c AS (SELECT u AS vec_id, min(v) AS component_id FROM reach GROUP BY u)
+SELECT c.vec_id, (SELECT count(*) FROM link WHERE u = c.vec_id) AS n_links, component_id,
+  c.vec_id = component_id AS kept FROM c
+""")
+def op6_embedding_dedup(spark, sf_dir):
+    """Links and components of all vectors."""
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"), Scratch(spark, "op6"))
