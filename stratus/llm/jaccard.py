@@ -168,10 +168,13 @@ def _lists(parts: list[np.ndarray]) -> pa.ListArray:
 
 
 def _parity(u: np.ndarray) -> np.ndarray:
-    """512 bits, each the parity of the elements that fall on it: two sets'
-    bits differ in at most as many places as the sets differ in elements."""
-    odd = np.bincount((u >> np.uint64(7) & np.uint64(511)).astype(np.int64), minlength=512) & 1
-    return np.packbits(odd.astype(np.uint8)).view(np.uint64)
+    """Bits, each the parity of the elements that fall on it: two sets' bits
+    differ in at most as many places as the sets differ in elements.  There are
+    about as many bits as elements (a power of two, 64 at least); twice as many
+    are folded to match by xor of their halves."""
+    m = max(64, 1 << max(0, len(u) - 1).bit_length())
+    odd = np.bincount((u & np.uint64(m - 1)).astype(np.int64), minlength=m) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.uint64)
 
 
 def _sizes(batches):
@@ -222,10 +225,17 @@ def _plausible(pairs: DataFrame, sizes: DataFrame, t: Fraction) -> DataFrame:
 
 
 def _possible(n_a: str, n_b: str, bits_a: str, bits_b: str, t: Fraction) -> Column:
-    apart = sum((F.bit_count(F.col(bits_a)[i].bitwiseXOR(F.col(bits_b)[i])) for i in range(8)), F.lit(0))
+    def folded(mine: str, other: str) -> Column:
+        half = F.size(other)
+        return F.when(F.size(mine) > half, F.zip_with(
+            F.slice(mine, 1, half), F.slice(mine, half + 1, half), lambda x, y: x.bitwiseXOR(y))
+        ).otherwise(F.col(mine))
+    apart = F.aggregate(
+        F.zip_with(folded(bits_a, bits_b), folded(bits_b, bits_a), lambda x, y: F.bit_count(x.bitwiseXOR(y))),
+        F.lit(0), lambda total, x: total + x)
     p, q = t.numerator, t.denominator
-    return ((q * F.least(n_a, n_b) >= p * F.greatest(n_a, n_b))
-            & ((p + q) * apart <= (q - p) * (F.col(n_a) + F.col(n_b))))
+    return F.when(q * F.least(n_a, n_b) >= p * F.greatest(n_a, n_b),
+                  (p + q) * apart <= (q - p) * (F.col(n_a) + F.col(n_b))).otherwise(False)
 
 
 def _sets_of(pairs: DataFrame, known: DataFrame, scratch: Scratch, name: str) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratus.llm import chat, decontaminate, embeddings, jaccard, mixing, toxicity, urls, wavelet
+from stratus.llm import brown, chat, decontaminate, embeddings, jaccard, mixing, toxicity, urls, wavelet
 from stratus.llm.scratch import Scratch, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -180,3 +180,12 @@ SELECT c.vec_id, (SELECT count(*) FROM link WHERE u = c.vec_id) AS n_links, comp
 def op6_embedding_dedup(spark, sf_dir):
     """Links and components of all vectors."""
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"), Scratch(spark, "op6"))
+
+
+@register("op9_brown_lm")
+def op9_brown_lm(spark, sf_dir):
+    """Scores of all documents; fold 1 is held out of the training."""
+    fold = toxicity.fold("doc_id")
+    scores = brown.score(table(spark, sf_dir, "documents"), fold != 1, Scratch(spark, "op9"))
+    return scores.select("doc_id", (toxicity.fold("doc_id") == 1).alias("held_out"), "n_tokens", "n_known",
+                         "train_tokens", "base_score", "score")
