@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratus.llm import brown, chat, decontaminate, embeddings, jaccard, mixing, toxicity, urls, wavelet
+from stratus.llm import brown, chat, decontaminate, embeddings, jaccard, mixing, suffixes, toxicity, urls, wavelet
 from stratus.llm.scratch import Scratch, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -189,3 +189,9 @@ def op9_brown_lm(spark, sf_dir):
     scores = brown.score(table(spark, sf_dir, "documents"), fold != 1, Scratch(spark, "op9"))
     return scores.select("doc_id", (toxicity.fold("doc_id") == 1).alias("held_out"), "n_tokens", "n_known",
                          "train_tokens", "base_score", "score")
+
+
+@register("op4_repeated_passages")
+def op4_repeated_passages(spark, sf_dir):
+    """Passages of 50 words or more that several documents hold."""
+    return suffixes.repeated_passages(table(spark, sf_dir, "documents"), Scratch(spark, "op4"))

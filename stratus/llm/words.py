@@ -26,7 +26,7 @@ BYTE_VALUE[65:91] = BYTE_VALUE[97:123]  # A-Z count as a-z
 _power: dict[str, np.ndarray] = {}
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """base**i and base**-i for i < n, grown on demand."""
     if not _power or len(_power["up"]) < n:
         size = max(n, PIECE + 1)
@@ -58,7 +58,7 @@ def _piece(b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     ends = np.flatnonzero(edge == 1)
     if not len(starts):
         return np.empty(0, np.uint64), starts, ends
-    up, down = _powers(len(b) + 1)
+    up, down = powers(len(b) + 1)
     total = np.empty(len(b) + 1, np.uint64)
     total[0] = 0
     np.cumsum(np.take(BYTE_VALUE, b, mode="clip") * up[: len(b)], out=total[1:])
