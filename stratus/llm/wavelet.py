@@ -242,6 +242,16 @@ class Encoder:
         return [ids[a:b] for a, b in zip(cut[:-1], cut[1:])]
 
 
+_encoders: dict[str, Encoder] = {}
+
+
+def encoder(path: str) -> Encoder:
+    """The worker's encoder: it stays, with its words, from task to task."""
+    if path not in _encoders:
+        _encoders[path] = Encoder(path)
+    return _encoders[path]
+
+
 def _slices(texts: pa.Array, most: int = 4 << 20) -> Iterator[pa.Array]:
     """Runs of rows with about ``most`` bytes."""
     size = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
@@ -258,7 +268,7 @@ def _writer(path: str, end_id: int):
     is the range partition's."""
     def run(batches):
         shard = TaskContext.get().partitionId()
-        enc, end = Encoder(path), np.array([end_id], np.uint32)
+        enc, end = encoder(path), np.array([end_id], np.uint32)
         docs, ids = [], []
         for b in batches:
             docs.append(b.column(0))
