@@ -1,21 +1,21 @@
 """Registry maintenance: apply a batch of city changes and write a new version.
 
     python -m stratus.jobs.registry --registry cities.json --changes changes.jsonl \
-        --out-root registry/ --version 6 --user streamlit [--rejected rejected/]
+        --out-root registry/ --user streamlit [--log log/] [--rejected rejected/]
 
 ``changes.jsonl`` holds one JSON object per line with ``op`` in
 ``create | update | delete | toggle`` and the city fields (``id`` for
 update/delete/toggle; create derives the id from name and country) and a
-``seq``: when several changes touch one id, the largest ``seq`` wins.
-Invalid cities and unknown ids go to ``--rejected`` with the reason; the
-registry is written as a new version folder, never rewritten in place.
+``seq``: changes apply in that order.  Invalid cities and unknown ids go to
+``--rejected`` with the reason.  Every accepted change raises the document's
+version by one; ``--log`` gets (id, op, seq, version).  The registry is written
+as a new version folder, never rewritten in place.
 """
 
 from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratus.operators import cities
@@ -27,53 +27,23 @@ CHANGE_DDL = ("op string, seq bigint, id string, name string, country string, "
               "lat double, lon double, active boolean")
 
 
-def _split(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Valid rows (``seq`` kept) and (id, error) rows for the invalid ones."""
-    good, bad = cities.split_valid(df)
-    return good, bad.select(
-        "id", F.concat(F.lit("invalid: "), F.array_join("violations", ",")).alias("error"))
-
-
-def apply_changes(base: DataFrame, changes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Apply create/update/delete/toggle rows; return (registry, rejected).
-
-    Creates and updates are validated first (C10); several changes to one id
-    resolve to the one with the largest ``seq``.  Toggles and deletes of
-    unknown ids are rejected (D3)."""
-    ch = changes.withColumn("op", F.lower("op"))
-    reg = base.select(*cities.CITY_COLS)
-
-    created = (ch.where("op = 'create'").drop("op")
-               .withColumn("country", F.upper("country")).withColumn("id", cities.created_id()))
-    good_c, bad_c = _split(created)
-    reg = cities.upsert(reg, good_c, order_col="seq")
-
-    good_u, bad_u = _split(ch.where("op = 'update'").drop("op"))
-    reg, rej_u = cities.update_existing(reg, good_u, order_col="seq")
-
-    reg, rej_t = cities.toggle(reg, ch.where("op = 'toggle'").select("id"))
-    reg, rej_d = cities.delete(reg, ch.where("op = 'delete'").select("id"))
-
-    rejected = bad_c.unionByName(bad_u)
-    for r in (rej_u, rej_t, rej_d):
-        rejected = rejected.unionByName(r.select("id", "error"))
-    return reg, rejected
-
-
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(description="apply registry changes")
     p.add_argument("--registry", required=True, help="current registry JSON document")
     p.add_argument("--changes", required=True, help="JSON lines of changes")
     p.add_argument("--out-root", required=True)
-    p.add_argument("--version", type=int, required=True)
     p.add_argument("--user", default="backend")
+    p.add_argument("--log", default=None)
     p.add_argument("--rejected", default=None)
     a = p.parse_args(argv)
     spark = get_session("registry-changes", profile="cluster")
     base = read_registry(spark, a.registry)
     changes = spark.read.schema(CHANGE_DDL).json(a.changes)
-    reg, rejected = apply_changes(base, changes)
-    path = write_registry(reg, a.out_root, a.version, a.user)
+    now = base.agg(F.max("version")).first()[0] or 1
+    reg, accepted, rejected = cities.apply_changes(base.select(*cities.CITY_COLS), changes)
+    path = write_registry(reg, a.out_root, now + accepted.count(), a.user)
+    if a.log:
+        cities.change_log(now, accepted, seq="seq").write.mode("overwrite").json(a.log)
     if a.rejected:
         rejected.write.mode("overwrite").json(a.rejected)
     print(f"[registry] wrote {path}")

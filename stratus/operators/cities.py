@@ -37,7 +37,11 @@ def created_id(name: str = "name", country: str = "country") -> Column:
 def validate(cities: DataFrame) -> DataFrame:
     """Field rules after the id default; ``violations`` lists broken
     rules (empty when valid)."""
-    df = cities.withColumn("id", default_id())
+    return validate_given(cities.withColumn("id", default_id()))
+
+
+def validate_given(df: DataFrame) -> DataFrame:
+    """C10 on the ids as they are."""
     rules = [
         ("id_empty", F.coalesce(F.col("id"), F.lit("")) == ""),
         ("id_pattern", ~F.coalesce(F.col("id"), F.lit("")).rlike(CITY_ID_PATTERN)),
@@ -74,26 +78,88 @@ def active_for_fetch(cities: DataFrame) -> DataFrame:
 
 
 def create(base: DataFrame, new: DataFrame) -> DataFrame:
-    """Create cities (H13 H15): country upper-cased, id always derived from
-    ``name-country`` (a given id is ignored), then upserted by that id."""
+    """Create cities (H13 H15 C10): country upper-cased, id always derived from
+    ``name-country`` (a given id is ignored), valid rows upserted by that id
+    (the others come from :func:`split_valid` of :func:`created`)."""
+    good, _ = split_valid(created(new))
+    return upsert(base, good)
+
+
+def created(new: DataFrame) -> DataFrame:
+    """Rows as a create makes them, not validated yet."""
     rows = new.withColumn("country", F.upper("country")).withColumn("id", created_id())
-    rows = rows.withColumn("active", is_active())
-    return upsert(base, rows.select(*CITY_COLS))
+    return rows.withColumn("active", is_active())
 
 
 def upsert(base: DataFrame, changes: DataFrame, order_col: str | None = None) -> DataFrame:
-    """Replace the row with the same id, else append.  With several
-    changes to one id, the one with the largest ``order_col`` wins."""
+    """Replace the row with the same id, else append.  With several changes
+    to one id, the one with the largest ``order_col`` wins, and of equal ones
+    the largest row, so an id never comes out twice."""
     chg = _last_per_id(changes, order_col).select(*CITY_COLS)
     return base.select(*CITY_COLS).join(chg.select("id"), "id", "left_anti").unionByName(chg)
 
 
 def _last_per_id(changes: DataFrame, order_col: str | None) -> DataFrame:
-    if order_col is None:
-        return changes
-    return changes.groupBy("id").agg(
-        F.max_by(F.struct(*[c for c in CITY_COLS if c != "id"]), F.col(order_col)).alias("_c")
-    ).select("id", "_c.*")
+    row = F.struct(*[c for c in CITY_COLS if c != "id"])
+    order = F.struct(order_col, row) if order_col else row
+    return changes.groupBy("id").agg(F.max_by(row, order).alias("_c")).select("id", "_c.*")
+
+
+def apply_changes(base: DataFrame, changes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Apply create/update/delete/toggle rows in the order of ``seq``.
+
+    Returns (registry, accepted, rejected).  Per id, in order: a create sets the
+    row, an update replaces it, a delete removes it, a toggle flips ``active``;
+    all but create need the id to exist at that point (D3), creates and updates
+    must be valid (C10).  One window over the changes decides what is accepted;
+    then each id's state is its last accepted create/update/delete (else its
+    base row) and the parity of the accepted toggles after it, joined to the
+    base once.  ``accepted`` has (id, op, seq), ``rejected`` (id, seq, error).
+    Changes of equal ``seq`` apply in the order of their operation's name.
+    """
+    ch = changes.withColumn("op", F.lower("op"))
+    made = created(ch)
+    is_create = F.col("op") == "create"
+    rows = made.where(is_create).unionByName(ch.where(~F.coalesce(is_create, F.lit(False))))
+    checked = validate_given(rows)
+    needs = F.col("op").isin("create", "update")
+    fault = (F.when(~F.coalesce(F.col("op").isin("create", "update", "delete", "toggle"), F.lit(False)),
+                    F.lit("unknown operation"))
+             .when(needs & (F.size("violations") > 0),
+                   F.concat(F.lit("invalid: "), F.array_join("violations", ","))))
+    known = base.select(F.col("id"), F.lit(True).alias("_known")).dropDuplicates(["id"])
+    row = F.struct(*[c for c in CITY_COLS if c != "id"])
+    by_id = Window.partitionBy("id").orderBy("seq", "op")
+    before = by_id.rowsBetween(Window.unboundedPreceding, -1)
+    alive = F.when(F.col("_fault").isNull() & F.col("op").isin("create", "delete"), F.col("op") == "create")
+    judged = (
+        checked.withColumn("_fault", fault)
+        .join(known, "id", "left")
+        .withColumn("_exists", F.coalesce(F.last(alive, ignorenulls=True).over(before),
+                                          F.col("_known"), F.lit(False)))
+        .withColumn("error", F.coalesce(
+            "_fault", F.when((F.col("op") != "create") & ~F.col("_exists"), F.lit("city not found"))))
+    )
+    ok = judged.where("error IS NULL")
+    sets = F.col("op") != "toggle"
+    after = (
+        ok.withColumn("_set", F.max(F.when(sets, F.struct("seq", "op"))).over(
+            Window.partitionBy("id")))
+        .groupBy("id").agg(
+            F.max("_set.op").alias("_op"),
+            F.max_by(row, F.when(sets, F.struct("seq", "op"))).alias("_row"),
+            F.count_if(~sets & (F.col("_set").isNull() | (F.struct("seq", "op") > F.col("_set")))).alias("_flips"))
+    )
+    state = (
+        base.select(F.col("id"), row.alias("_base")).join(after, "id", "full_outer")
+        .where(F.coalesce(F.col("_op"), F.lit("")) != "delete")
+        .select("id", F.when(F.col("_op").isNotNull(), F.col("_row")).otherwise(F.col("_base")).alias("_r"),
+                F.coalesce("_flips", F.lit(0)).alias("_flips"))
+    )
+    active = F.when(F.col("_flips") % 2 == 1, ~F.coalesce("_r.active", F.lit(True))).otherwise(F.col("_r.active"))
+    registry = state.select("id", "_r.name", "_r.country", "_r.lat", "_r.lon", active.alias("active"))
+    return (registry, ok.select("id", "op", "seq"),
+            judged.where("error IS NOT NULL").select("id", "seq", "error"))
 
 
 def update_existing(base: DataFrame, changes: DataFrame, order_col: str | None = None):
@@ -113,34 +179,49 @@ def delete(base: DataFrame, ids: DataFrame):
 
 
 def toggle(base: DataFrame, ids: DataFrame):
-    """Flip ``active`` (missing = true) for the chosen ids, as an update."""
-    chosen = base.join(ids.select("id"), "id", "left_semi").withColumn(
-        "active", ~is_active()
-    )
-    return update_existing(base, chosen)
-
-
-def global_row_number(df: DataFrame, order_cols: list[str], name: str = "rn") -> DataFrame:
-    """1-based position of each row in the total order, without moving all
-    rows to one task: range-partition and sort within partitions, take the
-    in-partition position from ``monotonically_increasing_id`` (partition id
-    in the upper bits, row number within the partition in the lower 33 bits),
-    then add the row counts of the preceding partitions (a table with one row
-    per partition, so bounded by the partition count)."""
-    ranged = df.repartitionByRange(*order_cols).sortWithinPartitions(*order_cols)
-    pid = F.spark_partition_id().cast("long")
-    tagged = ranged.withColumn("_pid", pid).withColumn(
-        "_lrn", F.monotonically_increasing_id() - F.shiftleft(pid, 33) + 1
-    )
-    counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    """Flip ``active`` (missing = true) for the chosen ids; one join.
+    Returns (registry, rejected ids)."""
+    chosen = ids.select("id").distinct()
+    flip = chosen.withColumn("_flip", F.lit(True))
+    reg = base.select(*CITY_COLS).join(flip, "id", "left").withColumn(
+        "active", F.when(F.col("_flip"), ~is_active()).otherwise(F.col("active"))).drop("_flip")
+    rejected = chosen.join(base.select("id"), "id", "left_anti").withColumn("error", F.lit("city not found"))
+    return reg.select(*CITY_COLS), rejected
+
+
+def global_row_number(df: DataFrame, order_cols: list[str], name: str = "rn",
+                      buckets: int = 256) -> DataFrame:
+    """1-based position of each row in the total order of ``order_cols``, without
+    moving all rows to one task.
+
+    Rows fall into buckets by the first order column, between bounds that are
+    quantiles of the data and enter the plan as literals: a row's bucket depends
+    on its value alone, whatever the partitioning.  The position is the number of
+    rows in earlier buckets (a table of ``buckets`` rows) plus the row number in
+    the bucket.  The first column must be numeric, a date or a timestamp; nulls
+    come first.  Very many rows with one first value share a bucket.
+    """
+    first = order_cols[0]
+    shares = [i / buckets for i in range(1, buckets)]
+    cuts = df.select(F.approx_percentile(first, shares, 20 * buckets)).first()[0]
+    kind = df.schema[first].dataType
+    bounds = [F.lit(x).cast(kind) for x in sorted(set(cuts or []))]
+
+    def bucket(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(F.col(first) >= bounds[mid], bucket(mid + 1, hi)).otherwise(bucket(lo, mid))
+
+    tagged = df.withColumn("_bucket", bucket(0, len(bounds)))
+    counts = tagged.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select(
-        "_pid",
-        (F.sum("_n").over(Window.orderBy("_pid")) - F.col("_n")).alias("_off"),
-    )
+        "_bucket", (F.sum("_n").over(Window.orderBy("_bucket")) - F.col("_n")).alias("_off"))
+    place = F.row_number().over(Window.partitionBy("_bucket").orderBy(*order_cols))
     return (
-        tagged.join(F.broadcast(offsets), "_pid")
-        .withColumn(name, F.col("_off") + F.col("_lrn"))
-        .drop("_pid", "_lrn", "_off")
+        tagged.withColumn("_place", place).join(F.broadcast(offsets), "_bucket")
+        .withColumn(name, F.col("_off") + F.col("_place"))
+        .drop("_bucket", "_place", "_off")
     )
 
 

@@ -547,6 +547,48 @@ def q_city_change_log(spark, sf_dir):
     return log.select("id", "change_seq", F.col("version").cast("bigint").alias("version"))
 
 
+@register("city_apply_changes", O.with_(O.CITIES, O.APPLIED) + f"""
+SELECT s.id, name, country, {O.R('lat')} AS lat, {O.R('lon')} AS lon,
+       CASE WHEN coalesce(f.n, 0) % 2 = 1 THEN NOT coalesce(active, TRUE) ELSE active END AS active
+FROM state s LEFT JOIN flips f ON f.id = s.id""")
+def q_city_apply_changes(spark, sf_dir):
+    """G4-G7 in order: mixed operations, several per id."""
+    reg, _, _ = cities.apply_changes(V.cities(spark, sf_dir), V.mixed_changes(spark, sf_dir))
+    return reg
+
+
+@register("city_changes_rejected", O.with_(O.CITIES, O.APPLIED) + """
+SELECT id, seq, fine AS was_valid FROM judged WHERE NOT fine OR (op <> 'create' AND NOT there)""")
+def q_city_changes_rejected(spark, sf_dir):
+    """Refused changes."""
+    _, _, rej = cities.apply_changes(V.cities(spark, sf_dir), V.mixed_changes(spark, sf_dir))
+    return rej.select("id", "seq", (F.col("error") == "city not found").alias("was_valid"))
+
+
+@register("city_change_versions", O.with_(O.CITIES, O.APPLIED) + """
+SELECT id, seq, 1 + row_number() OVER (ORDER BY seq, op, id) AS version FROM ok""")
+def q_city_change_versions(spark, sf_dir):
+    """G8 in use: every accepted change raises the document's version by one."""
+    _, acc, _ = cities.apply_changes(V.cities(spark, sf_dir), V.mixed_changes(spark, sf_dir))
+    log = cities.global_row_number(acc, ["seq", "op", "id"], "pos")
+    return log.select("id", "seq", (F.lit(1) + F.col("pos")).cast("bigint").alias("version"))
+
+
+@register("lineitem_positions", """
+SELECT l_orderkey, l_linenumber, l_comment_chars,
+       row_number() OVER (ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey,
+                                   l_quantity, l_extendedprice) AS pos
+FROM (SELECT *, length(l_returnflag) + l_quantity AS l_comment_chars FROM lineitem)""")
+def q_lineitem_positions(spark, sf_dir):
+    """G8 at volume: a global position over a table with heavy ties."""
+    li = V.read_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
+        (F.length("l_returnflag") + F.col("l_quantity")).alias("l_comment_chars"))
+    out = cities.global_row_number(li, ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+                                        "l_quantity", "l_extendedprice"], "pos")
+    return out.select("l_orderkey", "l_linenumber", "l_comment_chars", F.col("pos").cast("bigint").alias("pos"))
+
+
 NOW_REQ = """
 now_req AS (SELECT event_id, concat(' C', CAST(user_id AS VARCHAR), ' ') AS city_id FROM events)"""
 
@@ -631,7 +673,7 @@ def q_default_city_choice(spark, sf_dir):
            lower(trim(concat_ws('-', name, nullif(lower(country), '')))), '\s+', '-', 'g'),
            '[^a-z0-9\-]+', '', 'g'), '-{2,}', '-', 'g'), '-') AS id,
          name, upper(country) AS country, lat, lon, coalesce(active, TRUE) AS active
-  FROM cities WHERE country = 'AM')""" + f"""
+  FROM cities WHERE country = 'AM' AND lat BETWEEN -90 AND 90)""" + f"""
 SELECT {REG_COLS} FROM cities WHERE id NOT IN (SELECT id FROM created)
 UNION ALL SELECT {REG_COLS} FROM created""")
 def q_city_create(spark, sf_dir):

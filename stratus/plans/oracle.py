@@ -121,6 +121,53 @@ changes AS (
   FROM cities_k WHERE country = 'EU'
 )"""
 
+_SLUG = r"""trim(regexp_replace(regexp_replace(regexp_replace(
+  lower(trim(concat_ws('-', name, nullif(country, '')))), '\s+', '-', 'g'),
+  '[^a-z0-9\-]+', '', 'g'), '-{2,}', '-', 'g'), '-')"""
+_OPS = [
+    ("city_key % 3 = 0", "'toggle'", 1, "id", "lat", "country", "name"),
+    ("city_key % 6 = 0", "'toggle'", 2, "id", "lat", "country", "name"),
+    ("city_key % 4 = 1", "'update'", 3, "id", "lat", "country", "name || ' u'"),
+    ("city_key % 4 = 1", "'toggle'", 4, "id", "lat", "country", "name"),
+    ("city_key % 5 = 2", "'delete'", 5, "id", "lat", "country", "name"),
+    ("city_key % 10 = 2", "'update'", 6, "id", "lat", "country", "name"),
+    ("city_key % 7 = 3", "'create'", 1, _SLUG, "1.0", "country", "name"),
+    ("city_key % 7 = 3", "'delete'", 2, _SLUG, "lat", "country", "name"),
+    ("city_key % 14 = 3", "'create'", 7, _SLUG, "2.0", "country", "name"),
+    ("city_key % 14 = 3", "'toggle'", 8, _SLUG, "lat", "country", "name"),
+    ("city_key % 11 = 0", "'create'", 9, _SLUG.replace("country", "'xyz'"), "lat", "'XYZ'", "name"),
+    ("city_key % 50 = 0", "'toggle'", 9, "concat('ghost', city_key)", "lat", "country", "name"),
+]
+#: Ordered application of views.mixed_changes: ``judged`` has every change and
+#: whether its id exists just before it; ``ok`` the accepted ones.
+APPLIED = """,
+ops AS (
+""" + "\nUNION ALL ".join(
+    f"SELECT {op} AS op, city_key * 10 + {at} AS seq, {i} AS id, {n} AS name, {c} AS country, "
+    f"CAST({lat} AS DOUBLE) AS lat, lon, active FROM cities_k WHERE {when}"
+    for when, op, at, i, lat, c, n in _OPS) + r"""
+),
+valid AS (
+  SELECT *, op NOT IN ('create', 'update') OR (
+      regexp_full_match(id, '[a-z0-9][a-z0-9\-]{1,62}[a-z0-9]') AND length(country) = 2
+      AND lat BETWEEN -90 AND 90 AND lon BETWEEN -180 AND 180) AS fine
+  FROM ops),
+judged AS (
+  SELECT v.*, coalesce(last_value(CASE WHEN fine AND op IN ('create', 'delete') THEN op = 'create' END IGNORE NULLS)
+      OVER (PARTITION BY v.id ORDER BY seq, op ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+      v.id IN (SELECT id FROM cities_k)) AS there
+  FROM valid v),
+ok AS (SELECT * FROM judged WHERE fine AND (op = 'create' OR there)),
+setter AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY seq DESC, op DESC) AS rn
+    FROM ok WHERE op <> 'toggle') WHERE rn = 1),
+flips AS (
+  SELECT ok.id, count(*) AS n FROM ok LEFT JOIN setter s ON s.id = ok.id
+  WHERE ok.op = 'toggle' AND (s.seq IS NULL OR ok.seq > s.seq) GROUP BY ok.id),
+state AS (
+  SELECT id, name, country, lat, lon, active FROM cities_k WHERE id NOT IN (SELECT id FROM setter)
+  UNION ALL SELECT id, name, country, lat, lon, active FROM setter WHERE op <> 'delete')"""
+
 CITY_EVENTS = CITIES_K + """,
 city_events AS (
   SELECT e.event_id, e.ts, e.event_type, c.id AS city_id, c.name AS city_name, c.country

@@ -12,6 +12,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratus.operators.cities import created_id
 from stratus.sources.files import read_table
 
 
@@ -174,6 +175,37 @@ def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edits.unionByName(new)
 
 
+def mixed_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Change operations in ``seq`` order, several per id: double toggles,
+    updates and toggles after each other, deletes followed by updates (refused),
+    cities created, deleted and created again, invalid and unknown ones."""
+    k = _cities_keyed(spark, sf_dir)
+    key = F.col("city_key")
+    slug = created_id()
+
+    def ops(when, op, at, id_=None, lat=None, country=None, name=None):
+        return k.where(when).select(
+            F.lit(op).alias("op"), (key * 10 + at).alias("seq"),
+            (id_ if id_ is not None else F.col("id")).alias("id"),
+            (name if name is not None else F.col("name")).alias("name"),
+            (F.lit(country) if country else F.col("country")).alias("country"),
+            (F.lit(lat) if lat is not None else F.col("lat")).alias("lat"), "lon", "active")
+
+    parts = [
+        ops(key % 3 == 0, "toggle", 1), ops(key % 6 == 0, "TOGGLE", 2),
+        ops(key % 4 == 1, "update", 3, name=F.concat("name", F.lit(" u"))), ops(key % 4 == 1, "toggle", 4),
+        ops(key % 5 == 2, "delete", 5), ops(key % 10 == 2, "update", 6),
+        ops(key % 7 == 3, "create", 1, lat=1.0), ops(key % 7 == 3, "delete", 2, id_=slug),
+        ops(key % 14 == 3, "create", 7, lat=2.0), ops(key % 14 == 3, "toggle", 8, id_=slug),
+        ops(key % 11 == 0, "create", 9, country="XYZ"),
+        ops(key % 50 == 0, "toggle", 9, id_=F.concat(F.lit("ghost"), key.cast("string"))),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 # Three requests covering avg/min/max, an empty city list, open dates and an
 # unknown metric (FIXTURES.md §2).
 REQUEST_ROWS = [

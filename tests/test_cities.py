@@ -126,3 +126,73 @@ def test_label_match_is_anchored_and_quoted(spark):
     df = spark.createDataFrame([("c1",), ("c10",), ("a.b",), ("axb",)], "v string")
     assert rows(df.where(label_match("v", ["c1", "a.b"]))) == [("a.b",), ("c1",)]
     assert df.where(label_match("v", None)).count() == 4
+
+
+def test_global_row_number_large_and_wide(spark, tmp):
+    """300,000 rows with a wide payload, written and read back: exactly 1..n."""
+    df = spark.range(0, 300_000, 1, 24).selectExpr(
+        "(id * 7919 + 13) % 1000003 AS seq", "repeat(sha2(cast(id AS string), 256), 2) AS payload")
+    cities.change_log(100, df, seq="seq").write.parquet(f"{tmp}/log")
+    back = spark.read.parquet(f"{tmp}/log")
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+    want = df.withColumn("want", 100 + F.row_number().over(Window.orderBy("seq"))).drop("payload")
+    both = back.join(want, "seq")
+    assert back.count() == 300_000 == both.where("version = want AND length(payload) = 128").count()
+
+
+def test_global_row_number_ties_nulls_and_empty(spark):
+    df = spark.createDataFrame([(None, 1), (5, 1), (5, 2), (5, 3), (1, 9), (None, 0)], "k int, t int")
+    out = cities.global_row_number(df.repartition(4), ["k", "t"], "rn")
+    assert [(r.k, r.t) for r in out.orderBy("rn").collect()] == [(None, 0), (None, 1), (1, 9), (5, 1), (5, 2), (5, 3)]
+    assert cities.global_row_number(df.limit(0), ["k"]).count() == 0
+
+
+def _apply_in_order(base, changes):
+    """One change after the other, as a service would."""
+    reg = {r[0]: r for r in base}
+    accepted, rejected = [], []
+    for op, seq, i, name, country, lat, lon, active in sorted(changes, key=lambda c: (c[1], c[0])):
+        if op == "create":
+            i = f"{name}-{country}".lower()
+            country = country.upper()
+            active = True if active is None else active
+        bad = op in ("create", "update") and (len(country or "") != 2 or not -90 <= lat <= 90)
+        if bad or (op != "create" and i not in reg):
+            rejected.append((i, seq))
+            continue
+        accepted.append((i, seq))
+        if op in ("create", "update"):
+            reg[i] = (i, name, country, lat, lon, active)
+        elif op == "delete":
+            del reg[i]
+        else:
+            r = reg[i]
+            reg[i] = (*r[:5], not (True if r[5] is None else r[5]))
+    return reg, accepted, rejected
+
+
+def test_changes_apply_in_order(spark):
+    import random
+    rng = random.Random(9)
+    base = [(f"city{k}-fr", f"city{k}", "FR", 1.0, 1.0, rng.choice([True, False, None])) for k in range(8)]
+    seqs = rng.sample(range(1000), 300)
+    ch = []
+    for s in seqs:
+        k = rng.randrange(12)
+        op = rng.choice(["create", "update", "delete", "toggle", "toggle"])
+        ch.append((op, s, f"city{k}-fr", f"city{k}", rng.choice(["fr", "fr", "f"]) if op == "create" else "FR",
+                   rng.choice([2.0, 3.0, 3.0, 95.0]), 1.0, rng.choice([True, False, None])))
+    reg, acc, rej = cities.apply_changes(
+        spark.createDataFrame(base, CITY),
+        spark.createDataFrame(ch, "op string, seq long, id string, name string, country string, lat double, lon double, active boolean"))
+    want, w_acc, w_rej = _apply_in_order(base, ch)
+    assert rows(reg) == rows(spark.createDataFrame(list(want.values()), CITY))
+    assert sorted((r.id, r.seq) for r in acc.collect()) == sorted(w_acc)
+    assert sorted((r.id, r.seq) for r in rej.collect()) == sorted(w_rej)
+
+
+def test_upsert_never_repeats_an_id(spark):
+    base = _reg(spark).where("id <> ''")
+    chg = spark.createDataFrame([("x", "A", "FR", 1.0, 1.0, True), ("x", "B", "FR", 1.0, 1.0, True)], CITY)
+    assert rows(cities.upsert(base, chg).where("id = 'x'"), "name") == [("B",)]

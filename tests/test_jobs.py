@@ -72,12 +72,14 @@ def test_registry_job(spark, tmp):
     ]
     _lines(f"{tmp}/changes", [json.dumps(c) for c in changes])
     assert registry.main(["--registry", f"{tmp}/cities.json", "--changes", f"{tmp}/changes",
-                          "--out-root", f"{tmp}/reg", "--version", "6", "--user", "tests",
+                          "--out-root", f"{tmp}/reg", "--user", "tests", "--log", f"{tmp}/log",
                           "--rejected", f"{tmp}/rej"]) == 0
-    reg = {r.id: r for r in spark.read.json(f"{tmp}/reg/v=6").collect()}
+    reg = {r.id: r for r in spark.read.json(f"{tmp}/reg/v=8").collect()}
     assert set(reg) == {"paris-fr", "lyon-fr", "saint-tienne-fr"}
     assert reg["paris-fr"].lat == 48.0 and reg["lyon-fr"].active is False
     assert reg["saint-tienne-fr"].country == "FR"
+    log = {r.seq: r.version for r in spark.read.json(f"{tmp}/log").collect()}
+    assert log == {1: 6, 3: 7, 5: 8}
     rej = {r.id: r.error for r in spark.read.json(f"{tmp}/rej").collect()}
     assert rej == {"nowhere-fr": "invalid: lat_range", "ghost": "city not found",
                    "ghost2": "city not found"}
