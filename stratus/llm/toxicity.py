@@ -36,8 +36,10 @@ from stratus.llm.words import hash_words, text_buffers
 MAX_TRAIN = 4000
 #: Hashed rows of the embedding table, and their length.
 BUCKETS, DIM = 1 << 17, 8
+#: Training steps, and how much a toxic document counts against a clean one.
+EPOCHS, TOXIC_WEIGHT = 80, 3.0
 #: Words per passage.
-PASSAGE = 8
+PASSAGE = 4
 #: Characters scored at once; a longer text goes in several pieces.
 CHUNK = 1 << 17
 _MULT = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F, 0x165667B1], np.uint32)
@@ -178,8 +180,8 @@ def _expand(first: np.ndarray, count: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - (ends - count), count)
 
 
-def fit(raws: list[np.ndarray], labels: np.ndarray, epochs: int = 60, rate: float = 0.05,
-        decay: float = 1e-5, seed: int = 7) -> Model:
+def fit(raws: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS, rate: float = 0.1,
+        decay: float = 2e-5, toxic_weight: float = TOXIC_WEIGHT, seed: int = 7) -> Model:
     """Joint training of the n-gram table and the softmax on whole texts.
 
     Each step: all passages forward, each document by its worst passage,
@@ -212,7 +214,7 @@ def fit(raws: list[np.ndarray], labels: np.ndarray, epochs: int = 60, rate: floa
         chosen = hits[np.unique(of_doc[hits], return_index=True)[1]]  # a document's first worst passage
         best = best + p["b"][1] - p["b"][0]
         prob = 1 / (1 + np.exp(-np.clip(best, -60, 60)))
-        gz = (((prob - y) / len(y))[:, None] * np.array([[-1, 1]])).astype(np.float32)
+        gz = (((prob - y) * np.where(y > 0, toxic_weight, 1.0) / len(y))[:, None] * np.array([[-1, 1]])).astype(np.float32)
         # Vectors forward and back for the chosen passages alone.
         n = words_in[chosen]
         word = entries[_expand(passage_cut[chosen], n)]
