@@ -45,7 +45,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratus.llm import graph
-from stratus.llm.scratch import Scratch, bounded_broadcast
+from stratus.llm.scratch import MAX_BROADCAST, Scratch, bounded_broadcast
 from stratus.llm.words import doc_words, mix, shingles
 
 #: Similarity as a fraction: 100 * intersection >= 75 * union.
@@ -55,8 +55,6 @@ HOT = 64
 #: Extra segments over the pigeonhole's minimum, so that empty and hot
 #: segments can be skipped.
 SLACK = Fraction(15, 100)
-#: A list of ids is broadcast up to this many rows (8 bytes each).
-MAX_BROADCAST = 2_000_000
 _BANDS = 64  # a band's number fits the low bits of a signature
 
 
@@ -156,8 +154,7 @@ def signatures(u: np.ndarray, k: int, band: Band, t: Fraction):
 def _set_batches(batches):
     """Arrow batches (doc_id, text) -> (ids, list of sorted distinct shingle sets)."""
     for b in batches:
-        ids = b.column(0).to_numpy(zero_copy_only=False)
-        yield ids, [np.unique(shingles(w)) for w in doc_words(b.column(1))]
+        yield b.column(0), [np.unique(shingles(w)) for w in doc_words(b.column(1))]
 
 
 def _lists(parts: list[np.ndarray]) -> pa.ListArray:
@@ -180,7 +177,7 @@ def _parity(u: np.ndarray) -> np.ndarray:
 def _sizes(batches):
     for ids, sets in _set_batches(batches):
         yield pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.int64()), pa.array([len(u) for u in sets], pa.int64()),
+            [ids, pa.array([len(u) for u in sets], pa.int64()),
              _lists([_parity(u) for u in sets])],
             ["doc_id", "n_shingles", "bits"])
 
@@ -191,7 +188,7 @@ def _signer(bands: list[Band], t: Fraction):
     def run(batches):
         for ids, sets in _set_batches(batches):
             doc, slack, sigs = [], [], []
-            for i, u in zip(ids, sets):
+            for i, u in zip(ids.to_pylist(), sets):
                 n = len(u)
                 if not n:
                     continue
@@ -212,8 +209,7 @@ def _signer(bands: list[Band], t: Fraction):
 
 def _packed_sets(batches):
     for ids, sets in _set_batches(batches):
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), _lists(sets)],
-                                         ["doc_id", "items"])
+        yield pa.RecordBatch.from_arrays([ids, _lists(sets)], ["doc_id", "items"])
 
 
 def _plausible(pairs: DataFrame, sizes: DataFrame, t: Fraction) -> DataFrame:
