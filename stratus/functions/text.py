@@ -7,6 +7,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from stratus.schemas import EVENT_SLUG_STEPS, REGISTRY_SLUG_STEPS
+
 ColumnOrName = Column | str
 
 
@@ -18,24 +20,22 @@ def strip_dashes(c: Column) -> Column:
     return F.regexp_replace(c, r"^-+|-+$", "")
 
 
+def _steps(c: Column, steps: Iterable[tuple[str, str]]) -> Column:
+    for pattern, to in steps:
+        c = F.regexp_replace(c, pattern, to)
+    return strip_dashes(c)
+
+
 def slug_registry(c: ColumnOrName) -> Column:
-    """Registry slug: lower, trim, whitespace runs -> '-', drop other
-    characters, collapse dashes, strip dashes (may be empty)."""
-    s = F.trim(F.lower(_c(c)))
-    s = F.regexp_replace(s, r"\s+", "-")
-    s = F.regexp_replace(s, r"[^a-z0-9\-]+", "")
-    s = F.regexp_replace(s, r"-{2,}", "-")
-    return strip_dashes(s)
+    """Registry slug: lower, trimmed, white space to dashes, other characters
+    dropped, dashes collapsed and stripped (may be empty)."""
+    return _steps(strip_ws(F.lower(_c(c))), REGISTRY_SLUG_STEPS)
 
 
 def slug_event(c: ColumnOrName) -> Column:
-    """Event slug: lower, every run of other characters -> '-', collapse,
-    strip; empty -> 'na'."""
-    s = F.lower(_c(c))
-    s = F.regexp_replace(s, r"[^a-z0-9\-]+", "-")
-    s = F.regexp_replace(s, r"-+", "-")
-    s = strip_dashes(s)
-    return F.coalesce(F.nullif(s, F.lit("")), F.lit("na"))
+    """Event slug: lower, every run of other characters a dash, dashes collapsed
+    and stripped; empty -> 'na'."""
+    return F.coalesce(F.nullif(_steps(F.lower(_c(c)), EVENT_SLUG_STEPS), F.lit("")), F.lit("na"))
 
 
 def slug_ui(c: ColumnOrName) -> Column:
@@ -81,6 +81,20 @@ def label_match(c: ColumnOrName, values: Iterable[str] | None) -> Column:
     return _c(c).rlike("^(?:" + "|".join(_quote(v) for v in vals) + ")$")
 
 
-def result_path(base: str, request_id: ColumnOrName) -> Column:
-    """Result folder of a request (``{base}/{request_id}``)."""
-    return F.concat(F.lit(base.rstrip("/") + "/"), _c(request_id))
+# Characters that a partition folder's name writes as % and two hex digits.
+ESCAPED = "".join(map(chr, range(1, 32))) + "\"#%'*/:=?\\\x7f{[]^"
+
+
+def folder_name(c: ColumnOrName) -> Column:
+    """A value as it appears in a ``key=value`` folder's name."""
+    out = _c(c)
+    for ch in "%" + ESCAPED.replace("%", ""):
+        out = F.replace(out, F.lit(ch), F.lit(f"%{ord(ch):02X}"))
+    return out
+
+
+def result_path(base: str, request_id: ColumnOrName, key: str | None = None) -> Column:
+    """Result folder of a request: ``{base}/{request_id}``, or
+    ``{base}/{key}={request_id}`` with the name as a partitioned write makes it."""
+    name = folder_name(request_id) if key else _c(request_id)
+    return F.concat(F.lit(base.rstrip("/") + "/" + (f"{key}=" if key else "")), name)

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from stratus.operators.batched import daily_stats, write_stats
 from stratus.operators.daily import daily_aggregate, partition_presence, write_daily
 from stratus.session import get_session
-from stratus.sources.files import read_bronze
+from stratus.schemas import GOLD_DDL
+from stratus.sources.files import read_bronze, read_parquet_or_empty
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -29,7 +30,7 @@ def main(argv: list[str] | None = None) -> int:
                    help="recompute only days >= this (partition-pruned; implies dynamic)")
     p.add_argument("--date-to", default=None, help="recompute only days <= this")
     a = p.parse_args(argv)
-    spark = get_session("batch-daily-agg", profile="cluster")
+    spark = get_session("stratus-daily", profile="cluster")
     bronze = read_bronze(spark, a.bronze)          # A3: fails before any job runs
     mode = a.mode
     if a.date_from or a.date_to:
@@ -44,7 +45,8 @@ def main(argv: list[str] | None = None) -> int:
     if a.stats:
         write_stats(daily_stats(bronze), a.stats)
     # Never fails; prints the presence row.
-    row = partition_presence(spark.read.parquet(a.gold), a.check_day).first()
+    gold = read_parquet_or_empty(spark, a.gold, GOLD_DDL)
+    row = partition_presence(gold, a.check_day).first()
     print(f"[daily] {a.gold} date={row['date']} rows={row['n_rows']} present={row['present']}")
     return 0
 

@@ -32,7 +32,10 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--max-per-trigger", default=None,
                    help="kafka: maxOffsetsPerTrigger; files: maxFilesPerTrigger")
     p.add_argument("--bronze", required=True)
-    p.add_argument("--partition-by-date", action="store_true")
+    p.add_argument("--partition-by-date", action=argparse.BooleanOptionalAction, default=True,
+                   help="bronze by day, so that jobs over some days read only those")
+    p.add_argument("--keep-ingested-at", action=argparse.BooleanOptionalAction, default=True,
+                   help="keep the fetch time, which tells the last fetch of an hour")
     p.add_argument("--messages", default=None, help="JSON folder for hourly messages")
     p.add_argument("--messages-topic", default=None, help=f"e.g. {TOPIC_HOURLY}")
     p.add_argument("--current", default=None, help="Parquet folder for current observations (I4)")
@@ -42,7 +45,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--trigger", default=None, help='"once" (available now) or an interval')
     a = p.parse_args(argv)
 
-    spark = get_session("weather-streaming-hourly", profile="cluster")
+    spark = get_session("stratus-hourly", profile="cluster")
     opts = {}
     if a.source == "kafka":
         if a.min_partitions:
@@ -66,7 +69,8 @@ def main(argv: list[str] | None = None) -> int:
         trigger = {"availableNow": True}
     elif a.trigger:
         trigger = {"processingTime": a.trigger}
-    queries = start_hourly(read_stream(spark, src), bronze, payload, a.checkpoint, trigger, a.mode)
+    queries = start_hourly(read_stream(spark, src), bronze, payload, a.checkpoint, trigger, a.mode,
+                           keep_ingested_at=a.keep_ingested_at)
     if a.current or a.current_topic:
         cur = (Sink("kafka", topic=a.current_topic, bootstrap=a.bootstrap) if a.current_topic
                else Sink("parquet", path=a.current))

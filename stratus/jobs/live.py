@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from stratus.operators.latest import ARRIVAL, latest_by_city
 from stratus.schemas import CURRENT_OBS_DDL
 from stratus.session import get_session
+from stratus.sources.files import holds
 from stratus.sources.streams import (
     START_LATEST, TOPIC_CURRENT, TOPIC_HOURLY, Source, parse_hourly_messages, read_stream,
 )
@@ -33,7 +34,11 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--messages-topic", default=TOPIC_HOURLY)
     p.add_argument("--order", choices=["arrival", "event_time"], default=None)
     p.add_argument("--latest-out", required=True)
-    p.add_argument("--current", default=None, help="JSON folder of current observations")
+    p.add_argument("--current", default=None, help="folder of current observations")
+    p.add_argument("--current-format", choices=["auto", "parquet", "json"], default="auto",
+                   help="files: Parquet as jobs.hourly_stream writes them, or JSON lines")
+    p.add_argument("--state-partitions", type=int, default=64,
+                   help="state partitions per query (one row per city or open window: few)")
     p.add_argument("--current-topic", default=TOPIC_CURRENT)
     p.add_argument("--rate-out", default=None)
     p.add_argument("--watermark", default="2 minutes")
@@ -41,6 +46,9 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--once", action="store_true")
     a = p.parse_args(argv)
     spark = get_session("live-gauges", profile="cluster")
+    # AQE does not coalesce stateful streams, and their number of partitions is
+    # fixed by the first run, so it is not the batch jobs'.
+    spark.conf.set("spark.sql.shuffle.partitions", str(a.state_partitions))
     trigger = {"availableNow": True} if a.once else {"processingTime": "10 seconds"}
 
     msgs = read_stream(spark, Source(a.source, path=a.messages, topic=a.messages_topic,
@@ -55,9 +63,15 @@ def main(argv: list[str] | None = None) -> int:
                               f"{a.checkpoint}/latest", trigger, "complete")]
 
     if a.rate_out:
-        cur = read_stream(spark, Source(a.source, path=a.current, topic=a.current_topic,
-                                        bootstrap=a.bootstrap, starting_offsets=START_LATEST))
-        obs = cur.select(F.from_json("value", CURRENT_OBS_DDL).alias("o")).select("o.*")
+        fmt = a.current_format
+        if fmt == "auto":
+            fmt = "json" if a.source == "kafka" or holds(spark, a.current, "*.json") else "parquet"
+        if a.source == "files" and fmt == "parquet":
+            obs = spark.readStream.schema(CURRENT_OBS_DDL).parquet(a.current)
+        else:
+            cur = read_stream(spark, Source(a.source, path=a.current, topic=a.current_topic,
+                                            bootstrap=a.bootstrap, starting_offsets=START_LATEST))
+            obs = cur.select(F.from_json("value", CURRENT_OBS_DDL).alias("o")).select("o.*")
         rate = live_rate(obs.withColumn("ts", F.try_to_timestamp("ts")), watermark=a.watermark)
         w = (rate.writeStream.outputMode("append").format("parquet")
              .option("path", a.rate_out).option("checkpointLocation", f"{a.checkpoint}/rate")

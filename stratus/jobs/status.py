@@ -18,10 +18,11 @@ from stratus.sources.streams import START_EARLIEST, TOPIC_RESULTS, Source, parse
 
 
 def status_of(spark: SparkSession, statuses: DataFrame, request_id: str) -> DataFrame:
-    """The latest status row of one request (``pending`` if none)."""
+    """The last status row of one request in the log's own order, whatever
+    its writers' clocks say (``pending`` if none)."""
     asked = spark.createDataFrame([(request_id,)], "request_id string")
     one = statuses.where(F.col("request_id") == request_id)
-    return latest_status(one, asked=asked)
+    return latest_status(one, asked=asked, order_by=("log_offset",))
 
 
 def main(argv: list[str] | None = None) -> int:

@@ -20,8 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratus.functions.arrays import keep_known
-from stratus.functions.text import csv_to_list
-from stratus.schemas import AGGS, DEFAULT_AGG, DEFAULT_METRICS, DEFAULT_REQUEST_ID, METRICS
+from stratus.functions.text import csv_to_list, strip_ws
+from stratus.schemas import AGGS, DAY_PATTERN, DEFAULT_AGG, DEFAULT_METRICS, DEFAULT_REQUEST_ID, METRICS
 
 KEYS = ["city_id", "city_name", "country", "date"]
 
@@ -54,7 +54,8 @@ def _csv_list(c: Column) -> Column:
 def normalize_requests(requests: DataFrame) -> DataFrame:
     """Request rows -> resolved parameters plus an ``error`` text (NULL if OK).
 
-    Same rules as :func:`stratus.operators.paramquery.resolve`, as columns.
+    The one rule set for requests, single ones too: null and empty fields take
+    the defaults, unknown metrics and repeats vanish, days are ``YYYY-MM-DD``.
     Built in two projections: the text work (list parsing, whitelist, date
     parsing) once per row, then the cheap checks on its results, so no
     expensive expression is inlined several times.
@@ -68,11 +69,11 @@ def normalize_requests(requests: DataFrame) -> DataFrame:
         _csv_list(F.col("city_ids")).alias("city_ids"),
         keep_known(_csv_list(metrics_in)).alias("metrics"),
         F.lower(F.coalesce(F.nullif(F.col("agg"), F.lit("")), F.lit(DEFAULT_AGG))).alias("agg"),
-        F.nullif(F.trim(F.col("date_from")), F.lit("")).alias("_from_txt"),
-        F.nullif(F.trim(F.col("date_to")), F.lit("")).alias("_to_txt"),
+        F.nullif(strip_ws(F.col("date_from")), F.lit("")).alias("_from_txt"),
+        F.nullif(strip_ws(F.col("date_to")), F.lit("")).alias("_to_txt"),
     )
-    dfrom = F.col("_from_txt").try_cast("date")
-    dto = F.col("_to_txt").try_cast("date")
+    dfrom, dto = (F.when(F.col(c).rlike(DAY_PATTERN), F.col(c).try_cast("date"))
+                  for c in ("_from_txt", "_to_txt"))
     error = (
         F.when(~F.col("agg").isin(*AGGS), F.concat(F.lit("invalid agg: "), F.col("agg")))
         .when(F.size("metrics") == 0, F.lit("no valid metric requested"))
@@ -108,6 +109,14 @@ def batched_from_stats(stats: DataFrame, requests: DataFrame) -> DataFrame:
         "request_id", "city_ids", "date_from", "date_to", "agg",
         F.posexplode(F.when(F.col("error").isNull(), F.col("metrics"))).alias("metric_pos", "metric"),
     )
+    # The days that any valid request asks for: two values of the (small) request
+    # batch.  As literals on ``date`` they prune the stats' partitions.
+    asked = req.where(F.col("error").isNull()).agg(
+        F.min(F.coalesce("date_from", F.lit("0001-01-01").cast("date"))).alias("lo"),
+        F.max(F.coalesce("date_to", F.lit("9999-12-31").cast("date"))).alias("hi")).first()
+    if asked["lo"] is not None:
+        stats = stats.where(F.col("date").between(
+            *(F.lit(asked[k].isoformat()).cast("date") for k in ("lo", "hi"))))
     # Open bounds are closed with the data's first and last day (one scalar
     # subquery returning both, evaluated once), so every day range is finite.
     bounds = stats.select(F.struct(F.min("date").alias("lo"), F.max("date").alias("hi"))).scalar()
@@ -159,7 +168,8 @@ def _week(d: Column) -> Column:
 def write_stats(stats: DataFrame, path: str) -> None:
     """Store :func:`daily_stats` as a gold table partitioned by ``date``
     (built by the daily job; read by the request stream)."""
-    (stats.repartition("date").sortWithinPartitions("city_id", "metric")
+    # Rebalanced, not repartitioned: AQE splits a large day over several tasks.
+    (stats.hint("rebalance", "date").sortWithinPartitions("date", "city_id", "metric")
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("date").parquet(path))
 

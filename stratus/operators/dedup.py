@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stratus.operators.latest import packed_order
+
 KEYS = ("city_id", "hour_ts")
 
 
@@ -28,7 +30,7 @@ def last_fetch(hourly: DataFrame, order_by: Sequence[str] | None = None,
     rest = [c for c in hourly.columns if c not in keys]
     return (
         hourly.groupBy(*keys)
-        .agg(F.max_by(F.struct(*rest), F.struct(*order_by)).alias("_r"))
+        .agg(F.max_by(F.struct(*rest), packed_order(hourly, order_by)).alias("_r"))
         .select(*keys, "_r.*")
         .select(*hourly.columns)
     )

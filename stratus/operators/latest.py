@@ -8,9 +8,11 @@ depend on row order.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stratus.functions.times import epoch_or_iso
 from stratus.schemas import (
@@ -34,6 +36,28 @@ def event_order(df: DataFrame) -> tuple[str, ...]:
     return ("hour_ts",)
 
 
+def packed_order(df: DataFrame, order_by: Sequence[str]) -> Column:
+    """The ordering columns as one fixed-width value, so that ``max_by`` runs as
+    a hash aggregate (a struct order makes Spark sort every task's input).
+
+    One column stays as it is.  A timestamp and an integer become
+    ``micros * 2 * 10**19 + integer`` in decimal(38, 0): any long is less than
+    10**19 from 0, so it never carries over, and the microseconds must fit 18
+    digits (the cast fails beyond, in year 33658).  A null counts as the smallest.
+    Any other combination stays a struct.
+    """
+    if len(order_by) == 1:
+        return F.col(order_by[0])
+    kinds = [df.schema[c].dataType for c in order_by]
+    if (len(order_by) == 2 and isinstance(kinds[0], T.TimestampType)
+            and isinstance(kinds[1], (T.LongType, T.IntegerType, T.ShortType))):
+        micros = F.unix_micros(F.col(order_by[0])).cast("decimal(18,0)")
+        step = F.lit(Decimal(2 * 10 ** 19)).cast("decimal(20,0)")
+        return (F.coalesce(micros, F.lit(-(10 ** 18 - 1)).cast("decimal(18,0)")) * step
+                + F.coalesce(F.col(order_by[1]).cast("long"), F.lit(-(2 ** 63))).cast("decimal(19,0)"))
+    return F.struct(*[F.col(c) for c in order_by])
+
+
 def last_non_null(value: Column | str, order: Column) -> Column:
     """Value at the largest ``order`` among rows where value is not NULL
     (a NULL never overwrites)."""
@@ -52,7 +76,7 @@ def latest_by_city(
     ``order_by`` defaults to :func:`event_order`; pass :data:`ARRIVAL` for
     broker order."""
     order_by = tuple(order_by or event_order(hourly))
-    order = F.col(order_by[0]) if len(order_by) == 1 else F.struct(*[F.col(c) for c in order_by])
+    order = packed_order(hourly, order_by)
     valid = hourly.where(F.col("city_id").isNotNull() & (F.col("city_id") != ""))
     return valid.groupBy(*keys).agg(*[last_non_null(m, order).alias(m) for m in metrics])
 
@@ -79,8 +103,9 @@ def latest_status(
     asked: DataFrame | None = None,
     order_by: Sequence[str] = ("ts_norm", "log_offset"),
 ) -> DataFrame:
-    """Last message per request id.  ``ts`` may be epoch seconds or ISO
-    text (normalised first); ties go to the later log offset.  With ``asked``
+    """Last message per request id, by ``order_by`` (a Kafka log's own order
+    is ``timestamp, partition, offset``: :data:`ARRIVAL`).  ``ts`` may be epoch seconds or ISO
+    text (normalised first); ties go to the later log position.  With ``asked``
     (a frame of request ids), ids without any message are ``pending``."""
     s = statuses
     if "ts_norm" in order_by and "ts_norm" not in s.columns:

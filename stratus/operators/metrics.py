@@ -8,13 +8,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratus.functions.text import label_match
+from stratus.operators.latest import packed_order
 from stratus.schemas import LATENCY_BUCKETS, SERIES_PREFIXES
 
 
 def city_event_counts(current: DataFrame) -> DataFrame:
-    """E5: events per city (a missing country is labelled ``na``)."""
+    """E5: events per city (a missing or empty country is labelled ``na``)."""
     return current.groupBy(
-        "city_id", "city_name", F.coalesce("country", F.lit("na")).alias("country")
+        "city_id", "city_name",
+        F.coalesce(F.nullif(F.col("country"), F.lit("")), F.lit("na")).alias("country")
     ).agg(F.count(F.lit(1)).alias("events"))
 
 
@@ -60,7 +62,7 @@ def sum_latest(
     """Latest sample of each series, then summed by labels
     (``sum(gauge) by (labels)``)."""
     last = samples.groupBy(*series).agg(
-        F.max_by("value", F.struct(*order_by)).alias("value")
+        F.max_by("value", packed_order(samples, order_by)).alias("value")
     )
     return last.groupBy(*by).agg(F.sum("value").alias("value"))
 
@@ -73,10 +75,14 @@ def latency_histogram(
     log: DataFrame, by: Sequence[str] = ("kind",), buckets: Sequence[float] = LATENCY_BUCKETS
 ) -> DataFrame:
     """Calls, failures, latency sum and cumulative bucket counts per kind
-    (one pass; each bucket is a ``count_if(sec <= bound)``)."""
-    sec = F.col("sec")
+    (one pass; each bucket is a ``count_if(sec <= bound)``).
+
+    A call counts once a reply came (``replied``; a log without that column has
+    replies only), its latency only if it did not fail; a failure counts always."""
+    sec = F.when(F.col("reason").isNull(), F.col("sec"))
+    replied = F.col("replied") if "replied" in log.columns else F.lit(True)
     cols = [
-        F.count(F.lit(1)).alias("calls"),
+        F.count_if(replied).alias("calls"),
         F.count("reason").alias("failures"),
         F.sum(sec).alias("sum_sec"),
     ]
@@ -93,6 +99,12 @@ def failures_by_reason(log: DataFrame, by: Sequence[str] = ("kind", "reason")) -
     )
 
 
+def producer_failures(log: DataFrame) -> DataFrame:
+    """Failed sends by topic and reason (log of ``topic, reason``; a null
+    reason is a message that was sent)."""
+    return failures_by_reason(log, by=("topic", "reason"))
+
+
 def messages_per_poll(polls: DataFrame) -> DataFrame:
     """Messages sent per poll: 2 for a city with a current value (raw +
     current), 1 without.  Input: one row per (poll, city) with
@@ -114,9 +126,13 @@ def chart_series(result: DataFrame, prefixes: Sequence[str] = SERIES_PREFIXES) -
     return result.unpivot(["city_id", "date"], cols, "series", "value")
 
 
-def default_choice(df: DataFrame, label: str, n: int = 1) -> DataFrame:
-    """The first ``n`` choices in sorted order (the selector's default)."""
-    return choices(df, label).orderBy(label).limit(n)
+def default_choice(registry: DataFrame, label: str = "id", order_col: str | None = None,
+                   n: int = 1) -> DataFrame:
+    """The first ``n`` cities of the registry (the selector's default), in
+    the registry's own order (``order_col``, its position in the document), or
+    sorted by id where the table keeps no position."""
+    rows = registry.where(F.col(label).isNotNull())
+    return rows.orderBy(order_col or label).limit(n).select(label)
 
 
 def choices(df: DataFrame, label: str) -> DataFrame:

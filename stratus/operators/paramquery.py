@@ -3,17 +3,16 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable, Mapping
+from collections.abc import Mapping
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratus.schemas import AGGS, DEFAULT_AGG, DEFAULT_METRICS, DEFAULT_REQUEST_ID, METRICS
+from stratus.operators.batched import normalize_requests
 
 GROUP_KEYS = ("city_id", "city_name", "country", "date")
-_AGG_FN = {"avg": F.avg, "min": F.min, "max": F.max}
 
 
 class RequestError(ValueError):
@@ -34,77 +33,47 @@ class QueryParams:
         return [f"{self.agg}_{m}" for m in self.metrics]
 
 
-def _csv_items(values: Iterable[str] | str | None) -> list[str]:
-    # Lists travel as comma-joined text between the steps, so an entry with a
-    # comma inside splits; entries are stripped and blanks dropped.
-    if values is None:
-        return []
-    text = values if isinstance(values, str) else ",".join(str(v) for v in values)
-    return [p.strip() for p in text.split(",") if p.strip()]
-
-
-def _date(v: str | None, name: str) -> dt.date | None:
-    if v is None or str(v).strip() == "":
-        return None
-    try:
-        return dt.date.fromisoformat(str(v).strip())
-    except ValueError as exc:
-        raise RequestError(f"invalid {name}: {v!r}") from exc
-
-
 def resolve(conf: Mapping[str, Any] | None = None, **kw: Any) -> QueryParams:
-    """Merge a request over the defaults and validate it.
-
-    Non-null fields override defaults; empty metrics -> temperature_2m; agg is
-    lowered and must be avg/min/max; unknown metrics vanish (repeats too);
-    none left is an error; dates are ISO days or empty (open).
-    """
-    c = {k: v for k, v in {**(conf or {}), **kw}.items() if v is not None}
-    rid = c.get("request_id") or DEFAULT_REQUEST_ID
-    metrics_in = c.get("metrics") or list(DEFAULT_METRICS)   # list or CSV text
-    agg = (c.get("agg") or DEFAULT_AGG).lower()
-    if agg not in AGGS:
-        raise RequestError(f"invalid agg: {agg!r} (expected one of {', '.join(AGGS)})")
-    metrics: list[str] = []
-    for m in _csv_items(metrics_in):
-        if m in METRICS and m not in metrics:
-            metrics.append(m)
-    if not metrics:
-        raise RequestError("no valid metric requested")
-    return QueryParams(
-        request_id=str(rid),
-        city_ids=tuple(_csv_items(c.get("city_ids"))),
-        date_from=_date(c.get("date_from"), "date_from"),
-        date_to=_date(c.get("date_to"), "date_to"),
-        metrics=tuple(metrics),
-        agg=agg,
-    )
-
-
-def filter_rows(bronze: DataFrame, p: QueryParams) -> DataFrame:
-    """City list (empty = all), inclusive date bounds (None = open).
-
-    Literal predicates on plain columns, so they reach the Parquet scan and
-    prune ``date=`` partitions."""
-    df = bronze
-    if p.city_ids:
-        df = df.where(F.col("city_id").isin(list(p.city_ids)))
-    if p.date_from is not None:
-        df = df.where(F.col("date") >= F.lit(p.date_from))
-    if p.date_to is not None:
-        df = df.where(F.col("date") <= F.lit(p.date_to))
-    return df
+    """One request, resolved and checked by the rules for request
+    tables (:func:`stratus.operators.batched.normalize_requests`), as a table of
+    one row.  ``kw`` overrides ``conf`` where it is not null; lists may also come
+    as comma-separated text."""
+    given = dict(conf or {})
+    given.update((k, v) for k, v in kw.items() if v is not None)
+
+    def text(name: str):
+        v = given.get(name)
+        return None if v is None else str(v)
+
+    def items(name: str):
+        v = given.get(name)
+        return [v] if isinstance(v, str) and v else [str(x) for x in v or []]
+
+    spark = SparkSession.builder.getOrCreate()
+    row = normalize_requests(spark.createDataFrame(
+        [(text("request_id"), items("city_ids"), text("date_from"), text("date_to"), items("metrics"), text("agg"))],
+        "request_id string, city_ids array<string>, date_from string, date_to string, "
+        "metrics array<string>, agg string")).first()
+    if row["error"]:
+        raise RequestError(row["error"])
+    return QueryParams(row["request_id"], tuple(row["city_ids"]), row["date_from"], row["date_to"],
+                       tuple(row["metrics"]), row["agg"])
+
+
+def selected(p: QueryParams) -> Column:
+    """City list (empty = all) and inclusive days (open where not given),
+    as literals on plain columns, so they reach the scan and prune ``date=``."""
+    test = F.lit(True)
+    if p.date_from or p.date_to:
+        test = F.col("date").between(*(F.lit((given or end).isoformat()).cast("date") for given, end in
+                                       ((p.date_from, dt.date.min), (p.date_to, dt.date.max))))
+    return test & F.col("city_id").isin(*p.city_ids) if p.city_ids else test
 
 
 def param_query(bronze: DataFrame, p: QueryParams, ordered: bool = True) -> DataFrame:
     """E2 + B5: ``<agg>_<metric>`` per requested metric by (city, date)."""
-    fn = _AGG_FN[p.agg]
-    out = (
-        filter_rows(bronze, p)
-        .select(*GROUP_KEYS, *p.metrics)
-        .groupBy(*GROUP_KEYS)
-        .agg(*[fn(m).alias(f"{p.agg}_{m}") for m in p.metrics])
-    )
+    values = [F.call_function(p.agg, F.col(m)).alias(name) for m, name in zip(p.metrics, p.columns)]
+    out = bronze.where(selected(p)).groupBy(*GROUP_KEYS).agg(*values)
     return out.orderBy("city_id", "date") if ordered else out
 
 

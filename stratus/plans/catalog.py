@@ -8,6 +8,7 @@ the presentation rules of :mod:`stratus.plans.oracle`.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +19,11 @@ from stratus.operators import (
 )
 from stratus.plans import oracle as O
 from stratus.plans import views as V
-from stratus.sources.streams import TOPIC_CURRENT, TOPIC_RAW
+from stratus.schemas import GOLD_DDL
+from stratus.session import scratch_path
+from stratus.sources.files import read_bronze, read_parquet_or_empty, read_registry_version, read_result
+from stratus.sources.sinks import write_registry
+from stratus.sources.streams import TOPIC_CURRENT, TOPIC_RAW, parse_statuses
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -283,11 +288,14 @@ def q_latest_current_by_city(spark, sf_dir):
 
 
 @register("city_event_counts", CURRENT_RANKED + """
-SELECT city_id, city_name, coalesce(country, 'na') AS country, count(*) AS events
+SELECT city_id, city_name, CASE WHEN country IN ('AF', 'AS') THEN 'na' ELSE country END AS country, count(*) AS events
 FROM cur WHERE has_current GROUP BY 1, 2, 3""")
 def q_city_event_counts(spark, sf_dir):
-    """E5: current events per city."""
-    return metrics.city_event_counts(current.current_flat(_envelopes(spark, sf_dir)))
+    """E5: current events per city; here two regions come without a country
+    (null and empty), which counts as ``na``."""
+    flat = current.current_flat(_envelopes(spark, sf_dir))
+    country = F.when(F.col("country") == "AF", F.lit(None)).when(F.col("country") == "AS", "").otherwise(F.col("country"))
+    return metrics.city_event_counts(flat.withColumn("country", country))
 
 
 @register("messages_per_poll", CURRENT_RANKED + """
@@ -419,9 +427,10 @@ def _hist_sql() -> str:
     for b in LATENCY_BUCKETS:
         name = metrics._bucket_name(b)  # noqa: SLF001
         cond = "sec IS NOT NULL" if b == float("inf") else f"sec <= CAST({b!r} AS DOUBLE)"
+        cond = f"reason IS NULL AND {cond}"
         cols.append(f"count_if({cond}) AS {name}")
-    return (O.with_(O.FETCH_LOG) + " SELECT kind, count(*) AS calls, count(reason) AS failures, "
-            f"{O.R('sum(sec)')} AS sum_sec, " + ", ".join(cols) + " FROM fetch_log GROUP BY kind")
+    return (O.with_(O.FETCH_LOG) + " SELECT kind, count_if(replied) AS calls, count(reason) AS failures, "
+            f"{O.R('sum(CASE WHEN reason IS NULL THEN sec END)')} AS sum_sec, " + ", ".join(cols) + " FROM fetch_log GROUP BY kind")
 
 
 @register("fetch_histogram", _hist_sql())
@@ -659,12 +668,52 @@ def q_city_choices(spark, sf_dir):
     return metrics.choices(V.hourly(spark, sf_dir), "city_id")
 
 
-@register("default_city_choice", O.with_(O.HOURLY) + """
-SELECT city_id FROM (SELECT DISTINCT city_id FROM hourly WHERE city_id IS NOT NULL)
-ORDER BY city_id LIMIT 1""")
+@register("default_city_choice", O.with_(O.GAPPY) + """
+SELECT id FROM gappy WHERE id IS NOT NULL ORDER BY position LIMIT 1""")
 def q_default_city_choice(spark, sf_dir):
-    """The selector's default (first city id); the limit is the feature."""
-    return metrics.default_choice(V.hourly(spark, sf_dir), "city_id")
+    """The selector's default, the registry's first city; the limit is the
+    feature."""
+    return metrics.default_choice(V.gappy_cities(spark, sf_dir), "id", order_col="position")
+
+
+@register("producer_failures", f"""
+SELECT CASE WHEN user_id % 2 = 0 THEN '{TOPIC_RAW}' ELSE '{TOPIC_CURRENT}' END AS topic,
+       concat('P', CAST(event_id % 4 AS VARCHAR)) AS reason, count(*) AS failures
+FROM events WHERE event_type = 'error' GROUP BY 1, 2""")
+def q_producer_failures(spark, sf_dir):
+    """Failed sends by topic and reason."""
+    return metrics.producer_failures(V.producer_log(spark, sf_dir))
+
+
+@register("city_validate_gaps", O.with_(O.GAPPY) + r"""
+, d AS (SELECT *, coalesce(nullif(id, ''), trim(regexp_replace(regexp_replace(regexp_replace(
+         lower(trim(concat_ws('-', name, nullif(country, '')))), '\s+', '-', 'g'),
+         '[^a-z0-9\-]+', '', 'g'), '-{2,}', '-', 'g'), '-')) AS full_id FROM gappy)
+SELECT position, full_id AS id,
+       concat_ws(',',
+         CASE WHEN full_id = '' THEN 'id_empty' END,
+         CASE WHEN NOT regexp_full_match(full_id, '[a-z0-9][a-z0-9\-]{1,62}[a-z0-9]') THEN 'id_pattern' END,
+         CASE WHEN coalesce(length(name), 0) < 1 THEN 'name_empty' END,
+         CASE WHEN coalesce(length(country), 0) <> 2 THEN 'country_length' END,
+         CASE WHEN NOT coalesce(lat BETWEEN -90 AND 90, FALSE) THEN 'lat_range' END,
+         CASE WHEN NOT coalesce(lon BETWEEN -180 AND 180, FALSE) THEN 'lon_range' END) AS violations
+FROM d""")
+def q_city_validate_gaps(spark, sf_dir):
+    """C10/H13 with every rule broken by some row."""
+    v = cities.validate(V.gappy_cities(spark, sf_dir))
+    return v.select("position", "id", F.array_join("violations", ",").alias("violations"))
+
+
+@register("active_cities_gaps", O.with_(O.GAPPY) + f"""
+SELECT s.id, coalesce(nullif(name, ''), s.id) AS name, coalesce(nullif(country, ''), 'na') AS country,
+       {O.R('lat')} AS lat, {O.R('lon')} AS lon
+FROM (SELECT *, coalesce(nullif(trim(regexp_replace(regexp_replace(lower(g.id), '[^a-z0-9\\-]+', '-', 'g'),
+                  '-+', '-', 'g'), '-'), ''), 'na') AS slug FROM gappy g) t,
+     LATERAL (SELECT t.slug AS id) s
+WHERE coalesce(active, TRUE)""")
+def q_active_cities_gaps(spark, sf_dir):
+    """C4/H11/H14 where flags, names and countries are missing."""
+    return cities.active_for_fetch(V.gappy_cities(spark, sf_dir))
 
 
 @register("city_create", O.with_(O.CITIES) + r"""
@@ -722,3 +771,77 @@ SELECT {BRONZE_COLS}, fetch_seq FROM (
 def q_hourly_dedup(spark, sf_dir):
     """Last fetch per (city, hour)."""
     return dedup.last_fetch(V.hourly(spark, sf_dir))
+
+
+# --- written and read back through the real sinks and readers --------------
+def _folder(spark: SparkSession, name: str) -> str:
+    return scratch_path(spark, "tables", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+@register("gold_round_trip", _daily_sql_cte() + f"""
+SELECT city_id, city_name, country, {O.D('date')} AS date, {O.R('avg_temperature_2m')} AS avg_temperature_2m,
+       {O.R('min_temperature_2m')} AS min_temperature_2m, {O.R('max_temperature_2m')} AS max_temperature_2m,
+       {O.R('avg_relative_humidity_2m')} AS avg_relative_humidity_2m, {O.R('avg_wind_speed_10m')} AS avg_wind_speed_10m
+FROM daily""")
+def q_gold_round_trip(spark, sf_dir):
+    """Bronze written by date and read back, aggregated, written day by
+    day over an older run, and read back."""
+    base = _folder(spark, "gold")
+    V.bronze(spark, sf_dir).write.partitionBy("date").parquet(f"{base}/bronze")
+    gold = daily.daily_aggregate(read_bronze(spark, f"{base}/bronze"))
+    daily.write_daily(gold.withColumn("avg_wind_speed_10m", F.lit(-1.0)), f"{base}/gold")
+    daily.write_daily(gold, f"{base}/gold", mode="dynamic")
+    return read_parquet_or_empty(spark, f"{base}/gold", GOLD_DDL)
+
+
+@register("stored_day_presence", _daily_sql_cte() + f"""
+SELECT '{PRESENCE_DAY}' AS date, count(*) AS n_rows, count(*) > 0 AS present
+FROM daily WHERE date = DATE '{PRESENCE_DAY}'""")
+def q_stored_day_presence(spark, sf_dir):
+    """A17 over a stored gold table: one day's files are read."""
+    base = _folder(spark, "presence")
+    daily.write_daily(daily.daily_aggregate(V.bronze(spark, sf_dir)), base)
+    return daily.partition_presence(read_parquet_or_empty(spark, base, GOLD_DDL), PRESENCE_DAY)
+
+
+@register("result_round_trip", PARAM_SQL["param_avg"])
+def q_result_round_trip(spark, sf_dir):
+    """A request's result folder written and read back."""
+    base = _folder(spark, "result")
+    p = paramquery.resolve(PARAMS["param_avg"])
+    paramquery.write_result(paramquery.param_query(V.bronze(spark, sf_dir), p, ordered=False), f"{base}/{p.request_id}")
+    return read_result(spark, f"{base}/{p.request_id}")
+
+
+@register("registry_round_trip", O.with_(O.CITIES) + f"""
+SELECT 7 AS version, 'tests' AS updated_by, {REG_COLS} FROM cities""")
+def q_registry_round_trip(spark, sf_dir):
+    """A registry version written and read back."""
+    base = _folder(spark, "registry")
+    write_registry(V.cities(spark, sf_dir), base, 7, "tests")
+    return read_registry_version(spark, base, 7).drop("updated_at")
+
+
+@register("status_log_order", """
+WITH log AS (
+  SELECT concat('q', CAST(o_custkey % 300 AS VARCHAR)) AS request_id, o_orderkey,
+         CASE o_orderkey % 3 WHEN 0 THEN 'submitted' WHEN 1 THEN 'done' ELSE 'ERROR' END AS word
+  FROM orders),
+last AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY request_id ORDER BY o_orderkey DESC) AS rn FROM log)
+  WHERE rn = 1)
+SELECT request_id, CASE lower(word) WHEN 'done' THEN 'success' ELSE lower(word) END AS status, o_orderkey AS seq
+FROM last""")
+def q_status_log_order(spark, sf_dir):
+    """A broker log whose messages carry misleading clocks (all equal,
+    some epoch and some ISO): the log's own order decides."""
+    o = V.read_table(spark, sf_dir, "orders")
+    clock = F.when(F.col("o_orderkey") % 2 == 0, "1704067200").otherwise("2024-01-01T00:00:00Z")
+    word = (F.when(F.col("o_orderkey") % 3 == 0, "submitted").when(F.col("o_orderkey") % 3 == 1, "done")
+            .otherwise("ERROR"))
+    log = o.select(
+        F.to_json(F.struct(F.concat(F.lit("q"), (F.col("o_custkey") % 300).cast("string")).alias("request_id"),
+                           word.alias("status"), clock.alias("ts"))).alias("value"),
+        F.timestamp_seconds(F.col("o_orderkey")).alias("timestamp"), F.lit(0).alias("partition"),
+        F.col("o_orderkey").alias("offset"))
+    last = latest.latest_status(parse_statuses(log), order_by=("log_offset",))
+    return last.select("request_id", "status", F.col("log_offset.offset").alias("seq"))

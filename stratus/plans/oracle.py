@@ -107,10 +107,21 @@ fetch_log AS (
   SELECT event_type AS kind,
          CASE WHEN event_type = 'error'
               THEN concat('E', CAST(user_id % 3 AS VARCHAR)) END AS reason,
-         value / 100 AS sec
+         value / 100 AS sec, event_type <> 'error' OR user_id % 3 <> 2 AS replied
   FROM events
 )"""
 
+GAPPY = CITIES_K + """,
+gappy AS (
+  SELECT city_key AS position,
+         CASE WHEN city_key % 17 = 0 THEN 'No_' || id WHEN city_key % 19 = 0 THEN '' ELSE id END AS id,
+         CASE WHEN city_key % 9 = 0 THEN '' WHEN city_key % 10 = 0 THEN NULL ELSE name END AS name,
+         CASE WHEN city_key % 13 = 0 THEN '' WHEN city_key % 14 = 0 THEN 'EUR' ELSE country END AS country,
+         CASE WHEN city_key % 15 = 0 THEN NULL ELSE lat END AS lat,
+         lon * CASE WHEN city_key % 16 = 0 THEN 3 ELSE 1 END AS lon,
+         CASE WHEN city_key % 4 = 1 THEN NULL ELSE active END AS active
+  FROM cities_k)"""
+
 CHANGES = """,
 changes AS (
   SELECT id, concat(name, ' v2') AS name, country, lat, lon, NOT active AS active,

@@ -14,11 +14,13 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from stratus.operators import batched, envelope
+from stratus.plans import oracle as O
 from stratus.plans import views as V
 from stratus.plans.catalog import SQL, register
 from stratus.session import scratch_path
+from stratus.sources.files import read_statuses
 from stratus.sources.sinks import Sink
-from stratus.sources.streams import Source, read_stream
+from stratus.sources.streams import Source, parse_hourly_messages, read_stream
 from stratus.streaming import hourly as sh
 from stratus.streaming import live, requests as sr
 
@@ -82,29 +84,30 @@ def q_stream_latest(spark, sf_dir):
 
 @register("stream_dedup", SQL["hourly_dedup"])
 def q_stream_dedup(spark, sf_dir):
-    """G3 on a stream: last fetch per (city, hour), state bounded by a
-    watermark on the hour (complete snapshot here, so open hours show too)."""
+    """G3 on a stream: last fetch per (city, hour).  ``update`` mode: the state
+    holds the hours the watermark has not passed, the sink the newest row of each."""
     base = _dirs(spark, "dedup")
     h = V.hourly(spark, sf_dir)
     h.write.parquet(f"{base}/in")
     stream = spark.readStream.schema(h.schema).parquet(f"{base}/in")
     q = live.start_snapshot(live.live_last_fetch(stream, watermark="2 days", order_by=("fetch_seq",)),
-                            f"{base}/out", f"{base}/ckpt", AVAILABLE_NOW, "complete")
+                            f"{base}/out", f"{base}/ckpt", AVAILABLE_NOW, "update")
     _await([q])
-    return spark.read.parquet(f"{base}/out").select(*h.columns)
+    return live.read_updates(spark, f"{base}/out", ["city_id", "hour_ts"]).select(*h.columns)
 
 
 @register("stream_rate", SQL["event_rate_1m"])
 def q_stream_rate(spark, sf_dir):
-    """Per-minute rate by city with a watermark."""
+    """Per-minute rate by city with a watermark that drops closed windows from
+    the state (``update`` mode)."""
     base = _dirs(spark, "rate")
     ev = V.city_events(spark, sf_dir)
     ev.write.parquet(f"{base}/in")
     stream = spark.readStream.schema(ev.schema).parquet(f"{base}/in")
     q = live.start_snapshot(live.live_rate(stream), f"{base}/out", f"{base}/ckpt",
-                            AVAILABLE_NOW, "complete")
+                            AVAILABLE_NOW, "update")
     _await([q])
-    return spark.read.parquet(f"{base}/out")
+    return live.read_updates(spark, f"{base}/out", ["window_start", "city_name"])
 
 
 @register("stream_requests", SQL["batched_requests"])
@@ -123,3 +126,32 @@ def q_stream_requests(spark, sf_dir):
     return res.select("request_id", "city_id", "city_name", "country", "date", "metric",
                       F.col("metric_pos").cast("int").alias("metric_pos"), "agg", "value")
 
+
+
+@register("stream_messages", O.with_(O.HOURLY) + f"""
+SELECT city_id, city_name, country, {O.TS('hour_ts')} AS hour_ts, {O.R('temperature_2m')} AS temperature_2m,
+       {O.R('relative_humidity_2m')} AS relative_humidity_2m, {O.R('wind_speed_10m')} AS wind_speed_10m
+FROM hourly""")
+def q_stream_messages(spark, sf_dir):
+    """The flatten stream's second sink, read back as messages."""
+    base = _dirs(spark, "messages")
+    _envelope_files(spark, sf_dir, f"{base}/raw")
+    raw = read_stream(spark, Source("files", path=f"{base}/raw"))
+    _await(sh.start_hourly(raw, Sink("parquet", path=f"{base}/bronze"),
+                           Sink("json", path=f"{base}/messages"), f"{base}/ckpt", AVAILABLE_NOW))
+    msgs = spark.read.schema("key string, value string").json(f"{base}/messages")
+    return parse_hourly_messages(msgs.select("value"))
+
+
+@register("stream_statuses", """
+SELECT concat('o', CAST(o_orderkey AS VARCHAR)) AS request_id, status
+FROM orders, (VALUES ('submitted'), ('success')) AS t(status)""")
+def q_stream_statuses(spark, sf_dir):
+    """Every status the request stream publishes for one request per order."""
+    base = _dirs(spark, "statuses")
+    V.order_requests(spark, sf_dir).select(F.to_json(F.struct("*")).alias("value")).write.text(f"{base}/in")
+    batched.write_stats(batched.daily_stats(V.bronze(spark, sf_dir)), f"{base}/stats")
+    raw = read_stream(spark, Source("files", path=f"{base}/in"))
+    _await([sr.start_requests(raw, f"{base}/stats", f"{base}/results", f"{base}/status", f"{base}/ckpt",
+                              AVAILABLE_NOW)])
+    return read_statuses(spark, f"{base}/status").select("request_id", "status")

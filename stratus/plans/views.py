@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from stratus.operators.cities import created_id
 from stratus.sources.files import read_table
+from stratus.sources.streams import TOPIC_CURRENT, TOPIC_RAW
 
 
 def _cities_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -150,13 +151,40 @@ def up_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fetch_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """API call log: kind, failure reason (NULL = ok), latency seconds."""
+    """API call log: kind, failure reason (NULL = ok), latency seconds (of failed
+    calls too), and whether a reply came (a third of the failures had none)."""
     ev = read_table(spark, sf_dir, "events")
     return ev.select(
         F.col("event_type").alias("kind"),
         F.when(F.col("event_type") == "error",
                F.concat(F.lit("E"), (F.col("user_id") % 3).cast("string"))).alias("reason"),
         (F.col("value") / 100).alias("sec"),
+        ((F.col("event_type") != "error") | (F.col("user_id") % 3 != 2)).alias("replied"),
+    )
+
+
+def producer_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Message sends: topic and failure reason (NULL = sent)."""
+    ev = read_table(spark, sf_dir, "events")
+    return ev.select(
+        F.when(F.col("user_id") % 2 == 0, TOPIC_RAW).otherwise(TOPIC_CURRENT).alias("topic"),
+        F.when(F.col("event_type") == "error",
+               F.concat(F.lit("P"), (F.col("event_id") % 4).cast("string"))).alias("reason"),
+    )
+
+
+def gappy_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The registry with missing flags, empty names and countries, ids that need
+    slugging, and every kind of invalid field."""
+    k = F.col("city_key")
+    return _cities_keyed(spark, sf_dir).select(
+        k.alias("position"),
+        F.when(k % 17 == 0, F.concat(F.lit("No_"), "id")).when(k % 19 == 0, F.lit("")).otherwise(F.col("id")).alias("id"),
+        F.when(k % 9 == 0, F.lit("")).when(k % 10 == 0, F.lit(None)).otherwise(F.col("name")).alias("name"),
+        F.when(k % 13 == 0, F.lit("")).when(k % 14 == 0, F.lit("EUR")).otherwise(F.col("country")).alias("country"),
+        F.when(k % 15 == 0, F.lit(None)).otherwise(F.col("lat")).alias("lat"),
+        (F.col("lon") * F.when(k % 16 == 0, 3).otherwise(1)).alias("lon"),
+        F.when(k % 4 == 1, F.lit(None)).otherwise(F.col("active")).alias("active"),
     )
 
 

@@ -19,8 +19,15 @@ BRONZE_REQUIRED = (
 DEFAULT_REQUEST_ID = "no-request-id"
 DEFAULT_METRICS = ("temperature_2m",)
 DEFAULT_AGG = "avg"
+# Days in a request are written like this, and nothing else.
+DAY_PATTERN = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
 # City id rule of the registry, and the bounds of the other fields.
 CITY_ID_PATTERN = r"^[a-z0-9][a-z0-9\-]{1,62}[a-z0-9]$"
+# Steps of the registry's id slug after lower-casing and trimming (white space
+# is Unicode's), in order; then dashes at the ends go.
+REGISTRY_SLUG_STEPS = ((r"(?U)\s+", "-"), (r"[^a-z0-9\-]+", ""), (r"-{2,}", "-"))
+# Steps of the event slug.
+EVENT_SLUG_STEPS = ((r"[^a-z0-9\-]+", "-"), (r"-+", "-"))
 LAT_RANGE = (-90.0, 90.0)
 LON_RANGE = (-180.0, 180.0)
 COUNTRY_LEN = 2
@@ -82,6 +89,12 @@ BRONZE_DDL = (
     "city_id string, city_name string, country string, hour_ts timestamp, "
     "temperature_2m double, relative_humidity_2m double, wind_speed_10m double, date date"
 )
+# The daily aggregate (gold)
+GOLD_DDL = (
+    "city_id string, city_name string, country string, avg_temperature_2m double, "
+    "min_temperature_2m double, max_temperature_2m double, avg_relative_humidity_2m double, "
+    "avg_wind_speed_10m double, date date"
+)
 # T4 hourly message value (JSON); hour_ts is text here.
 HOURLY_MESSAGE_DDL = (
     "city_id string, city_name string, country string, hour_ts string, "

@@ -78,11 +78,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and lineage cuts.
 
     Read from ``spark.checkpoint.dir`` (the cluster names it); a scratch one is
-    made only when it is unset, as in local tests.
+    made only when it is unset on a ``local`` master, as in tests.  On a cluster
+    a machine-local folder would lose data, so the setting is required there.
     """
     sc = spark.sparkContext
     d = sc.getConf().get("spark.checkpoint.dir") or _LOCAL_CKPT.get(sc.applicationId)
     if not d:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
         d = tempfile.mkdtemp(prefix="stratus-ckpt-")
         _LOCAL_CKPT[sc.applicationId] = d
     if not sc.getCheckpointDir():

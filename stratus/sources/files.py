@@ -49,15 +49,32 @@ def read_registry_version(spark: SparkSession, root: str, version: int) -> DataF
     return spark.read.schema(ddl).json(f"{root}/v={version}")
 
 
+#: Order of a row in a folder of files: when its file was written, then the file,
+#: then the row in it.  Splits of a file keep their order; nothing depends on how
+#: Spark packs files into tasks.
+FILE_ORDER = ("struct<written:timestamp,file:string,block:bigint,row:bigint>")
+
+
+def with_file_order(df: DataFrame, name: str = "log_offset") -> DataFrame:
+    """``df`` (a file scan) with each row's :data:`FILE_ORDER` position."""
+    m = F.col("_metadata")
+    return df.withColumn(name, F.struct(
+        m["file_modification_time"].alias("written"), m["file_path"].alias("file"),
+        m["file_block_start"].alias("block"), F.monotonically_increasing_id().alias("row")))
+
+
 def read_statuses(spark: SparkSession, path: str) -> DataFrame:
     """A10: the whole status log (JSON lines); ``ts`` normalised to a
-    timestamp in ``ts_norm``; a file's arrival order kept in ``log_offset``."""
+    timestamp in ``ts_norm``; arrival order in ``log_offset``."""
     if not _exists(spark, path):
-        return empty(spark, STATUS_DDL + ", ts_norm timestamp, log_offset bigint")
-    df = spark.read.schema(STATUS_DDL).json(path)
-    return df.withColumn("ts_norm", epoch_or_iso("ts")).withColumn(
-        "log_offset", F.monotonically_increasing_id()
-    )
+        return empty(spark, STATUS_DDL + f", ts_norm timestamp, log_offset {FILE_ORDER}")
+    df = with_file_order(spark.read.schema(STATUS_DDL).option("recursiveFileLookup", True).json(path))
+    return df.withColumn("ts_norm", epoch_or_iso("ts"))
+
+
+def read_parquet_or_empty(spark: SparkSession, path: str, ddl: str) -> DataFrame:
+    """A Parquet folder by its known schema; empty if nothing was written yet."""
+    return spark.read.schema(ddl).parquet(path) if _exists(spark, path) else empty(spark, ddl)
 
 
 def read_hourly_messages(spark: SparkSession, path: str) -> DataFrame:
@@ -76,6 +93,14 @@ def read_result(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("pathGlobFilter", "*.parquet").parquet(path)
 
 
+def holds(spark: SparkSession, path: str, pattern: str) -> bool:
+    """Whether the folder has a file whose name matches ``pattern``."""
+    jvm = spark.sparkContext._jvm  # noqa: SLF001
+    p = jvm.org.apache.hadoop.fs.Path(f"{path}/{pattern}")
+    found = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(p)  # noqa: SLF001
+    return bool(found)
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     # Ask the cluster's file system (HDFS, object store, local) through the
     # Hadoop API, not the driver's local disk.

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratus.functions.times import epoch_or_iso
+from stratus.sources.files import with_file_order
 from stratus.schemas import HOURLY_MESSAGE_DDL, REQUEST_DDL, STATUS_DDL
 
 # Topic names and start policies of the pipeline (fixed values).
@@ -76,7 +77,7 @@ def read_log(spark: SparkSession, src: Source) -> DataFrame:
             .load()
             .select(F.col("value").cast("string").alias("value"), "timestamp", "partition", "offset")
         )
-    return spark.read.schema("value string").text(src.path)
+    return with_file_order(spark.read.schema("value string").option("recursiveFileLookup", True).text(src.path))
 
 
 def parse_requests(df: DataFrame) -> DataFrame:
@@ -94,9 +95,10 @@ def parse_hourly_messages(df: DataFrame) -> DataFrame:
 
 def parse_statuses(df: DataFrame) -> DataFrame:
     """A10: status message JSON -> status columns, ``ts`` normalised to
-    ``ts_norm`` (epoch or ISO), and ``log_offset`` for ties: the broker offset
-    when the rows come from Kafka, else the read order."""
+    ``ts_norm`` (epoch or ISO), and ``log_offset``, the message's place in the
+    log: (timestamp, partition, offset) of the broker, or the file order."""
     extra = [c for c in df.columns if c != "value"]
     p = df.select(*extra, F.from_json("value", STATUS_DDL).alias("s")).select(*extra, "s.*")
-    order = F.col("offset") if "offset" in extra else F.monotonically_increasing_id()
-    return p.withColumn("ts_norm", epoch_or_iso("ts")).withColumn("log_offset", order)
+    if "offset" in extra:
+        p = p.withColumn("log_offset", F.struct("timestamp", "partition", "offset"))
+    return p.withColumn("ts_norm", epoch_or_iso("ts"))

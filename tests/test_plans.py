@@ -28,10 +28,10 @@ def test_aggregates_are_two_phase(spark):
 
 
 def test_plain_aggregates_use_hash_aggregation(spark):
-    # Fixed-width buffers (avg/min/max/count) -> HashAggregate.  ``max_by``
-    # with a composite ordering has a struct buffer and is sort-based (still
-    # two-phase), which the test above covers.
-    for name in ("daily_weather", "event_rate_1m", "param_avg"):
+    # Fixed-width buffers -> HashAggregate; so does ``max_by`` of a number with
+    # its composite ordering packed into one decimal.
+    for name in ("daily_weather", "event_rate_1m", "param_avg", "latest_by_city", "sum_latest_by_labels",
+                 "targets_up"):
         plan = _plan(catalog.QUERIES[name](spark, SF_SMALL))
         assert "SortAggregate" not in plan and "HashAggregate" in plan, name
 
@@ -46,3 +46,30 @@ def test_only_spec_bounded_tables_are_hinted(spark):
     # nation and region are the only explicit broadcasts in the views.
     plan = catalog.QUERIES["daily_weather"](spark, SF_SMALL)._jdf.queryExecution().analyzed().toString()
     assert plan.count("ResolvedHint (strategy=broadcast)") == 2
+
+
+def test_listed_requests_prune_the_stored_stats(spark, tmp):
+    from stratus.operators import batched
+    from stratus.plans import views as V
+    batched.write_stats(batched.daily_stats(V.bronze(spark, SF_SMALL)), f"{tmp}/stats")
+    asked = V.requests(spark).where("request_id = 'r1'")  # 2024-01-02 to 2024-01-10
+    out = batched.batched_from_stats(spark.read.parquet(f"{tmp}/stats"), asked)
+    plan = out._jdf.queryExecution().explainString(
+        spark.sparkContext._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    scans = [x for x in plan.splitlines() if "PartitionFilters" in x]
+    assert scans and all("2024-01-02" in x and "2024-01-10" in x for x in scans), scans
+
+
+def test_packed_order_equals_the_struct_order(spark):
+    from pyspark.sql import functions as F
+
+    from stratus.operators.latest import packed_order
+    df = spark.createDataFrame(
+        [(0, "2024-01-01 00:00:00", 5), (1, "2024-01-01 00:00:00", -(2 ** 63)), (2, None, 9), (3, None, None),
+         (4, "9999-12-31 23:59:59", 2 ** 63 - 1), (5, "0001-01-01 00:00:00", 7), (6, "2024-01-01 00:00:00", 2 ** 63 - 1)],
+        "k int, t string, s long").withColumn("t", F.col("t").cast("timestamp"))
+    by = lambda c: [r.k for r in df.orderBy(c).select("k").collect()]
+    assert by(packed_order(df, ("t", "s"))) == by(F.struct("t", "s"))
+    text = df.withColumn("t", F.col("t").cast("string"))
+    assert by(packed_order(df, ("s",))) == by(F.col("s"))
+    assert "struct" in str(packed_order(text, ("t", "s")))

@@ -8,6 +8,7 @@ from conftest import raw_event, rows
 from pyspark.sql import functions as F
 
 from stratus.operators import batched, flatten, latest
+from stratus.sources import files
 from stratus.sources.sinks import Sink, publish_requests
 from stratus.sources.streams import Source, parse_hourly_messages, read_stream
 from stratus.streaming import hourly as sh
@@ -119,12 +120,50 @@ def test_request_stream_results_and_statuses(spark, tmp):
     res = spark.read.parquet(f"{tmp}/res")
     assert rows(res, "request_id", "metric", "value") == [
         ("all", "wind_speed_10m", 2.0), ("ok", "temperature_2m", 2.0)]
-    st = latest.latest_status(spark.read.json(f"{tmp}/status").withColumn("log_offset", F.lit(0)))
+    log = files.read_statuses(spark, f"{tmp}/status")
+    assert rows(log.where("status = 'submitted'"), "request_id") == [("all",), ("ok",)]
+    st = latest.latest_status(log, order_by=("log_offset",))
     got = {r.request_id: (r.status, r.result_path is not None) for r in st.collect()}
     assert got == {"ok": ("success", True), "all": ("success", True),
                    "bad": ("error", False), "nodate": ("error", False)}
 
 
+def test_asked_again_and_odd_ids(spark, tmp):
+    """One answer per id; a later empty answer replaces the earlier one; the
+    path in the status exists whatever the id's characters."""
+    t = dt.datetime(2024, 1, 1)
+    stats = batched.daily_stats(spark.createDataFrame(
+        [("a", "A", "EU", t, 1.0, 1.0, 2.0, dt.date(2024, 1, 1))],
+        "city_id string, city_name string, country string, hour_ts timestamp, temperature_2m double, "
+        "relative_humidity_2m double, wind_speed_10m double, date date"))
+    odd = "2025-01-01T10:00"
+    ddl = ("request_id string, city_ids array<string>, date_from string, date_to string, "
+           "metrics array<string>, agg string, timestamp timestamp, partition int, offset long")
+    first = [(odd, ["a"], None, None, ["temperature_2m"], "avg", t, 0, 1),
+             (odd, ["a"], None, None, ["wind_speed_10m"], "max", t, 0, 2)]
+    again = [(odd, ["zz"], None, None, ["wind_speed_10m"], "max", t, 0, 3)]
+    for k, asked in enumerate((first, again)):
+        sr.answer_batch(spark.createDataFrame(asked, ddl), stats, f"{tmp}/res", f"{tmp}/status", k)
+        log = files.read_statuses(spark, f"{tmp}/status")
+        answer = sr.read_answer(spark, log, odd)
+        assert rows(answer, "metric", "value") == ([("wind_speed_10m", 2.0)] if k == 0 else [])
+    assert sr.read_answer(spark, log, "never") is None
+    assert rows(latest.latest_status(log, order_by=("log_offset",)), "status") == [("success",)]
+
+
+def test_status_ties_follow_the_log(spark, tmp):
+    """Equal or misleading clocks: the file written later wins."""
+    import time
+    for k, (status, ts) in enumerate([("submitted", "2025-01-01T00:00:05Z"), ("success", "1735689600")]):
+        _write_lines(f"{tmp}/log/part{9 - k}", [json.dumps({"request_id": "r", "status": status, "ts": ts})])
+        time.sleep(0.05)
+    from stratus.jobs.status import status_of
+    from stratus.sources.streams import parse_statuses, read_log
+    assert status_of(spark, files.read_statuses(spark, f"{tmp}/log"), "r").first().status == "success"
+    parsed = parse_statuses(read_log(spark, Source("files", path=f"{tmp}/log")))
+    assert status_of(spark, parsed, "r").first().status == "success"
+
+
 def test_publish_requests_fills_ids(spark):
     req = spark.createDataFrame([(None, None, None, None, None, None), ("x", ["a"], "2024-01-01", None,
                                                                       ["wind_speed_10m"], "min")],
