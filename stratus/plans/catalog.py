@@ -845,3 +845,46 @@ def q_status_log_order(spark, sf_dir):
         F.col("o_orderkey").alias("offset"))
     last = latest.latest_status(parse_statuses(log), order_by=("log_offset",))
     return last.select("request_id", "status", F.col("log_offset.offset").alias("seq"))
+
+
+# --- whole days in one event: 24-element arrays, current values, no values ---
+@register("day_flatten", O.with_(O.DAY_EVENTS) + f"""
+SELECT event_id, city_id, city_name, country, {O.TS('hour_ts')} AS hour_ts, {O.R('temperature_2m')} AS temperature_2m,
+       {O.R('relative_humidity_2m')} AS relative_humidity_2m, {O.R('wind_speed_10m')} AS wind_speed_10m,
+       {O.D('hour_ts')} AS date, ingested_at
+FROM day_hours""")
+def q_day_flatten(spark, sf_dir):
+    """24 hours per event, with null elements."""
+    return flatten.flatten(V.day_events(spark, sf_dir), keep_ingested_at=True, keep=["event_id"])
+
+
+@register("day_current", O.with_(O.DAY_EVENTS) + f"""
+SELECT event_id, city_id, city_name, country, ts, {O.R('temperature_c')} AS temperature_c,
+       {O.R('humidity_pct')} AS humidity_pct, {O.R('wind_ms')} AS wind_ms, 'open-meteo' AS source
+FROM day_current WHERE has_current""")
+def q_day_current(spark, sf_dir):
+    """Given current values, fallbacks per metric, events without any."""
+    return current.current_flat(V.day_events(spark, sf_dir), keep=["event_id"])
+
+
+@register("day_messages_per_poll", O.with_(O.DAY_EVENTS) + """
+SELECT event_id % 50 AS poll, CAST(sum(CASE WHEN has_current THEN 2 ELSE 1 END) AS BIGINT) AS messages,
+       count(*) AS cities
+FROM day_current GROUP BY 1""")
+def q_day_messages_per_poll(spark, sf_dir):
+    """E8 where some events have no current value."""
+    vals = current.current_values(V.day_events(spark, sf_dir), keep=["event_id"])
+    return metrics.messages_per_poll(vals.select((F.col("event_id") % 50).alias("poll"), "has_current"))
+
+
+@register("day_latest_by_city", O.with_(O.DAY_EVENTS) + f"""
+SELECT city_id, city_name, country,
+       {O.R('arg_max(temperature_2m, (hour_ts, event_id)) FILTER (WHERE temperature_2m IS NOT NULL)')} AS temperature_2m,
+       {O.R('arg_max(relative_humidity_2m, (hour_ts, event_id)) FILTER (WHERE relative_humidity_2m IS NOT NULL)')} AS relative_humidity_2m,
+       {O.R('arg_max(wind_speed_10m, (hour_ts, event_id)) FILTER (WHERE wind_speed_10m IS NOT NULL)')} AS wind_speed_10m
+FROM day_hours WHERE city_id <> '' GROUP BY city_id, city_name, country""")
+def q_day_latest_by_city(spark, sf_dir):
+    """Empty city ids and null values are passed over; the same hour
+    comes many times, the last event decides."""
+    h = flatten.flatten(V.day_events(spark, sf_dir), keep=["event_id"])
+    return latest.latest_by_city(h, order_by=("hour_ts", "event_id"))

@@ -75,6 +75,25 @@ hourly AS (
   FROM events e JOIN cities_k c ON c.city_key = e.user_id
 )"""
 
+DAY_EVENTS = CITIES_K + """,
+day_events AS (
+  SELECT e.event_id, CASE WHEN e.event_id % 97 = 0 THEN '' ELSE c.id END AS city_id, c.name AS city_name,
+         c.country, date_trunc('day', e.ts) AS day, strftime(e.ts, '%Y-%m-%dT%H:%M:%SZ') AS ingested_at,
+         e.value, e.event_type = 'error' AS bad, e.event_id % 3 AS k
+  FROM events e JOIN cities_k c ON c.city_key = e.user_id),
+day_hours AS (
+  SELECT event_id, city_id, city_name, country, CAST(day AS TIMESTAMP) + h * INTERVAL 1 HOUR AS hour_ts, ingested_at,
+         CASE WHEN NOT bad AND h % 5 <> 0 THEN value + h END AS temperature_2m,
+         CASE WHEN NOT bad THEN CAST(event_id % 100 + h AS DOUBLE) END AS relative_humidity_2m,
+         CASE WHEN NOT bad AND h <> 23 THEN value / 10 END AS wind_speed_10m
+  FROM day_events, range(24) r(h)),
+day_current AS (
+  SELECT event_id, city_id, city_name, country, ingested_at AS ts,
+         CASE WHEN bad THEN NULL WHEN k < 2 THEN value * 2 ELSE value + 23 END AS temperature_c,
+         CASE WHEN bad THEN NULL WHEN k = 0 THEN 55.5 ELSE CAST(event_id % 100 + 23 AS DOUBLE) END AS humidity_pct,
+         CASE WHEN NOT bad AND k = 0 THEN 1.25 END AS wind_ms, NOT bad AS has_current
+  FROM day_events)"""
+
 STATUSES = """
 statuses AS (
   SELECT concat('r', CAST(o_custkey % 200 AS VARCHAR)) AS request_id,

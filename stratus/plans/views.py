@@ -74,6 +74,43 @@ def hourly(spark: SparkSession, sf_dir: str, with_seq: bool = True) -> DataFrame
     return j.select(*cols)
 
 
+def day_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw events as the API sends them: a day of 24 hours in parallel arrays,
+    null elements among them, and current values.  Every third event has all three
+    current values, every third only the temperature, the others none; error
+    events hold no value at all, and some events have no city id.
+    Columns: event_id, value (JSON)."""
+    ev = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    c = _cities_keyed(spark, sf_dir).select("city_key", "id", "name", "country")
+    j = ev.join(c, ev["user_id"] == c["city_key"])
+    hours = F.sequence(F.lit(0), F.lit(23))
+    day = F.date_format(F.col("ts"), "yyyy-MM-dd")
+    error = F.col("event_type") == "error"
+    none = F.lit(None).cast("double")
+
+    def values(at):
+        return F.transform(hours, lambda h: F.when(~error, at(h)).otherwise(none))
+
+    hourly_arrays = F.struct(
+        F.transform(hours, lambda h: F.format_string("%sT%02d:00", day, h)).alias("time"),
+        values(lambda h: F.when(h % 5 != 0, F.col("value") + h)).alias("temperature_2m"),
+        values(lambda h: (F.col("event_id") % 100 + h).cast("double")).alias("relative_humidity_2m"),
+        values(lambda h: F.when(h != 23, F.col("value") / 10)).alias("wind_speed_10m"),
+    )
+    k = F.col("event_id") % 3
+    now = F.when(~error & (k < 2), F.struct(
+        F.concat(day, F.lit("T12:00")).alias("time"), (F.col("value") * 2).alias("temperature_2m"),
+        F.when(k == 0, F.lit(55.5)).alias("relative_humidity_2m"), F.when(k == 0, F.lit(1.25)).alias("wind_speed_10m")))
+    meta = F.struct(
+        F.when(F.col("event_id") % 97 == 0, F.lit("")).otherwise(F.col("id")).alias("city_id"),
+        F.col("name").alias("city_name"), "country",
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("ingested_at"))
+    raw = F.struct(hourly_arrays.alias("hourly"), now.alias("current"))
+    return j.select("event_id", F.to_json(F.struct(
+        meta.alias("_meta"), F.lit("open-meteo").alias("source"), now.alias("current"),
+        hourly_arrays.alias("hourly"), raw.alias("raw"))).alias("value"))
+
+
 def city_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events with their city labels and a session-zone ``ts``."""
     ev = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
