@@ -19,3 +19,28 @@ def test_cluster_profile_fills_only_unset(spark):
     assert s.conf.get("spark.sql.shuffle.partitions") == before_parts    # explicit: kept
     assert s.conf.get(key) == CLUSTER_DEFAULTS[key]                       # unset: filled
     assert s.conf.get("spark.sql.session.timeZone") == "UTC"
+
+
+def test_a_cluster_must_name_its_folder():
+    import pytest
+
+    class Context:
+        applicationId = "app-without-folder"
+
+        def __init__(self, master):
+            self.master = master
+
+        def getConf(self):
+            return {}
+
+        def getCheckpointDir(self):
+            return "set"
+
+    class Session:
+        def __init__(self, master):
+            self.sparkContext = Context(master)
+
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError):
+            checkpoint_dir(Session(master))
+    assert checkpoint_dir(Session("local[2]"))
