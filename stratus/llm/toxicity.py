@@ -155,23 +155,25 @@ def _features(raws: list[np.ndarray]):
     text = np.concatenate([np.append(codes(r), np.uint32(32)) for r in raws])
     starts, length = _words(text)
     _, first, word = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
-    doc_cut, passages, at = [0], [], 0
+    doc_cut, begins, sizes, at = [0], [], [], 0
     for h in hashes:
         n = len(h)
-        cuts = [(0, n)] if n <= PASSAGE else [
-            *((i, i + PASSAGE) for i in range(0, n - PASSAGE + 1, PASSAGE // 2)), (n - PASSAGE, n)]
-        passages += [(at + a, b - a) for a, b in cuts]
-        doc_cut.append(len(passages))
+        first_words = np.arange(0, max(1, n - PASSAGE + 1), PASSAGE // 2)
+        if n > PASSAGE:
+            first_words = np.append(first_words, n - PASSAGE)
+        begins.append(at + first_words)
+        sizes.append(np.full(len(first_words), min(n, PASSAGE)))
+        doc_cut.append(doc_cut[-1] + len(first_words))
         at += n
-    begin, size = np.array(passages, np.int64).reshape(-1, 2).T
+    begin, size = np.concatenate(begins), np.concatenate(sizes)
     passage_cut = np.concatenate(([0], np.cumsum(size)))
     vocabulary = text[_expand(starts[first], length[first] + 1)]
     grams = [np.stack(g) for g in _grams(vocabulary)]
     at, bucket = np.concatenate(grams, axis=1) if grams else np.empty((2, 0), np.int64)
     order = np.argsort(at, kind="stable")  # grams by position, so by word
     gram_cut = np.concatenate(([0], np.cumsum(_gram_count(length[first]))))
-    return (np.array(doc_cut), passage_cut, word[_expand(begin, size)], gram_cut,
-            bucket[order].astype(np.int64))
+    return (np.array(doc_cut), passage_cut, word.astype(np.int32)[_expand(begin, size)], gram_cut,
+            bucket[order].astype(np.int32))
 
 
 def _expand(first: np.ndarray, count: np.ndarray) -> np.ndarray:
@@ -193,6 +195,7 @@ def fit(raws: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS, rate:
         return Model(np.zeros(BUCKETS, np.float32), float(np.clip(np.log((share + 1e-9) / (1 - share + 1e-9)), -30, 30)))
     doc_cut, passage_cut, entries, gram_cut, buckets = _features(raws)
     used, buckets = np.unique(buckets, return_inverse=True)
+    buckets = buckets.astype(np.int32)
     grams, words_in = np.diff(gram_cut), np.diff(passage_cut)
     rng = np.random.default_rng(seed)
     p = {"e": rng.normal(0, 0.1, (len(used), DIM)).astype(np.float32),
@@ -236,18 +239,27 @@ def fit(raws: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS, rate:
     return Model(table, float(p["b"][1] - p["b"][0]))
 
 
+def _fitter(batches):
+    """All training rows (id, text, label) of one task -> the packed model."""
+    rows = [b for b in batches if b.num_rows]
+    texts = [raw for b in rows for raw in text_buffers(b.column(1))]
+    labels = np.concatenate([b.column(2).to_numpy() for b in rows]) if rows else np.empty(0)
+    yield pa.RecordBatch.from_arrays([pa.array([fit(texts, labels).pack()], pa.binary())], ["model"])
+
+
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "toxic", max_train: int = MAX_TRAIN) -> Model:
     """Fit on at most ``max_train`` labelled documents, those with the lowest
-    hashes of their ids.  Only these texts reach the driver."""
+    hashes of their ids, in one task (the sample is bounded); the driver gets
+    the finished table."""
     known = (labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
              .groupBy(F.col(id_col).alias("_id")).agg(F.max(F.col(label_col).cast("int")).alias("_y")))
     chosen = known.orderBy(F.md5(F.col("_id").cast("string")), "_id").limit(max_train)
     rows = (docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-            .join(F.broadcast(chosen), "_id")
-            .dropDuplicates(["_id"]).sort("_id").toArrow())
-    texts = list(text_buffers(rows.column("_text")))
-    return fit(texts, rows.column("_y").to_numpy())
+            .join(F.broadcast(chosen), "_id").dropDuplicates(["_id"]))
+    made = (rows.select("_id", "_text", "_y").repartition(1).sortWithinPartitions("_id")
+            .mapInArrow(_fitter, "model binary").first())
+    return Model.unpack(bytes(made["model"])) if made else fit([], np.empty(0))
 
 
 def score(text: Column, model: Model) -> Column:
