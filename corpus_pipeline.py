@@ -30,7 +30,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
     scratch = Scratch(spark, "pipeline-leaks")
-    found = scratch.save(decontaminate.leaks(docs, table(spark, sf_dir, "benchmark")), "leaks")
+    found = scratch.save(decontaminate.leaks(docs, table(spark, sf_dir, "benchmark"), scratch), "leaks")
     gone = found.select("doc_id").distinct()
     return docs.join(bounded_broadcast(gone, MAX_BROADCAST), "doc_id", "left_anti").select(docs.columns)
 

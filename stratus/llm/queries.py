@@ -163,7 +163,8 @@ def op1_wavelet_tokens(spark, sf_dir):
 @register("op5_decontamination")
 def op5_decontamination(spark, sf_dir):
     """Documents that hold a benchmark item."""
-    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"),
+                               Scratch(spark, "op5"))
 
 
 @register("op6_embedding_dedup", """
