@@ -24,6 +24,7 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,7 +40,7 @@ from stratus.llm.scratch import Scratch
 #: Bytes of text in a shard, about; a longer document is a shard of its own.
 SHARD_BYTES = 8 << 20
 #: Words whose ids a worker remembers (only speed depends on it).
-REMEMBERED = 600_000
+REMEMBERED = 1_200_000
 #: A word of Latin letters, then punctuation without an apostrophe: two
 #: pre-tokens whose normal form is the lower case.
 _SIMPLE = re.compile("([a-z\u00df-\u00f6\u00f8-\u00ff]+)([!-&(-/:-@\\[-`{-~]*)")
@@ -183,7 +184,7 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.ids: dict[str, np.ndarray] = {}
+        self._forget()
         # How the byte-level alphabet writes each letter of a simple word.
         level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         letters = [chr(c) for c in range(0xDF, 0x100) if c != 0xF7]
@@ -194,28 +195,36 @@ class Encoder:
             == [i for w in self._plain(x.split()) for i in w.tolist()] for x in probe)
         words = ["The", "Stra\u00dfe,", "\u00c9t\u00e9...", "abcxyz!?", "x", "\u00f8re)"]
         self.simple = self.by_word and all(
-            self._word(w).tolist() == self._plain([w])[0].tolist() for w in words)
+            self._word(w) == self._plain([w])[0].tolist() for w in words)
 
     def _plain(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32)
                 for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _word(self, word: str) -> np.ndarray | None:
+    def _forget(self) -> None:
+        """No word is known: index of each word, their ids one after the other,
+        and where each word's end."""
+        self.index: dict[str, int] = {}
+        self.flat, self.ends = array("I"), array("q", [0])
+
+    def _word(self, word: str) -> list[int] | None:
         """Ids of a simple word, or None."""
         m = _SIMPLE.fullmatch(word.lower())
         if m is None or len(m[0]) != len(word):
             return None
-        found = self.model.tokenize(m[1] if m[1].isascii() else m[1].translate(self.alphabet))
-        if m[2]:
-            found += self.model.tokenize(m[2])
-        return np.array([t.id for t in found], np.uint32)
-
-    def _words(self, words: list[str]) -> list[np.ndarray]:
-        out = [self._word(w) for w in words] if self.simple else [None] * len(words)
-        rest = [i for i, x in enumerate(out) if x is None]
+        letters, marks = m.groups()
+        ids = [t.id for t in self.model.tokenize(letters if letters.isascii() else letters.translate(self.alphabet))]
+        return ids + [t.id for t in self.model.tokenize(marks)] if marks else ids
+
+    def _learn(self, words: list[str]) -> None:
+        found = [self._word(w) for w in words] if self.simple else [None] * len(words)
+        rest = [i for i, x in enumerate(found) if x is None]
         for i, x in zip(rest, self._plain([words[i] for i in rest])):
-            out[i] = x
-        return out
+            found[i] = x.tolist()
+        for w, ids in zip(words, found):
+            self.index[w] = len(self.index)
+            self.flat.extend(ids)
+            self.ends.append(len(self.flat))
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """One id array per text (a null counts as empty)."""
@@ -225,20 +234,17 @@ class Encoder:
         lists = pc.split_pattern_regex(texts, r"[\x20\x09-\x0D]+")
         words = lists.flatten().dictionary_encode()
         names = words.dictionary.to_pylist()
-        if len(self.ids) > REMEMBERED:
-            self.ids = {}
-        new = [w for w in names if w not in self.ids]
-        self.ids.update(zip(new, self._words(new)))
-        each = [self.ids[w] for w in names]
-        size = np.array([len(x) for x in each], np.int64)
-        flat = np.concatenate(each) if each else np.empty(0, np.uint32)
-        first = np.cumsum(size) - size
-        index = words.indices.to_numpy()
-        n = size[index]
-        ends = np.cumsum(n)
-        take = np.arange(ends[-1] if len(ends) else 0) + np.repeat(first[index] - (ends - n), n)
-        ids = flat[take]
-        cut = np.concatenate(([0], ends))[np.asarray(lists.offsets) - lists.offsets[0].as_py()]
+        if len(self.index) > REMEMBERED:
+            self._forget()
+        self._learn([w for w in names if w not in self.index])
+        known = np.fromiter(map(self.index.__getitem__, names), np.int64, len(names))
+        ends = np.array(self.ends)
+        index = known[words.indices.to_numpy()]
+        n = ends[index + 1] - ends[index]
+        to = np.cumsum(n)
+        take = np.arange(to[-1] if len(to) else 0) + np.repeat(ends[index] - (to - n), n)
+        ids = np.array(self.flat)[take]
+        cut = np.concatenate(([0], to))[np.asarray(lists.offsets) - lists.offsets[0].as_py()]
         return [ids[a:b] for a, b in zip(cut[:-1], cut[1:])]
 
 
@@ -252,7 +258,7 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
-def _slices(texts: pa.Array, most: int = 4 << 20) -> Iterator[pa.Array]:
+def _slices(texts: pa.Array, most: int = 8 << 20) -> Iterator[pa.Array]:
     """Runs of rows with about ``most`` bytes."""
     size = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
     start = 0
