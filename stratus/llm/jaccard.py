@@ -248,7 +248,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, t: Fraction) -> DataFrame:
     a = sets.select(F.col("doc_id").alias("u"), F.col("items").alias("a"))
     b = sets.select(F.col("doc_id").alias("v"), F.col("items").alias("b"))
     both = F.size(F.array_intersect("a", "b"))
-    return (pairs.join(b, "v").join(a, "u")
+    return (pairs.join(a, "u").join(b, "v")
             .withColumn("both", both)
             .where(t.denominator * F.col("both")
                    >= t.numerator * (F.size("a") + F.size("b") - F.col("both")))
