@@ -32,7 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratus.llm.scratch import Scratch
+from stratus.llm.mixing import word_count
+from stratus.llm.scratch import MAX_BROADCAST, Scratch, bounded_broadcast
 from stratus.llm.words import powers, doc_words, mix
 
 LENGTH, WINDOW, GRAM = 50, 25, 8
@@ -99,7 +100,7 @@ def _extended(batches):
             start.append(s)
         cols = [np.concatenate(x) if x else np.empty(0, np.int64) for x in (doc, run, start)]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(cols[0], pa.int64()), pa.array(cols[1].view(np.int64)), pa.array(cols[2], pa.int64())],
+            [pa.array(cols[0], pa.int64()), pa.array(cols[1].view(np.int64)), pa.array(cols[2], pa.int32())],
             ["doc_id", "run", "start"])
 
 
@@ -119,29 +120,51 @@ def repeated_passages(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id",
     """
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where(
         "doc_id IS NOT NULL AND text IS NOT NULL")
-    kept = scratch.save(base.mapInArrow(_suffixes, "doc_id long, key long, position long"), "suffixes")
+    # Equal texts: each is one passage from end to end; one stands for all below.
+    sized = base.select("doc_id", F.unhex(F.md5("text")).alias("digest"), word_count(F.col("text")).alias("n"))
+    groups = scratch.save(sized.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+                          .where("first < last"), "groups")
+    same = scratch.save(sized.join(groups, "digest").select("doc_id", "n", "first", "last").distinct(), "same")
+    copies = same.where("doc_id <> first").select("doc_id").distinct()
+    single = base.join(bounded_broadcast(copies, MAX_BROADCAST), "doc_id", "left_anti")
+
+    kept = scratch.save(single.mapInArrow(_suffixes, "doc_id long, key long, position long"), "suffixes")
     shared = _several(kept, "key", scratch, "shared")
     places = scratch.save(
         kept.join(shared, "key", "left_semi").groupBy("doc_id")
         .agg(F.collect_set("position").alias("positions")), "places")
-    scratch.drop("suffixes")
+    scratch.drop("suffixes", "shared")
     scratch.free()
-    runs = scratch.save(base.join(places, "doc_id").select("doc_id", "text", "positions")
-                        .mapInArrow(_extended, "doc_id long, run long, start long"), "runs")
+    runs = scratch.save(single.join(places, "doc_id").select("doc_id", "text", "positions")
+                        .mapInArrow(_extended, "doc_id long, run long, start int"), "runs")
+    scratch.drop("places")
     scratch.free()
     found = _several(runs, "run", scratch, "found")
-    hits = (runs.join(found, "run").groupBy("doc_id", "start").agg(
-        F.min("first").alias("first"),
-        F.min(F.when(F.col("first") != F.col("doc_id"), F.col("first")).otherwise(F.col("last"))).alias("other")))
+    scratch.free()
+    # Dealt by document once: the aggregate and the window below keep that.
+    hits = (runs.join(found, "run").select(
+        "doc_id", "start", "first",
+        F.when(F.col("first") != F.col("doc_id"), F.col("first")).otherwise(F.col("last")).alias("other"))
+        .repartition("doc_id").groupBy("doc_id", "start").agg(F.min("first").alias("first"), F.min("other").alias("other")))
     per_doc = Window.partitionBy("doc_id").orderBy("start")
     apart = F.col("start") - F.lag("start", 1).over(per_doc) > LENGTH
-    return (hits.withColumn("new", F.coalesce(apart, F.lit(True)).cast("int"))
-            .withColumn("passage", F.sum("new").over(per_doc))
-            .groupBy("doc_id", "passage")
-            .agg(F.min("start").alias("start_word"), (F.max("start") + LENGTH).alias("end_word"),
-                 F.min("first").alias("first_doc_id"), F.min("other").alias("other_doc_id"))
-            .select("doc_id", "start_word", "end_word",
-                    (F.col("end_word") - F.col("start_word")).alias("n_words"), "first_doc_id", "other_doc_id"))
+    partly = scratch.save(
+        hits.withColumn("new", F.coalesce(apart, F.lit(True)).cast("int"))
+        .withColumn("passage", F.sum("new").over(per_doc))
+        .groupBy("doc_id", "passage")
+        .agg(F.min("start").cast("long").alias("start_word"), (F.max("start") + LENGTH).cast("long").alias("end_word"),
+             F.min("first").alias("first_doc_id"), F.min("other").alias("other_doc_id")), "partly")
+    scratch.drop("runs", "found")
+    of_first = partly.groupBy(F.col("doc_id").alias("first")).agg(F.min("first_doc_id").alias("lower"))
+    whole = (same.where(F.col("n") >= LENGTH).join(of_first, "first", "left")
+             .select("doc_id", F.lit(0).cast("long").alias("start_word"), F.col("n").alias("end_word"),
+                     F.least("first", "lower").alias("first_doc_id"),
+                     F.when(F.col("doc_id") != F.col("first"), F.col("first")).otherwise(F.col("last"))
+                     .alias("other_doc_id")))
+    parts = partly.join(same.select("doc_id").distinct(), "doc_id", "left_anti").select(whole.columns)
+    return parts.union(whole).select(
+        "doc_id", "start_word", "end_word", (F.col("end_word") - F.col("start_word")).alias("n_words"),
+        "first_doc_id", "other_doc_id")
 
 
 def _cut(batches):
