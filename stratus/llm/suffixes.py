@@ -17,6 +17,10 @@ Comparison is by 64-bit hashes of the words.  Keys are counted before they are
 joined, and the join sides are plain shuffles, so a passage that a third of all
 documents hold is split over tasks.
 
+Equal texts are one passage from end to end, whose first document is the first of
+them (or an earlier one that holds the whole text); the passages inside it are
+reported for the first of them only.
+
 Edge cases: null and short texts have no passage; a passage repeated inside one
 document alone is not reported; rows that repeat an id are one document; null
 ids are left out.
@@ -155,13 +159,18 @@ def repeated_passages(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id",
         .agg(F.min("start").cast("long").alias("start_word"), (F.max("start") + LENGTH).cast("long").alias("end_word"),
              F.min("first").alias("first_doc_id"), F.min("other").alias("other_doc_id")), "partly")
     scratch.drop("runs", "found")
-    of_first = partly.groupBy(F.col("doc_id").alias("first")).agg(F.min("first_doc_id").alias("lower"))
-    whole = (same.where(F.col("n") >= LENGTH).join(of_first, "first", "left")
+    # A copy is its first copy's text; that one's own passages stand beside its row, but
+    # where one of them is the whole text, all copies have its first document.
+    ends = same.where(F.col("n") >= LENGTH)
+    whole_of = (partly.join(ends.where("doc_id = first").select("doc_id", "n").distinct(), "doc_id")
+                .where("start_word = 0 AND end_word = n")
+                .select(F.col("doc_id").alias("first"), F.col("first_doc_id").alias("lower")))
+    whole = (ends.join(whole_of, "first", "left")
              .select("doc_id", F.lit(0).cast("long").alias("start_word"), F.col("n").alias("end_word"),
                      F.least("first", "lower").alias("first_doc_id"),
                      F.when(F.col("doc_id") != F.col("first"), F.col("first")).otherwise(F.col("last"))
                      .alias("other_doc_id")))
-    parts = partly.join(same.select("doc_id").distinct(), "doc_id", "left_anti").select(whole.columns)
+    parts = partly.join(whole, ["doc_id", "start_word", "end_word"], "left_anti").select(whole.columns)
     return parts.union(whole).select(
         "doc_id", "start_word", "end_word", (F.col("end_word") - F.col("start_word")).alias("n_words"),
         "first_doc_id", "other_doc_id")
@@ -178,7 +187,7 @@ def _cut(batches):
             out, at = [], 0
             for s in sorted(spans, key=lambda x: x["start_word"]):
                 out.append(text[at: words[s["start_word"]][0]])
-                at = words[s["end_word"] - 1][1]
+                at = max(at, words[s["end_word"] - 1][1])
             texts.append("".join([*out, text[at:]]))
         yield b.drop(columns=["_spans"]).assign(_text=pd.Series(texts, index=b.index, dtype=object))
 

@@ -96,6 +96,21 @@ def test_passages_match_brute_force(docs, scratch):
     assert suffixes.repeated_passages(docs([]), scratch).count() == 0
 
 
+def test_passages_of_equal_texts(docs, scratch):
+    words = ["c%d" % i for i in range(1000)]
+    rows = [(1, " ".join(["a"] * 30 + words[100:160] + ["b"] * 30)), *((i, " ".join(words)) for i in (10, 20, 30)),
+            (40, " ".join(["d%d" % i for i in range(70)])), (41, " ".join(["d%d" % i for i in range(70)])),
+            (7, " ".join(["e", *("d%d" % i for i in range(70)), "f"]))]
+    found = suffixes.repeated_passages(docs(rows), scratch)
+    got = {(r["doc_id"], r["start_word"], r["end_word"], r["first_doc_id"], r["other_doc_id"]) for r in found.collect()}
+    assert got == {(1, 30, 90, 1, 10), (10, 100, 160, 1, 1), (10, 0, 1000, 10, 30), (20, 0, 1000, 10, 10),
+                   (30, 0, 1000, 10, 10), (7, 1, 71, 7, 40), (40, 0, 70, 7, 41), (41, 0, 70, 7, 40)}
+    cut = {r["doc_id"]: r["text"].split() for r in suffixes.without_repeats(docs(rows), found).collect()}
+    assert cut[10] == words[:100] + words[160:]  # and its copies go
+    assert all(cut[i] == [] for i in (20, 30, 40, 41))
+    assert all(cut[i] == t.split() for i, t in rows if i in (1, 7))
+
+
 # --- decontamination ---------------------------------------------------------
 def test_leaks(spark, docs, scratch):
     rng = random.Random(6)
