@@ -10,8 +10,9 @@ words, so they share a suffix that agrees for ``LENGTH - WINDOW + 1`` words.
    all in the same document are dropped.
 2. Around each suffix that is left, the match is extended to the left and right:
    every run of ``LENGTH`` words anchored there is compared with the runs of its
-   neighbours, and those found in several documents are joined into maximal
-   passages.
+   neighbours, and those found in several documents that start one word after
+   another are joined into passages.  A passage may be held by several documents
+   in turn; its parts are what one and the same first document holds.
 
 Comparison is by 64-bit hashes of the words.  Keys are counted before they are
 joined, and the join sides are plain shuffles, so a passage that a third of all
@@ -116,11 +117,15 @@ def _several(rows: DataFrame, key: str, scratch: Scratch, name: str) -> DataFram
 
 def repeated_passages(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id",
                       text_col: str = "text") -> DataFrame:
-    """(doc_id, start_word, end_word, n_words, first_doc_id, other_doc_id): the
-    maximal passages of LENGTH words or more that other documents hold too.
+    """(doc_id, start_word, end_word, n_words, first_doc_id, other_doc_id, parts):
+    the stretches of LENGTH words or more whose every run of LENGTH words other
+    documents hold too.
 
     first_doc_id: the smallest id that holds (a part of) it; other_doc_id: a
-    document other than this one that does.
+    document other than this one that does.  parts: the stretch cut where the
+    smallest holder of its runs or the other document changes, each part with its
+    own (start_word, end_word, first_doc_id, other_doc_id); null for a whole text
+    with copies.
     """
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where(
         "doc_id IS NOT NULL AND text IS NOT NULL")
@@ -151,29 +156,38 @@ def repeated_passages(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id",
         F.when(F.col("first") != F.col("doc_id"), F.col("first")).otherwise(F.col("last")).alias("other"))
         .repartition("doc_id").groupBy("doc_id", "start").agg(F.min("first").alias("first"), F.min("other").alias("other")))
     per_doc = Window.partitionBy("doc_id").orderBy("start")
-    apart = F.col("start") - F.lag("start", 1).over(per_doc) > LENGTH
+    after = F.lag("start").over(per_doc) == F.col("start") - 1
+    same_held = (F.lag("first").over(per_doc) == F.col("first")) & (F.lag("other").over(per_doc) == F.col("other"))
+    span = F.struct("start_word", "end_word", "first_doc_id", "other_doc_id")
     partly = scratch.save(
-        hits.withColumn("new", F.coalesce(apart, F.lit(True)).cast("int"))
-        .withColumn("passage", F.sum("new").over(per_doc))
-        .groupBy("doc_id", "passage")
+        hits.withColumn("new", (~F.coalesce(after, F.lit(False))).cast("int"))
+        .withColumn("changed", (~F.coalesce(after & same_held, F.lit(False))).cast("int"))
+        .withColumn("passage", F.sum("new").over(per_doc)).withColumn("part", F.sum("changed").over(per_doc))
+        .groupBy("doc_id", "passage", "part")
         .agg(F.min("start").cast("long").alias("start_word"), (F.max("start") + LENGTH).cast("long").alias("end_word"),
-             F.min("first").alias("first_doc_id"), F.min("other").alias("other_doc_id")), "partly")
+             F.min("first").alias("first_doc_id"), F.min("other").alias("other_doc_id"))
+        .groupBy("doc_id", "passage")
+        .agg(F.min("start_word").alias("start_word"), F.max("end_word").alias("end_word"),
+             F.min("first_doc_id").alias("first_doc_id"), F.min("other_doc_id").alias("other_doc_id"),
+             F.array_sort(F.collect_list(span)).alias("parts")), "partly")
     scratch.drop("runs", "found")
     # A copy is its first copy's text; that one's own passages stand beside its row, but
-    # where one of them is the whole text, all copies have its first document.
+    # where one document holds the whole text, all copies have its first document.
     ends = same.where(F.col("n") >= LENGTH)
-    whole_of = (partly.join(ends.where("doc_id = first").select("doc_id", "n").distinct(), "doc_id")
-                .where("start_word = 0 AND end_word = n")
-                .select(F.col("doc_id").alias("first"), F.col("first_doc_id").alias("lower")))
-    whole = (ends.join(whole_of, "first", "left")
+    lower = (partly.join(ends.where("doc_id = first").select("doc_id", "n").distinct(), "doc_id")
+             .where("start_word = 0 AND end_word = n AND size(parts) = 1")
+             .select(F.col("doc_id").alias("first"), F.col("first_doc_id").alias("lower")))
+    whole = (ends.join(lower, "first", "left")
              .select("doc_id", F.lit(0).cast("long").alias("start_word"), F.col("n").alias("end_word"),
                      F.least("first", "lower").alias("first_doc_id"),
                      F.when(F.col("doc_id") != F.col("first"), F.col("first")).otherwise(F.col("last"))
-                     .alias("other_doc_id")))
-    parts = partly.join(whole, ["doc_id", "start_word", "end_word"], "left_anti").select(whole.columns)
+                     .alias("other_doc_id"), F.lit(None).cast(partly.schema["parts"].dataType).alias("parts")))
+    told = lower.select(F.col("first").alias("doc_id"), F.lit(0).cast("long").alias("start_word"), F.lit(1).alias("one"))
+    parts = (partly.withColumn("one", F.size("parts")).join(told, ["doc_id", "start_word", "one"], "left_anti")
+             .select(whole.columns))
     return parts.union(whole).select(
         "doc_id", "start_word", "end_word", (F.col("end_word") - F.col("start_word")).alias("n_words"),
-        "first_doc_id", "other_doc_id")
+        "first_doc_id", "other_doc_id", "parts")
 
 
 def _cut(batches):
@@ -184,19 +198,33 @@ def _cut(batches):
                 texts.append(text)
                 continue
             words = [m.span() for m in _WORD.finditer(text)]
+            gone = np.zeros(len(words), bool)
+            for cut in (True, False):  # what is kept goes over what is cut
+                for s in spans:
+                    if s["cut"] == cut:
+                        gone[s["start_word"]: s["end_word"]] = cut
+            edge = np.diff(np.concatenate(([0], gone.view(np.int8), [0])))
             out, at = [], 0
-            for s in sorted(spans, key=lambda x: x["start_word"]):
-                out.append(text[at: words[s["start_word"]][0]])
-                at = max(at, words[s["end_word"] - 1][1])
+            for first, end in zip(np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)):
+                out.append(text[at: words[first][0]])
+                at = words[end - 1][1]
             texts.append("".join([*out, text[at:]]))
         yield b.drop(columns=["_spans"]).assign(_text=pd.Series(texts, index=b.index, dtype=object))
 
 
 def without_repeats(docs: DataFrame, passages: DataFrame, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
-    """(id, text): texts less the passages that an earlier document holds."""
-    spans = (passages.where("first_doc_id < doc_id").groupBy(F.col("doc_id").alias("_doc"))
-             .agg(F.collect_list(F.struct("start_word", "end_word")).alias("_spans")))
+    """(id, text): texts less the words that earlier documents hold.
+
+    Words are cut by the runs that an earlier document holds, except those also in
+    a repeated run of which this document is the first: every repeated run stays
+    whole in its first document.
+    """
+    own = F.array(F.struct("start_word", "end_word", "first_doc_id", "other_doc_id"))
+    spans = (passages.select(F.col("doc_id").alias("_doc"), F.col("parts").isNull().alias("whole"),
+                             F.explode(F.coalesce("parts", own)).alias("p"))
+             .withColumn("cut", F.col("p.first_doc_id") < F.col("_doc")).where("cut OR NOT whole")
+             .groupBy("_doc").agg(F.collect_list(F.struct("p.start_word", "p.end_word", "cut")).alias("_spans")))
     rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
     return (rows.join(spans, F.col("_id") == F.col("_doc"), "left").select("_id", "_text", "_spans")
             .mapInPandas(_cut, "_id long, _text string")

@@ -111,6 +111,37 @@ def test_passages_of_equal_texts(docs, scratch):
     assert all(cut[i] == t.split() for i, t in rows if i in (1, 7))
 
 
+def test_passages_of_different_documents(docs, scratch):
+    rng = random.Random(8)
+    a, b, t = (["%s%d" % (c, i) for i in range(n)] for c, n in (("a", 50), ("b", 50), ("t", 100)))
+    rows = [(1, a), (5, a + b), (9, b), (11, t[:80]), (12, t), (13, t[30:]), (14, ["x"] + t + ["y"])]
+    long = ["l%d" % i for i in range(400)]
+    for i in range(20, 60):  # overlapping pieces of one text
+        at = rng.randrange(300)
+        rows.append((i, ["u%d" % i] * rng.randrange(3) + long[at: at + rng.randrange(50, 200)]))
+    texts = dict(rows)
+    rows = [(i, " ".join(w)) for i, w in rows]
+    found = suffixes.repeated_passages(docs(rows), scratch).collect()
+    at = {(r["doc_id"], r["start_word"], r["end_word"]): (r["first_doc_id"], r["other_doc_id"]) for r in found}
+    assert at[5, 0, 50] == (1, 1) and at[5, 50, 100] == (5, 9) and (5, 0, 100) not in at
+    holders = {}
+    for i, w in texts.items():
+        for s in range(len(w) - 49):
+            holders.setdefault(tuple(w[s: s + 50]), set()).add(i)
+    for r in found:
+        w, i = texts[r["doc_id"]], r["doc_id"]
+        for p in r["parts"] or []:
+            for s in range(p["start_word"], p["end_word"] - 49):
+                have = holders[tuple(w[s: s + 50])]
+                assert min(have) == p["first_doc_id"] and p["other_doc_id"] in have - {i}
+    passages = docs(rows).sparkSession.createDataFrame(found, suffixes.repeated_passages(docs([]), scratch).schema)
+    cut = {r["doc_id"]: r["text"].split() for r in suffixes.without_repeats(docs(rows), passages).collect()}
+    assert (cut[1], cut[5], cut[9]) == (a, b, [])
+    left = {tuple(w[s: s + 50]) for w in cut.values() for s in range(len(w) - 49)}
+    assert all(run in left for run, have in holders.items() if len(have) > 1)
+    assert sum(map(len, cut.values())) < sum(map(len, texts.values())) / 2
+
+
 # --- decontamination ---------------------------------------------------------
 def test_leaks(spark, docs, scratch):
     rng = random.Random(6)
