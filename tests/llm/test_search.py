@@ -5,9 +5,11 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from stratus.llm import brown, decontaminate, embeddings, suffixes, toxicity
+from stratus.llm.words import doc_words
 
 
 # --- embeddings ------------------------------------------------------------
@@ -170,6 +172,20 @@ def test_leaks(spark, docs, scratch):
     assert decontaminate.leaks(docs(rows), bench.limit(0), scratch).count() == 0
 
 
+def test_short_items_are_confirmed():
+    items = ["s0 s1 s2 s3 s4 s5 s6", " ".join("q%d" % i for i in range(12))]
+    texts = [" ".join(["f%d" % i for i in range(70)] + [items[0]] + ["g%d" % i for i in range(70)]),
+             items[1] + " answer", " ".join("h%d" % i for i in range(50))]
+    held = [(i, next(doc_words(pa.array([t])))) for i, t in enumerate(items)]
+    weight = np.ones(decontaminate.FEATURES, np.float32)
+    weight[decontaminate.buckets(next(doc_words(pa.array(["answer"]))))] = 4
+    basis = np.random.default_rng(3).normal(size=(decontaminate.FEATURES, 8)).astype(np.float32)
+    search = decontaminate._searcher(held, basis, weight, -1.0)  # every window is a candidate
+    batch = pa.RecordBatch.from_arrays([pa.array([10, 11, 12]), pa.array(texts)], ["doc_id", "text"])
+    got = {(r["doc_id"], r["item_id"], round(r["item_share"], 6)) for b in search([batch]) for r in b.to_pylist()}
+    assert got == {(10, 0, 1.0), (11, 1, 1.0)}
+
+
 def test_lcs():
     rng = random.Random(1)
     for _ in range(100):
