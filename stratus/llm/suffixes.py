@@ -1,4 +1,4 @@
-"""Repeated passages by sparse suffix arrays.
+"""Repeated passages by sparse suffixes, grouped by hash (no sorted suffix array).
 
 A passage is a run of ``LENGTH`` words or more.  Only suffixes that start at a
 content-selected position are kept: of every ``WINDOW`` consecutive runs of
@@ -8,8 +8,8 @@ words, so they share a suffix that agrees for ``LENGTH - WINDOW + 1`` words.
 
 1. Suffixes are brought together by that many words; those whose neighbours are
    all in the same document are dropped.
-2. Around each suffix that is left, the match is extended to the left and right:
-   every run of ``LENGTH`` words anchored there is compared with the runs of its
+2. Around each suffix that is left, to the left and right, nothing is extended pair by
+   pair: every run of ``LENGTH`` words anchored there is compared with the runs of its
    neighbours, and those found in several documents that start one word after
    another are joined into passages.  A passage may be held by several documents
    in turn; its parts are what one and the same first document holds.
