@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratus.llm import brown, chat, decontaminate, embeddings, jaccard, mixing, suffixes, toxicity, urls, wavelet
+from stratus.llm import (
+    brown, chat, decontaminate, embeddings, jaccard, mixing, resample, suffixes, toxicity, urls, wavelet,
+)
 from stratus.llm.scratch import Scratch, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -196,3 +198,45 @@ def op9_brown_lm(spark, sf_dir):
 def op4_repeated_passages(spark, sf_dir):
     """Passages of 50 words or more that several documents hold."""
     return suffixes.repeated_passages(table(spark, sf_dir, "documents"), Scratch(spark, "op4"))
+
+
+#: CRC-32 of a string's UTF-8 bytes in DuckDB, with the byte table ``tab``.
+_SQL_CRC_TABLE = """(SELECT list_transform(range(256), lambda v: list_reduce(range(8),
+  lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END, v::BIGINT)) AS tab)"""
+_SQL_CRC = """xor(list_reduce(list_transform(range(octet_length(encode({x}))),
+    lambda i: ('0x' || substr(hex(encode({x})), 2 * i + 1, 2))::BIGINT),
+  lambda a, b: xor(a >> 8, tab[(xor(a, b) & 255) + 1]), 4294967295::BIGINT), 4294967295)"""
+
+
+@register("op13_target_resampling", rf"""
+WITH c AS {_SQL_CRC_TABLE},
+w AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+f AS (SELECT r, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS g FROM w),
+fb AS (SELECT unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS g FROM b),
+k AS (SELECT g, {_SQL_CRC.format(x='g')} % 10000 AS bucket
+  FROM (SELECT DISTINCT g FROM f UNION SELECT DISTINCT g FROM fb), c),
+s AS (SELECT bucket, count(*) AS n FROM f JOIN k USING (g) GROUP BY 1),
+t AS (SELECT bucket, count(*) AS n FROM fb JOIN k USING (g) GROUP BY 1),
+a AS (SELECT (SELECT count(*) FROM f)::DOUBLE AS sa, (SELECT count(*) FROM fb)::DOUBLE AS ta),
+gain AS (SELECT s.bucket, floor(1000 * ln(((coalesce(t.n, 0) + 1)::DOUBLE * (sa + 10000))
+    / ((s.n + 1)::DOUBLE * (ta + 10000))))::BIGINT AS gain FROM s LEFT JOIN t USING (bucket), a),
+d AS (SELECT r, count(*) AS n, sum(gain)::BIGINT AS total FROM f JOIN k USING (g) JOIN gain USING (bucket) GROUP BY r),
+v AS (SELECT doc_id, len(w) AS n_words, coalesce(n, 0) AS n_features,
+    coalesce(floor(total / n), 0)::BIGINT AS weight,
+    ('0x' || substr(sha256('7:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT::DOUBLE AS h
+  FROM w LEFT JOIN d USING (r)),
+x AS (SELECT *, weight + floor(-1000 * ln(-ln((h + 0.5) / 4294967296)))::BIGINT AS score FROM v),
+p AS (SELECT *, row_number() OVER (PARTITION BY n_words >= 20
+    ORDER BY score DESC, doc_id NULLS FIRST, weight DESC, n_features) AS place,
+  count(*) OVER (PARTITION BY n_words >= 20) AS able FROM x)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_words >= 20 AND place <= able * 25 // 100 THEN place END AS rank
+FROM p
+""")
+def op13_target_resampling(spark, sf_dir):
+    """Weights, scores and ranks of all documents, drawn towards the benchmark."""
+    found = resample.ranked(resample.scores(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), Scratch(spark, "op13")))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
