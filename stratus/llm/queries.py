@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratus.llm import (
-    brown, chat, decontaminate, embeddings, jaccard, mixing, resample, suffixes, toxicity, urls, wavelet,
+    brown, chat, decontaminate, embeddings, jaccard, mixing, resample, suffixes, toxicity, trie, urls, wavelet,
 )
 from stratus.llm.scratch import Scratch, table
 
@@ -240,3 +240,36 @@ def op13_target_resampling(spark, sf_dir):
     found = resample.ranked(resample.scores(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), Scratch(spark, "op13")))
     return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@register("op12_conversation_trie", f"""
+WITH c AS {_SQL_CRC_TABLE},
+t AS (SELECT conv_id::BIGINT AS c, coalesce(role, '') AS r, coalesce(text, '') AS x, row_number() OVER (
+    PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS p
+  FROM conversations WHERE conv_id IS NOT NULL),
+n AS (SELECT c, count(*) AS n FROM t GROUP BY c),
+h AS (SELECT n.c, n.c - n.c % 5 AS b, {_SQL_CRC.format(x='n.c::VARCHAR')} % 9 AS h FROM n, c),
+re AS (SELECT h.c, t.p AS d, r, x FROM h JOIN t ON t.c = h.b AND t.p <= h.h
+  UNION ALL SELECT h.c, t.p - h.h + least(h.h, coalesce(n.n, 0)), r, x
+  FROM h JOIN t ON t.c = h.c AND t.p > h.h LEFT JOIN n ON n.c = h.b),
+k AS (SELECT c, d, string_agg(sha256(strlen(r) || ':' || r || x), '') OVER (PARTITION BY c ORDER BY d) AS k,
+    strlen(x) AS z FROM re UNION ALL SELECT c, 0, '', 0 FROM n),
+l AS (SELECT c, max(d) AS l FROM k GROUP BY c),
+g AS (SELECT d, k, min(c) AS m, count(*) AS n, max(z) AS z FROM k GROUP BY d, k),
+i AS (SELECT k.c, k.d, g.m FROM k JOIN g USING (d, k)),
+o AS (SELECT g.*, i.m AS pm FROM g LEFT JOIN i ON i.c = g.m AND i.d = g.d - 1),
+kids AS (SELECT d - 1 AS d, pm AS m, count(*) AS n FROM o WHERE d > 0 GROUP BY 1, 2),
+s AS (SELECT i.d, i.m, sum(CASE WHEN kids.n IS NULL THEN 1 ELSE 0 END)::BIGINT AS leaves,
+    sum((o.n - 1) * o.z)::BIGINT AS saved
+  FROM o LEFT JOIN kids ON kids.d = o.d AND kids.m = o.m JOIN i ON i.c = o.m AND i.d <= o.d GROUP BY 1, 2),
+e AS (SELECT i.d, i.m, string_agg(i.c::VARCHAR, ',' ORDER BY i.c) AS e FROM i JOIN l ON l.c = i.c AND l.l = i.d GROUP BY 1, 2)
+SELECT o.m AS conv_id, o.d::BIGINT AS depth, o.pm AS parent_conv_id, o.n AS n_convs, coalesce(kids.n, 0) AS n_children,
+  s.leaves AS n_leaves, s.saved AS saved_tokens, sha256(coalesce(e.e, '')) AS ends_sha256
+FROM o JOIN s ON s.d = o.d AND s.m = o.m LEFT JOIN kids ON kids.d = o.d AND kids.m = o.m
+LEFT JOIN e ON e.d = o.d AND e.m = o.m
+""")
+def op12_conversation_trie(spark, sf_dir):
+    """Prefix nodes of all conversations, rebuilt on their group's first turns."""
+    scratch = Scratch(spark, "op12")
+    seqs = trie.regrafted(trie.encoded(table(spark, sf_dir, "conversations"), scratch))
+    return trie.prefix_trie(seqs, scratch)
