@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratus.llm import (
-    brown, chat, decontaminate, embeddings, jaccard, mixing, resample, suffixes, toxicity, trie, urls, wavelet,
+    brown, chat, decontaminate, embeddings, jaccard, mixing, resample, secrets, suffixes, toxicity, trie, urls,
+    wavelet,
 )
 from stratus.llm.scratch import Scratch, table
 
@@ -273,3 +274,16 @@ def op12_conversation_trie(spark, sf_dir):
     scratch = Scratch(spark, "op12")
     seqs = trie.regrafted(trie.encoded(table(spark, sf_dir, "conversations"), scratch))
     return trie.prefix_trie(seqs, scratch)
+
+
+@register("op11_secret_scan")
+def op11_secret_scan(spark, sf_dir):
+    """Spans of secrets in all documents."""
+    found = secrets.findings(table(spark, sf_dir, "documents"), Scratch(spark, "op11"))
+
+    def count(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", count("assign"), count("access"), count("hex"),
+                        F.sha2(secrets.joined(F.col("spans"), fixed_only=True), 256).alias("base_sha256"),
+                        secrets.joined(F.col("spans")).alias("spans"))
