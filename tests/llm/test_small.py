@@ -197,3 +197,59 @@ def test_shards_round_trip(docs, scratch):
         at += n
     empty = wavelet.write_shards(docs([]), scratch, tokenizer_path(), END_ID, name="none")
     assert wavelet.read_documents(empty).count() == 0
+
+
+def test_encoder_on_random_texts_in_small_pieces(monkeypatch):
+    """Latin-1 capitals, marks, special tokens and long texts, cut anywhere."""
+    import random
+
+    from tokenizers import Tokenizer
+
+    rnd = random.Random(6)
+    signs = ["a", "B", "é", "É", "ÿ", "ß", "×", "÷", "À", "ſ", "'", "-", "<", "|", ">", "1", " ", "\t", "\n", "…", "漢",
+             "é", " ", "<|endoftext|>", "Don't", "(x)", "\x1c", "µ", "ª"]
+    texts = ["".join(rnd.choices(signs, k=rnd.randint(0, 60))) for _ in range(600)] + [None, "x" * 900, "é" * 700]
+    want = [e.ids for e in Tokenizer.from_file(tokenizer_path()).encode_batch(
+        [t or "" for t in texts], add_special_tokens=False)]
+    for piece in (1 << 20, 50):
+        monkeypatch.setattr(wavelet, "PIECE", piece)
+        ids, counts = wavelet.Encoder(tokenizer_path()).encode_rows(pa.array(texts))
+        assert counts.tolist() == [len(w) for w in want]
+        assert ids.tolist() == [i for w in want for i in w]
+
+
+@pytest.mark.parametrize("block", [8, 64, 1 << 16])
+def test_blocks_of_any_size(block):
+    x = np.random.default_rng(block).integers(0, 300, 1000).astype(np.uint32)
+    w = wavelet.WaveletMatrix.from_bytes(wavelet.WaveletMatrix.build(x, block).to_bytes())
+    assert [w.access(i) for i in range(1000)] == x.tolist() and (w.decode() == x).all()
+    for v in range(0, 300, 7):
+        places = np.flatnonzero(x == v)
+        assert [w.select(v, k) for k in range(len(places))] == places.tolist()
+        assert [w.rank(v, i) for i in (0, 63, 64, 500, 1000)] == [(x[:i] == v).sum() for i in (0, 63, 64, 500, 1000)]
+
+
+def test_shards_answer_without_being_decoded(spark, docs, scratch):
+    rows = [(i, f"word{i % 3} and some more words {'x ' * (i % 7)}", "s") for i in range(60)]
+    shards = wavelet.write_shards(docs(rows), scratch, tokenizer_path(), END_ID, shard_bytes=400)
+    assert shards.count() > 3
+    ids = np.concatenate([wavelet.WaveletMatrix.from_bytes(r.image).decode()
+                          for r in sorted(shards.collect(), key=lambda r: r.shard)])
+    asked = [0, 5, len(ids) // 2, len(ids) - 1, len(ids), -1]
+    got = wavelet.tokens_at(shards, spark.createDataFrame([(p,) for p in asked], "position long")).collect()
+    assert {r.position: r.token for r in got} == {p: int(ids[p]) for p in asked[:4]}
+    tokens = [END_ID, int(ids[3]), 49_405]
+    found = {r.token: (r.n, r.first) for r in wavelet.occurrences(shards, tokens).collect()}
+    assert found == {t: (int((ids == t).sum()), int(np.flatnonzero(ids == t)[0]) if (ids == t).any() else None)
+                     for t in tokens}
+
+
+def test_a_question_loads_few_blocks():
+    x = np.random.default_rng(1).integers(0, 40_000, 1_000_000).astype(np.uint32)
+    data = wavelet.WaveletMatrix.build(x).to_bytes()
+    w = wavelet.WaveletMatrix.from_bytes(data)
+    assert w.access(654_321) == x[654_321]
+    assert sum(len(p.loaded) for p in w.planes) == len(w.planes)  # one of 16 per plane
+    w = wavelet.WaveletMatrix.from_bytes(data)
+    assert w.count(int(x[7])) == (x == x[7]).sum()
+    assert sum(len(p.loaded) for p in w.planes) <= 2 * len(w.planes)
