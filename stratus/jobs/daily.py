@@ -13,10 +13,9 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from stratus.operators.batched import daily_stats, write_stats
-from stratus.operators.daily import daily_aggregate, partition_presence, write_daily
+from stratus.operators.daily import daily_aggregate, write_daily
 from stratus.session import get_session
-from stratus.schemas import GOLD_DDL
-from stratus.sources.files import read_bronze, read_parquet_or_empty
+from stratus.sources.files import read_bronze, stored_day_presence
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -44,9 +43,8 @@ def main(argv: list[str] | None = None) -> int:
     write_daily(daily_aggregate(bronze), a.gold, mode=mode)
     if a.stats:
         write_stats(daily_stats(bronze), a.stats)
-    # Never fails; prints the presence row.
-    gold = read_parquet_or_empty(spark, a.gold, GOLD_DDL)
-    row = partition_presence(gold, a.check_day).first()
+    # Never fails; prints the presence row, from the files' footers alone.
+    row = stored_day_presence(spark, a.gold, a.check_day).first()
     print(f"[daily] {a.gold} date={row['date']} rows={row['n_rows']} present={row['present']}")
     return 0
 

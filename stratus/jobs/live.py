@@ -5,7 +5,8 @@
 
 * latest (I3): hourly messages -> latest non-null value per metric and city;
   the whole (bounded: one row per city) table is rewritten each trigger.
-  ``--order arrival`` (Kafka timestamp/partition/offset) or ``event_time``.
+  ``--order arrival`` (Kafka timestamp/partition/offset; files by the time they were
+  written, then name) or ``event_time`` (the hour, then arrival).
 * rate (I5, optional): current observations -> events per second per city
   in 1-minute windows with a watermark; closed windows are appended.
 """
@@ -52,13 +53,17 @@ def main(argv: list[str] | None = None) -> int:
     trigger = {"availableNow": True} if a.once else {"processingTime": "10 seconds"}
 
     msgs = read_stream(spark, Source(a.source, path=a.messages, topic=a.messages_topic,
-                                     bootstrap=a.bootstrap, starting_offsets=START_LATEST))
+                                     bootstrap=a.bootstrap, starting_offsets=START_LATEST), ordered=True)
+    arrival = ARRIVAL
     if a.source == "files":
         # A JSON-lines folder of (key, value) records: take the value text.
-        msgs = msgs.select(F.get_json_object("value", "$.value").alias("value"))
+        # The file's place is the arrival; of one file's messages the largest counts.
+        value = F.get_json_object("value", "$.value")
+        msgs = msgs.select(value.alias("value"), F.struct("log_place.*", value.alias("text")).alias("log_place"))
+        arrival = ("log_place",)
     hourly = parse_hourly_messages(msgs)
     order = a.order or ("arrival" if a.source == "kafka" else "event_time")
-    by = ARRIVAL if order == "arrival" else ("hour_ts",)
+    by = arrival if order == "arrival" else ("hour_ts", *arrival)  # one hour's later message wins
     queries = [start_snapshot(latest_by_city(hourly, order_by=by), a.latest_out,
                               f"{a.checkpoint}/latest", trigger, "complete")]
 

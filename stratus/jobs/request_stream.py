@@ -32,7 +32,7 @@ def main(argv: list[str] | None = None) -> int:
     src = Source(a.source, path=a.requests, topic=a.topic, bootstrap=a.bootstrap,
                  starting_offsets=START_LATEST)
     topic = Sink("kafka", topic=a.status_topic, bootstrap=a.bootstrap) if a.status_topic else None
-    q = start_requests(read_stream(spark, src), a.stats, a.results, a.status, a.checkpoint,
+    q = start_requests(read_stream(spark, src, ordered=True), a.stats, a.results, a.status, a.checkpoint,
                        {"availableNow": True} if a.once else {"processingTime": a.trigger}, topic)
     q.awaitTermination()
     return 0

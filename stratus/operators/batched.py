@@ -72,8 +72,7 @@ def normalize_requests(requests: DataFrame) -> DataFrame:
         F.nullif(strip_ws(F.col("date_from")), F.lit("")).alias("_from_txt"),
         F.nullif(strip_ws(F.col("date_to")), F.lit("")).alias("_to_txt"),
     )
-    dfrom, dto = (F.when(F.col(c).rlike(DAY_PATTERN), F.col(c).try_cast("date"))
-                  for c in ("_from_txt", "_to_txt"))
+    dfrom, dto = (_day(F.col(c)) for c in ("_from_txt", "_to_txt"))
     error = (
         F.when(~F.col("agg").isin(*AGGS), F.concat(F.lit("invalid agg: "), F.col("agg")))
         .when(F.size("metrics") == 0, F.lit("no valid metric requested"))
@@ -99,7 +98,15 @@ def batched_query(bronze: DataFrame, requests: DataFrame) -> DataFrame:
 
 def batched_from_stats(stats: DataFrame, requests: DataFrame) -> DataFrame:
     """Same, over a stored :func:`daily_stats` table (the request stream reads
-    that small gold table instead of rescanning the hourly rows)."""
+    that small gold table instead of rescanning the hourly rows).
+
+    Requests fall into four kinds: for listed or for all cities, with both days
+    given or with an open end.  Each kind joins its own scan of ``stats``, pruned
+    at run time to the days that its requests ask for (a scalar subquery over the
+    request batch on the partition column; no job runs while the query is built).
+    So one open request does not make the others read all days, and a kind that
+    no request belongs to reads nothing.
+    """
     # No row filters on parsed columns: a filter would be pushed below the
     # projection and re-run the parsing.  Invalid requests explode no metric,
     # an empty or inverted day range explodes no day, and each branch below
@@ -109,55 +116,84 @@ def batched_from_stats(stats: DataFrame, requests: DataFrame) -> DataFrame:
         "request_id", "city_ids", "date_from", "date_to", "agg",
         F.posexplode(F.when(F.col("error").isNull(), F.col("metrics"))).alias("metric_pos", "metric"),
     )
-    # The days that any valid request asks for: two values of the (small) request
-    # batch.  As literals on ``date`` they prune the stats' partitions.
-    asked = req.where(F.col("error").isNull()).agg(
-        F.min(F.coalesce("date_from", F.lit("0001-01-01").cast("date"))).alias("lo"),
-        F.max(F.coalesce("date_to", F.lit("9999-12-31").cast("date"))).alias("hi")).first()
-    if asked["lo"] is not None:
-        stats = stats.where(F.col("date").between(
-            *(F.lit(asked[k].isoformat()).cast("date") for k in ("lo", "hi"))))
-    # Open bounds are closed with the data's first and last day (one scalar
-    # subquery returning both, evaluated once), so every day range is finite.
+    asked = _asked_days(requests)
+    parts = [_answers(stats, per_metric, asked, every, ends) for every in (False, True) for ends in (False, True)]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+_KINDS = {(every, ends): f"{'all' if every else 'listed'}_{'open' if ends else 'bounded'}"
+          for every in (False, True) for ends in (False, True)}
+
+
+def _asked_days(requests: DataFrame) -> Column:
+    """First and last day that each kind of request asks for (null: none of that
+    kind), as one scalar subquery.  Only the days and whether cities are listed are
+    parsed here; an invalid request may widen the range, which costs reading only."""
+    dfrom, dto = (_day(F.nullif(strip_ws(F.col(c)), F.lit(""))) for c in ("date_from", "date_to"))
+    cities = F.array_join(F.coalesce(F.col("city_ids"), F.array().cast("array<string>")), " ")
+    rows = requests.select(dfrom.alias("f"), dto.alias("t"),
+                           (strip_ws(F.replace(cities, F.lit(","), F.lit(" "))) == "").alias("every"))
+    ends = F.col("f").isNull() | F.col("t").isNull()
+    ranges = []
+    for (every, open_), name in _KINDS.items():
+        mine = (F.col("every") == every) & (ends == open_)
+        ranges.append(F.struct(
+            F.min(F.when(mine, F.coalesce("f", F.lit("0001-01-01").cast("date")))).alias("lo"),
+            F.max(F.when(mine, F.coalesce("t", F.lit("9999-12-31").cast("date")))).alias("hi")).alias(name))
+    return rows.agg(F.struct(*ranges)).scalar()
+
+
+def _answers(stats: DataFrame, per_metric: DataFrame, asked: Column, every: bool, ends: bool) -> DataFrame:
+    """The answers of one kind of request."""
+    days = asked[_KINDS[every, ends]]
+    stats = stats.where(F.col("date").between(days["lo"], days["hi"]))
+    # Open ends (and ends beyond the data) are closed with the first and last day
+    # there are, so every day range is finite.
     bounds = stats.select(F.struct(F.min("date").alias("lo"), F.max("date").alias("hi"))).scalar()
-    lo, hi = bounds.getField("lo"), bounds.getField("hi")
+    lo, hi = bounds["lo"], bounds["hi"]
+    mine = (F.size("city_ids") == 0) == every
+    mine = mine & ((F.col("date_from").isNull() | F.col("date_to").isNull()) == ends)
     start = F.greatest(F.coalesce(F.col("date_from"), lo), lo)
     stop = F.least(F.coalesce(F.col("date_to"), hi), hi)
     ranged = per_metric.select(
-        "request_id", "agg", "metric_pos", "metric", "city_ids",
-        start.alias("_start"), stop.alias("_stop"),
-    )
-    # Requests that list cities: a range condition on the day, answered as an
-    # equi-join on week buckets (each request explodes the few weeks it
-    # overlaps), then the exact day filter.  A request reads at most its
-    # weeks of its cities' stats, not the cities' whole history.
-    weeks = F.sequence(_week(F.col("_start")), _week(F.col("_stop")))
-    listed = (
-        ranged.select("request_id", "agg", "metric_pos", "metric", "_start", "_stop",
-                      F.explode(F.array_distinct("city_ids")).alias("city_id"))
-        .select("*", F.explode(F.when(F.col("_start") <= F.col("_stop"), weeks)).alias("_wk"))
-        .join(stats.withColumn("_wk", _week(F.col("date"))), ["city_id", "metric", "_wk"])
-        .where(F.col("date").between(F.col("_start"), F.col("_stop")))
+        "request_id", "agg", "metric_pos", "metric", F.when(mine, F.col("city_ids")).alias("city_ids"),
+        F.when(mine, start).alias("_start"), stop.alias("_stop"),
     )
-    # Requests for all cities: every asked (day, metric) joined to all cities.
-    every_city = (
-        ranged.where(F.size("city_ids") == 0)
-        .select("request_id", "agg", "metric_pos", "metric",
-                F.explode(F.when(F.col("_start") <= F.col("_stop"),
-                                 F.sequence("_start", "_stop"))).alias("date"))
-        .join(stats, ["date", "metric"])
-    )
-    cols = ["request_id", *KEYS, "metric", "metric_pos", "agg"]
+    fits = F.col("_start") <= F.col("_stop")
+    if every:
+        # Every asked (day, metric) joined to all cities.
+        found = ranged.select(
+            "request_id", "agg", "metric_pos", "metric",
+            F.explode(F.when(fits, F.sequence("_start", "_stop"))).alias("date"),
+        ).join(stats, ["date", "metric"])
+    else:
+        # A range condition on the day, answered as an equi-join on week buckets
+        # (each request explodes the few weeks it overlaps), then the exact day
+        # filter.  A request reads at most its weeks of its cities' stats, not the
+        # cities' whole history.
+        weeks = F.sequence(_week(F.col("_start")), _week(F.col("_stop")))
+        found = (
+            ranged.select("request_id", "agg", "metric_pos", "metric", "_start", "_stop",
+                          F.explode(F.array_distinct("city_ids")).alias("city_id"))
+            .select("*", F.explode(F.when(fits, weeks)).alias("_wk"))
+            .join(stats.withColumn("_wk", _week(F.col("date"))), ["city_id", "metric", "_wk"])
+            .where(F.col("date").between(F.col("_start"), F.col("_stop")))
+        )
     value = (
         F.when(F.col("agg") == "avg", F.col("avg"))
         .when(F.col("agg") == "min", F.col("min"))
         .otherwise(F.col("max"))
         .alias("value")
     )
-    return (
-        listed.select(*cols, value)
-        .unionByName(every_city.select(*cols, value))
-    )
+    return found.select("request_id", *KEYS, "metric", "metric_pos", "agg", value)
+
+
+def _day(c: Column) -> Column:
+    """``YYYY-MM-DD`` text -> date; null for anything else."""
+    return F.when(c.rlike(DAY_PATTERN), c.try_cast("date"))
 
 
 def _week(d: Column) -> Column:

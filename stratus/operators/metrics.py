@@ -38,16 +38,20 @@ def event_rate(
     df = events
     for label, values in (select or {}).items():
         df = df.where(label_match(label, values))
+    counts = window_counts(df, ts, by, width, slide)
+    return counts.select("window_start", *by, (F.col("n") / F.lit(float(window_seconds(width)))).alias("rate"))
+
+
+def window_counts(events: DataFrame, ts: str = "ts", by: Sequence[str] = ("city_name",), width: str = "1 minute",
+                  slide: str | None = None) -> DataFrame:
+    """(window_start, window_end, labels, n): events per window and label."""
     w = F.window(ts, width, slide) if slide else F.window(ts, width)
-    seconds = _seconds(width)
-    return (
-        df.groupBy(w.alias("window"), *by)
-        .agg((F.count(F.lit(1)) / F.lit(float(seconds))).alias("rate"))
-        .select(F.col("window.start").alias("window_start"), *by, "rate")
-    )
+    return (events.groupBy(w.alias("window"), *by).agg(F.count(F.lit(1)).alias("n"))
+            .select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), *by, "n"))
 
 
-def _seconds(interval: str) -> int:
+def window_seconds(interval: str) -> int:
+    """Seconds of ``"<n> <unit>"``."""
     n, unit = interval.split()
     mult = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}[unit.rstrip("s")]
     return int(n) * mult

@@ -21,7 +21,8 @@ from stratus.plans import oracle as O
 from stratus.plans import views as V
 from stratus.schemas import GOLD_DDL
 from stratus.session import scratch_path
-from stratus.sources.files import read_bronze, read_parquet_or_empty, read_registry_version, read_result
+from stratus.sources import registry
+from stratus.sources.files import read_bronze, read_parquet_or_empty, read_registry_version, read_result, stored_day_presence
 from stratus.sources.sinks import write_registry
 from stratus.sources.streams import TOPIC_CURRENT, TOPIC_RAW, parse_statuses
 
@@ -798,10 +799,10 @@ def q_gold_round_trip(spark, sf_dir):
 SELECT '{PRESENCE_DAY}' AS date, count(*) AS n_rows, count(*) > 0 AS present
 FROM daily WHERE date = DATE '{PRESENCE_DAY}'""")
 def q_stored_day_presence(spark, sf_dir):
-    """A17 over a stored gold table: one day's files are read."""
+    """A17 over a stored gold table: one day's footers are read, no row."""
     base = _folder(spark, "presence")
     daily.write_daily(daily.daily_aggregate(V.bronze(spark, sf_dir)), base)
-    return daily.partition_presence(read_parquet_or_empty(spark, base, GOLD_DDL), PRESENCE_DAY)
+    return stored_day_presence(spark, base, PRESENCE_DAY)
 
 
 @register("result_round_trip", PARAM_SQL["param_avg"])
@@ -822,6 +823,23 @@ def q_registry_round_trip(spark, sf_dir):
     return read_registry_version(spark, base, 7).drop("updated_at")
 
 
+@register("registry_chain", O.with_(O.CITIES, O.APPLIED) + f"""
+SELECT state.id, name, country, {O.R('lat')} AS lat, {O.R('lon')} AS lon,
+       CASE WHEN coalesce(n, 0) % 2 = 1 THEN NOT coalesce(active, TRUE) ELSE active END AS active,
+       CAST(7 + (SELECT count(*) FROM ok) AS INTEGER) AS version, 'tests' AS updated_by
+FROM state LEFT JOIN flips ON flips.id = state.id""")
+def q_registry_chain(spark, sf_dir):
+    """Three batches of changes, each applied to the version that the
+    one before wrote, give the one ordered fold; versions go on through them."""
+    root = _folder(spark, "registry-chain")
+    start = registry.open_registry(spark, f"{root}/none")
+    registry.commit(spark, start, V.cities(spark, sf_dir), root, 6, "import")
+    ops = V.mixed_changes(spark, sf_dir)
+    for lo, hi in ((0, 2), (3, 5), (6, 9)):
+        done = registry.apply_batch(spark, root, ops.where((F.col("seq") % 10).between(lo, hi)), root, "tests")
+    return done.snapshot.table.drop("updated_at")
+
+
 @register("status_log_order", """
 WITH log AS (
   SELECT concat('q', CAST(o_custkey % 300 AS VARCHAR)) AS request_id, o_orderkey,

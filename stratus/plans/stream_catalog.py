@@ -1,4 +1,4 @@
-"""Streaming twins of batch queries.
+"""Streaming twins of batch queries (I1 I3 I4 I5 I6; D1 D2 E5 E8 E10 E11 E13 as streams).
 
 Each entry writes its input (derived from the tables by Spark) to a folder
 under the shared checkpoint directory, runs the streaming query to the end
@@ -13,16 +13,17 @@ import uuid
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from stratus.operators import batched, envelope
+from stratus.operators import batched, current, envelope, flatten
 from stratus.plans import oracle as O
 from stratus.plans import views as V
-from stratus.plans.catalog import SQL, register
+from stratus.plans.catalog import CURRENT_RANKED, SQL, _now_requests, register
 from stratus.session import scratch_path
 from stratus.sources.files import read_statuses
-from stratus.sources.sinks import Sink
+from stratus.sources.sinks import Sink, write_registry
 from stratus.sources.streams import Source, parse_hourly_messages, read_stream
+from stratus.streaming import counters, live, lookups, polls, requests as sr
 from stratus.streaming import hourly as sh
-from stratus.streaming import live, requests as sr
+from stratus.streaming.versions import read_newest
 
 AVAILABLE_NOW = {"availableNow": True}
 
@@ -155,3 +156,165 @@ def q_stream_statuses(spark, sf_dir):
     _await([sr.start_requests(raw, f"{base}/stats", f"{base}/results", f"{base}/status", f"{base}/ckpt",
                               AVAILABLE_NOW)])
     return read_statuses(spark, f"{base}/status").select("request_id", "status")
+
+
+# --- registry on the stream (D1 D2) ------------------------------------------
+ASKED_DDL = "event_id bigint, city_id string"
+
+
+def _registry(spark, sf_dir, base: str) -> str:
+    write_registry(V.cities(spark, sf_dir), f"{base}/registry", 1, "tests")
+    return f"{base}/registry"
+
+
+@register("stream_now_lookup", SQL["now_lookup"])
+def q_stream_now_lookup(spark, sf_dir):
+    """Lookup requests as they arrive, against the registry of each micro-batch."""
+    base = _dirs(spark, "now")
+    _now_requests(spark, sf_dir).select(F.to_json(F.struct("*")).alias("value")).write.text(f"{base}/in")
+    stream = lookups.parse_lookups(read_stream(spark, Source("files", path=f"{base}/in")), ASKED_DDL)
+    sink = Sink("parquet", path=f"{base}/out")
+    _await([lookups.start_lookup(stream, _registry(spark, sf_dir, base), sink, f"{base}/ckpt", AVAILABLE_NOW)])
+    ddl = f"{ASKED_DDL}, name string, country string, lat double, lon double"
+    return lookups.read_step(spark, sink, "found", ddl)
+
+
+@register("stream_now_unknown", SQL["now_unknown"])
+def q_stream_now_unknown(spark, sf_dir):
+    """Ids that the registry does not have, or has switched off."""
+    base = _dirs(spark, "unknown")
+    _now_requests(spark, sf_dir).select(F.to_json(F.struct("*")).alias("value")).write.text(f"{base}/in")
+    stream = lookups.parse_lookups(read_stream(spark, Source("files", path=f"{base}/in")), ASKED_DDL)
+    sink = Sink("json", path=f"{base}/out")
+    _await([lookups.start_lookup(stream, _registry(spark, sf_dir, base), sink, f"{base}/ckpt", AVAILABLE_NOW)])
+    return lookups.read_step(spark, sink, "unknown", ASKED_DDL)
+
+
+@register("stream_attach_city", SQL["hourly_flatten"])
+def q_stream_attach_city(spark, sf_dir):
+    """Replies without names get the registry's on the stream, become raw
+    events, and flatten to the hourly rows."""
+    base = _dirs(spark, "attach")
+    replies = envelope.replies_from_hourly(V.hourly(spark, sf_dir)).drop("city_name", "country")
+    replies.write.parquet(f"{base}/in")
+    stream = spark.readStream.schema(replies.schema).option("maxFilesPerTrigger", "4").parquet(f"{base}/in")
+    sink = Sink("text", path=f"{base}/out")
+    _await([lookups.start_envelopes(stream, _registry(spark, sf_dir, base), sink, f"{base}/ckpt", AVAILABLE_NOW)])
+    return flatten.flatten(lookups.read_step(spark, sink, "events", "value string"))
+
+
+# --- counters and sums over two runs of one checkpoint (E5 E8 E10 E11 E13) ------
+def _two_runs(spark, rows, base: str, start) -> None:
+    """Half of ``rows`` arrives, the stream runs and stops; then the other half."""
+    half = F.pmod(F.xxhash64(*rows.columns), F.lit(2))
+    for k in (0, 1):
+        rows.where(half == k).write.mode("append").parquet(f"{base}/in")
+        stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", "2").parquet(f"{base}/in")
+        _await([start(stream)])
+
+
+@register("stream_city_events", SQL["city_event_counts"])
+def q_stream_city_events(spark, sf_dir):
+    """E5: events per city, counted on over a restart."""
+    base = _dirs(spark, "city-events")
+    raw = envelope.envelope(envelope.replies_from_hourly(V.hourly(spark, sf_dir)))
+    flat = current.current_flat(raw)
+    country = F.when(F.col("country") == "AF", F.lit(None)).when(F.col("country") == "AS", "").otherwise(F.col("country"))
+    _two_runs(spark, flat.withColumn("country", country), base,
+              lambda s: counters.start_city_events(s, f"{base}/out", f"{base}/ckpt", AVAILABLE_NOW))
+    return read_newest(spark, f"{base}/out")
+
+
+@register("stream_fetch_histogram", SQL["fetch_histogram"])
+def q_stream_fetch_histogram(spark, sf_dir):
+    """Calls, failures and latency buckets, counted on over a restart."""
+    base = _dirs(spark, "histogram")
+    _two_runs(spark, V.fetch_log(spark, sf_dir), base,
+              lambda s: counters.start_latency(s, f"{base}/out", f"{base}/ckpt", AVAILABLE_NOW))
+    return read_newest(spark, f"{base}/out")
+
+
+@register("stream_producer_failures", SQL["producer_failures"])
+def q_stream_producer_failures(spark, sf_dir):
+    """Failed sends by topic and reason, counted on over a restart."""
+    base = _dirs(spark, "failures")
+    _two_runs(spark, V.producer_log(spark, sf_dir), base, lambda s: counters.start_failures(
+        s, f"{base}/out", f"{base}/ckpt", ("topic", "reason"), AVAILABLE_NOW))
+    return read_newest(spark, f"{base}/out")
+
+
+@register("stream_sum_latest", SQL["sum_latest_by_labels"])
+def q_stream_sum_latest(spark, sf_dir):
+    """Newest sample per series, summed by label with retraction, over a restart."""
+    base = _dirs(spark, "sums")
+    _two_runs(spark, V.samples(spark, sf_dir), base, lambda s: counters.start_sum_latest(
+        s, ["metric", "consumergroup", "topic", "part"], ["consumergroup", "topic"], f"{base}/out", f"{base}/ckpt",
+        AVAILABLE_NOW))
+    return read_newest(spark, f"{base}/out").select("consumergroup", "topic", "value")
+
+
+@register("stream_poll_counters", CURRENT_RANKED + """
+SELECT CAST(block % 20 AS BIGINT) AS poll, CAST(sum(CASE WHEN has_current THEN 2 ELSE 1 END) AS BIGINT) AS messages,
+       count(*) AS cities
+FROM cur GROUP BY 1""")
+def q_stream_poll_counters(spark, sf_dir):
+    """One micro-batch per poll; its counters as a listener observed them."""
+    base = _dirs(spark, "polls")
+    events = envelope.envelope(envelope.replies_from_hourly(V.hourly(spark, sf_dir)))
+    events = events.select((F.col("block") % 20).cast("long").alias("poll"), "value")
+    for k in range(20):  # one file per poll
+        events.where(F.col("poll") == k).coalesce(1).write.mode("append").parquet(f"{base}/in")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", "1").parquet(f"{base}/in")
+    sent = polls.observed(current.current_values(stream, keep=["poll"]))
+    listener = polls.PollListener(spark, f"{base}/polls")
+    spark.streams.addListener(listener)
+    try:
+        q = (sent.writeStream.format("parquet").option("path", f"{base}/sent")
+             .option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True).start())
+        polls.await_polls(q, spark, f"{base}/polls")
+    finally:
+        spark.streams.removeListener(listener)
+    return polls.read_polls(spark, f"{base}/polls").select("poll", "messages", "cities")
+
+
+@register("stream_rate_late", SQL["event_rate_sliding"])
+def q_stream_rate_late(spark, sf_dir):
+    """Sliding windows on an ``append`` stream whose later batches go back over
+    the whole time: most of their rows are behind the watermark, none is lost.  Half
+    way the counts are folded."""
+    base = _dirs(spark, "rate-late")
+    ev = V.city_events(spark, sf_dir)
+    for k in range(4):
+        ev.where(F.col("event_id") % 4 == k).write.mode("append").parquet(f"{base}/in")
+        stream = spark.readStream.schema(ev.schema).parquet(f"{base}/in")
+        _await([live.start_whole_rate(stream, f"{base}/out", f"{base}/ckpt", slide="10 seconds", trigger=AVAILABLE_NOW)])
+        if k == 2:
+            live.compact_rates(spark, f"{base}/out")
+    return live.read_rates(spark, f"{base}/out").drop("late_n")
+
+
+# --- requests that fail while they run (I6) ---------------------------------------
+@register("stream_failing_requests", """
+SELECT concat(CASE WHEN s_suppkey % 50 = 7 THEN 'bad' ELSE 's' END, CAST(s_suppkey AS VARCHAR)) AS request_id,
+       CASE WHEN s_suppkey % 50 = 7 THEN 'error' ELSE 'success' END AS status,
+       CASE WHEN s_suppkey % 50 = 7 THEN 'cannot answer' END AS error
+FROM supplier""")
+def q_stream_failing_requests(spark, sf_dir):
+    """One request per supplier; the answers of some fail while they run.  Those
+    get ``error``, all others their answers."""
+    base = _dirs(spark, "failing")
+    s = V.read_table(spark, sf_dir, "supplier").select("s_suppkey")
+    name = F.concat(F.when(F.col("s_suppkey") % 50 == 7, "bad").otherwise("s"), F.col("s_suppkey").cast("string"))
+    asked = s.select(name.alias("request_id"), F.array(F.concat(F.lit("c"), F.col("s_suppkey").cast("string"))).alias("city_ids"))
+    asked.select(F.to_json(F.struct("*")).alias("value")).write.text(f"{base}/in")
+    batched.write_stats(batched.daily_stats(V.bronze(spark, sf_dir)), f"{base}/stats")
+
+    def answer(stats, requests):
+        fails = F.when(F.col("request_id").startswith("bad"), F.raise_error(F.lit("cannot answer")).cast("array<string>"))
+        return batched.batched_from_stats(stats, requests.withColumn("city_ids", F.coalesce(fails, "city_ids")))
+
+    raw = read_stream(spark, Source("files", path=f"{base}/in"), ordered=True)
+    _await([sr.start_requests(raw, f"{base}/stats", f"{base}/results", f"{base}/status", f"{base}/ckpt", AVAILABLE_NOW,
+                              answer=answer)])
+    final = read_statuses(spark, f"{base}/status").where("status <> 'submitted'")
+    return final.select("request_id", "status", F.regexp_extract("error", "cannot answer", 0).alias("error"))

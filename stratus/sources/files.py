@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratus.functions.times import epoch_or_iso
-from stratus.operators.daily import require_columns
-from stratus.schemas import HOURLY_MESSAGE_DDL, REGISTRY_DDL, STATUS_DDL
+from stratus.operators.daily import partition_presence, require_columns
+from stratus.schemas import GOLD_DDL, HOURLY_MESSAGE_DDL, STATUS_DDL
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,18 +28,13 @@ def empty(spark: SparkSession, ddl: str) -> DataFrame:
 
 
 def read_registry(spark: SparkSession, path: str) -> DataFrame:
-    """Registry JSON document -> (version, updated_at, updated_by, city
-    columns...), one row per city.  A missing file reads as an empty registry
-    (version 1)."""
-    if not _exists(spark, path):
-        return empty(spark, "version int, updated_at string, updated_by string, "
-                            "id string, name string, country string, lat double, lon double, "
-                            "active boolean")
-    doc = spark.read.schema(REGISTRY_DDL).option("multiLine", True).json(path)
-    return doc.select(
-        F.coalesce("version", F.lit(1)).alias("version"), "updated_at", "updated_by",
-        F.inline_outer("cities"),
-    ).where(F.col("id").isNotNull() | F.col("name").isNotNull())
+    """The registry at ``path`` (a JSON document, or a folder of versions, of
+    which the newest counts) -> (version, updated_at, updated_by, city columns...),
+    one row per city.  A missing path reads as an empty registry; one that holds
+    no registry raises (:func:`stratus.sources.registry.open_registry`)."""
+    from stratus.sources.registry import open_registry
+
+    return open_registry(spark, path).table
 
 
 def read_registry_version(spark: SparkSession, root: str, version: int) -> DataFrame:
@@ -55,12 +50,18 @@ def read_registry_version(spark: SparkSession, root: str, version: int) -> DataF
 FILE_ORDER = ("struct<written:timestamp,file:string,block:bigint,row:bigint>")
 
 
+def with_file_place(df: DataFrame, name: str) -> DataFrame:
+    """``df`` (a file scan) with the place of each row's block: when its file was
+    written, the file, the block's start."""
+    m = F.col("_metadata")
+    return df.withColumn(name, F.struct(m["file_modification_time"].alias("written"), m["file_path"].alias("file"),
+                                        m["file_block_start"].alias("block")))
+
+
 def with_file_order(df: DataFrame, name: str = "log_offset") -> DataFrame:
     """``df`` (a file scan) with each row's :data:`FILE_ORDER` position."""
-    m = F.col("_metadata")
-    return df.withColumn(name, F.struct(
-        m["file_modification_time"].alias("written"), m["file_path"].alias("file"),
-        m["file_block_start"].alias("block"), F.monotonically_increasing_id().alias("row")))
+    row = F.monotonically_increasing_id().alias("row")
+    return with_file_place(df, "_place").withColumn(name, F.struct("_place.*", row)).drop("_place")
 
 
 def read_statuses(spark: SparkSession, path: str) -> DataFrame:
@@ -77,6 +78,22 @@ def read_parquet_or_empty(spark: SparkSession, path: str, ddl: str) -> DataFrame
     return spark.read.schema(ddl).parquet(path) if _exists(spark, path) else empty(spark, ddl)
 
 
+def stored_day_presence(spark: SparkSession, path: str, day: str) -> DataFrame:
+    """A17 on a stored, date-partitioned table without reading a row: the day's
+    partition is pruned to and its count comes from the Parquet footers.
+
+    Footer aggregates need the newer Parquet source, so the plan is made in a
+    session of its own (same application, no setting of ``spark`` changes).
+    """
+    if not _exists(spark, path):
+        return partition_presence(empty(spark, GOLD_DDL), day)
+    own = spark.newSession()
+    own.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    own.conf.set("spark.sql.sources.useV1SourceList", "")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return partition_presence(own.read.schema(GOLD_DDL).parquet(path), day)
+
+
 def read_hourly_messages(spark: SparkSession, path: str) -> DataFrame:
     """A15 (batch): hourly messages (key, value JSON) -> typed columns."""
     raw = spark.read.parquet(path)

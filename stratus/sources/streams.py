@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratus.functions.times import epoch_or_iso
-from stratus.sources.files import with_file_order
+from stratus.sources.files import with_file_order, with_file_place
 from stratus.schemas import HOURLY_MESSAGE_DDL, REQUEST_DDL, STATUS_DDL
 
 # Topic names and start policies of the pipeline (fixed values).
@@ -42,9 +42,11 @@ class Source:
     options: dict[str, str] = field(default_factory=dict)
 
 
-def read_stream(spark: SparkSession, src: Source) -> DataFrame:
+def read_stream(spark: SparkSession, src: Source, ordered: bool = False) -> DataFrame:
     """A streaming DataFrame with ``value`` (text) and, for Kafka,
-    ``timestamp``, ``partition``, ``offset``."""
+    ``timestamp``, ``partition``, ``offset``; ``ordered`` adds ``log_place`` for files
+    (when the file was written, its name, the block in it), as later files count as
+    later arrivals.  Lines get their place within a micro-batch (:func:`with_lines`)."""
     if src.kind == "kafka":
         r = (
             spark.readStream.format("kafka")
@@ -61,10 +63,20 @@ def read_stream(spark: SparkSession, src: Source) -> DataFrame:
         r = spark.readStream.schema("value string")
         for k, v in src.options.items():
             r = r.option(k, v)
-        return r.text(src.path)
+        lines = r.text(src.path)
+        return with_file_place(lines, "log_place") if ordered else lines
     raise ValueError(f"unknown source kind {src.kind!r}")
 
 
+def with_lines(batch: DataFrame) -> DataFrame:
+    """A micro-batch as read (no shuffle yet) with ``log_offset``: its ``log_place``
+    and the order of the lines."""
+    if "log_place" not in batch.columns:
+        return batch
+    row = F.monotonically_increasing_id().alias("row")
+    return batch.withColumn("log_offset", F.struct("log_place.*", row)).drop("log_place")
+
+
 def read_log(spark: SparkSession, src: Source) -> DataFrame:
     """A10: the whole topic or folder as a bounded batch (earliest..latest)."""
     if src.kind == "kafka":
