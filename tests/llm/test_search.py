@@ -202,7 +202,7 @@ def test_lcs():
 
 # --- class n-grams -----------------------------------------------------------
 def test_brown_base_and_probabilities(docs, scratch, monkeypatch):
-    monkeypatch.setattr(brown, "KNOWN_WORDS", 40)  # most counts are joined
+    monkeypatch.setattr(brown, "MIN_COUNT", 20)  # most counts are joined
     rng = random.Random(7)
     rows = [(i, " ".join(rng.choice(["The", "of", "w%d" % rng.randrange(300), "ß%d" % rng.randrange(9)])
                          for _ in range(rng.randrange(0, 80)))) for i in range(120)]
@@ -231,6 +231,83 @@ def test_brown_base_and_probabilities(docs, scratch, monkeypatch):
     assert sum(r["score"] for r in seen) > sum(r["base_score"] for r in seen)
 
 
+def brown_rows():
+    """Texts of two grammars with many words, beyond the seeds too."""
+    rng = random.Random(11)
+    def text():
+        n = rng.randrange(0, 60)
+        return " ".join(rng.choice(["the", "a"]) + f" n{rng.randrange(4000)}s" + rng.choice([" runs", " sleeps"])
+                        + (f" q{rng.randrange(3000)}ly" if rng.random() < 0.5 else "") for _ in range(n))
+    return [(i, text()) for i in range(700)] + [(900, None), (901, "ß"), (902, "THE n1s runs")]
+
+
+def test_brown_score_equals_the_class_model(spark, docs, scratch):
+    """Transitions, emissions and joined counts, recounted in plain Python from the
+    classes that the exchange chose."""
+    rows = brown_rows()
+    train = docs(rows).where("doc_id % 5 <> 1").select("text")
+    model, words, total = brown.train(train, scratch)
+    lex = model.lexicon
+    assert len(lex.words) > brown.SEED_WORDS  # some are placed by the sweep
+    class_of, tail_of = {}, {}
+    for _, t in rows:
+        for w in set((t or "").lower().split()):
+            h, tail = next(brown._doc_tokens(pa.array([w])))
+            at, known = lex.find(h)
+            tail_of[w] = int(tail[0])
+            class_of[w] = int(model.of[at[0]]) if known[0] else brown.CLASSES + int(tail[0])
+    train_texts = [(t or "").lower().split() for i, t in rows if i % 5 != 1]
+    count, members, step = {}, {}, np.zeros((brown._ALL, brown._ALL))
+    for w in train_texts:
+        c = [brown._END_CLASS, *(class_of[x] for x in w), brown._END_CLASS]
+        for x, y in zip(c, c[1:]):
+            step[x, y] += 1
+        for x in w:
+            count[x] = count.get(x, 0) + 1
+    clustered = {w for w in count if count[w] >= brown.MIN_COUNT}
+    for w, n in count.items():
+        members.setdefault(class_of[w], []).append((w, n))
+    col = step.sum(0)
+    own = (col + 0.5) / (col.sum() + 0.5 * brown._ALL)
+
+    def emission(w):
+        c = class_of[w]
+        n = sum(k for _, k in members.get(c, ()))
+        if c >= brown.CLASSES:
+            n += 0.5 * (sum(x not in clustered for x, _ in members.get(c, ())) + 1)
+        return (count[w] if w in clustered else count.get(w, 0) + 0.5) / n
+
+    got = {r["doc_id"]: r for r in brown.score(docs(rows), F.col("doc_id") % 5 != 1, scratch).collect()}
+    for i, t in rows:
+        w = (t or "").lower().split()
+        c = [brown._END_CLASS, *(class_of[x] for x in w), brown._END_CLASS]
+        want = sum(math.log10((step[x, y] + brown.BACKOFF * own[y]) / (step[x].sum() + brown.BACKOFF))
+                   for x, y in zip(c, c[1:])) + sum(math.log10(emission(x)) for x in w)
+        assert got[i]["score"] == pytest.approx(want), i
+
+
+def test_exchange_and_sweep_never_lower_the_likelihood(spark, docs, scratch):
+    rows = brown_rows()
+    texts = docs(rows).select("text")
+    counts = {}
+    for _, t in rows:
+        for w in (t or "").lower().split():
+            counts[w] = counts.get(w, 0) + 1
+    names = sorted((w for w in counts if counts[w] > 1), key=lambda w: (-counts[w], w))
+    found = [next(brown._doc_tokens(pa.array([w]))) for w in names]
+    h, tail = np.concatenate([x for x, _ in found]), np.concatenate([x for _, x in found])
+    lex = brown.Lexicon(h, np.array([counts[w] for w in names], float))
+    pairs = texts.mapInArrow(brown._bigrams(lex), "pair long, n long")
+    classes, step, rounds = brown.exchange(pairs)
+    assert len(rounds) > 2 and rounds == sorted(rounds)
+    of, after, both = brown.sweep(texts, lex, classes, step, tail[np.argsort(h)])
+    assert both == sorted(both) and brown.likelihood(after) == pytest.approx(both[-1])
+    assert len(both) == 2 and (of < brown.CLASSES).mean() > 0.9  # the sweep took the rest out of the tail classes
+    # Determiners precede nouns: the classes tell them apart.
+    place = {w: int(of[lex.find(x)[0][0]]) for w, (x, _) in zip(names, found)}
+    assert place["the"] == place["a"] and place["runs"] == place["sleeps"] and place["the"] != place["runs"]
+
+
 def test_brown_without_training(docs, scratch):
     got = brown.score(docs([(1, "a b"), (2, None)]), toxicity.fold("doc_id") > 9, scratch).collect()
     assert {(r["n_tokens"], r["n_known"], r["train_tokens"], r["base_score"]) for r in got} == {(3, 0, 0, 0.0), (1, 0, 0, 0.0)}
