@@ -295,16 +295,16 @@ def q_stream_rate_late(spark, sf_dir):
 
 # --- requests that fail while they run (I6) ---------------------------------------
 @register("stream_failing_requests", """
-SELECT concat(CASE WHEN s_suppkey % 50 = 7 THEN 'bad' ELSE 's' END, CAST(s_suppkey AS VARCHAR)) AS request_id,
-       CASE WHEN s_suppkey % 50 = 7 THEN 'error' ELSE 'success' END AS status,
-       CASE WHEN s_suppkey % 50 = 7 THEN 'cannot answer' END AS error
+SELECT concat(CASE WHEN s_suppkey % 500 = 7 THEN 'bad' ELSE 's' END, CAST(s_suppkey AS VARCHAR)) AS request_id,
+       CASE WHEN s_suppkey % 500 = 7 THEN 'error' ELSE 'success' END AS status,
+       CASE WHEN s_suppkey % 500 = 7 THEN 'cannot answer' END AS error
 FROM supplier""")
 def q_stream_failing_requests(spark, sf_dir):
     """One request per supplier; the answers of some fail while they run.  Those
     get ``error``, all others their answers."""
     base = _dirs(spark, "failing")
     s = V.read_table(spark, sf_dir, "supplier").select("s_suppkey")
-    name = F.concat(F.when(F.col("s_suppkey") % 50 == 7, "bad").otherwise("s"), F.col("s_suppkey").cast("string"))
+    name = F.concat(F.when(F.col("s_suppkey") % 500 == 7, "bad").otherwise("s"), F.col("s_suppkey").cast("string"))
     asked = s.select(name.alias("request_id"), F.array(F.concat(F.lit("c"), F.col("s_suppkey").cast("string"))).alias("city_ids"))
     asked.select(F.to_json(F.struct("*")).alias("value")).write.text(f"{base}/in")
     batched.write_stats(batched.daily_stats(V.bronze(spark, sf_dir)), f"{base}/stats")

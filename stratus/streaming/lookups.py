@@ -30,10 +30,12 @@ def parse_lookups(raw: DataFrame, ddl: str = "city_id string") -> DataFrame:
 
 
 def _put(df: DataFrame, sink: Sink, batch_id: int, step: str) -> None:
-    """One batch's rows to ``<path>/<step>/batch=<id>`` (overwritten) or a topic."""
+    """One batch's rows to ``<path>/<step>/batch=<id>`` (overwritten) or a topic; as
+    JSON where the sink holds text."""
+    if sink.kind in ("kafka", "text") and df.columns != ["value"]:
+        df = df.select(F.to_json(F.struct("*")).alias("value"))
     if sink.kind == "kafka":
-        value = df if df.columns == ["value"] else df.select(F.to_json(F.struct("*")).alias("value"))
-        (value.write.format("kafka").option("kafka.bootstrap.servers", sink.bootstrap)
+        (df.write.format("kafka").option("kafka.bootstrap.servers", sink.bootstrap)
          .option("topic", sink.topic).save())
     else:
         df.write.mode("overwrite").format(sink.kind).save(f"{sink.path}/{step}/batch={batch_id}")
