@@ -8,6 +8,8 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from pyspark.sql import functions as F
+
 from stratus.llm import brown, decontaminate, embeddings, suffixes, toxicity
 from stratus.llm.words import doc_words
 
@@ -252,7 +254,7 @@ def test_brown_score_equals_the_class_model(spark, docs, scratch):
     class_of, tail_of = {}, {}
     for _, t in rows:
         for w in set((t or "").lower().split()):
-            h, tail = next(brown._doc_tokens(pa.array([w])))
+            h, tail, _ = next(brown._token_groups(pa.array([w])))
             at, known = lex.find(h)
             tail_of[w] = int(tail[0])
             class_of[w] = int(model.of[at[0]]) if known[0] else brown.CLASSES + int(tail[0])
@@ -294,17 +296,17 @@ def test_exchange_and_sweep_never_lower_the_likelihood(spark, docs, scratch):
         for w in (t or "").lower().split():
             counts[w] = counts.get(w, 0) + 1
     names = sorted((w for w in counts if counts[w] > 1), key=lambda w: (-counts[w], w))
-    found = [next(brown._doc_tokens(pa.array([w]))) for w in names]
-    h, tail = np.concatenate([x for x, _ in found]), np.concatenate([x for _, x in found])
+    found = [next(brown._token_groups(pa.array([w]))) for w in names]
+    h, tail = np.concatenate([x[0] for x in found]), np.concatenate([x[1] for x in found])
     lex = brown.Lexicon(h, np.array([counts[w] for w in names], float))
     pairs = texts.mapInArrow(brown._bigrams(lex), "pair long, n long")
     classes, step, rounds = brown.exchange(pairs)
-    assert len(rounds) > 2 and rounds == sorted(rounds)
+    assert len(rounds) >= 2 and rounds == sorted(rounds)
     of, after, both = brown.sweep(texts, lex, classes, step, tail[np.argsort(h)])
     assert both == sorted(both) and brown.likelihood(after) == pytest.approx(both[-1])
     assert len(both) == 2 and (of < brown.CLASSES).mean() > 0.9  # the sweep took the rest out of the tail classes
     # Determiners precede nouns: the classes tell them apart.
-    place = {w: int(of[lex.find(x)[0][0]]) for w, (x, _) in zip(names, found)}
+    place = {w: int(of[lex.find(x)[0][0]]) for w, (x, _, _) in zip(names, found)}
     assert place["the"] == place["a"] and place["runs"] == place["sleeps"] and place["the"] != place["runs"]
 
 
