@@ -21,16 +21,22 @@ sets would skip too much, so nothing is lost.  What remains meets per signature:
 
 1. each set is verified against the partner it shares most signatures with
    (the smallest id per signature is the candidate), linked sets form clusters;
-2. signatures that still join different clusters give all their cross-cluster
-   pairs, which are verified exactly too.
+2. signatures of few sets that still join different clusters give all their
+   cross-cluster pairs, which are verified exactly too;
+3. sets that could not skip a hot signature (short texts around one common
+   passage) are not paired by it but by their rarest shingles: ordered by how many
+   of these sets hold them, two sets of similarity t share one of the first
+   size - overlap + 1 of either, so what all of them have in common pairs nobody
+   (:func:`prefix_keys`).
 
 Pairs inside one cluster need no check, as only components are wanted, so a
 large group of near copies costs its size and not its square.  Texts that are
 equal byte for byte are joined first, by digest.
 
 Edge cases: a null or empty text, or white space alone, has an empty set and
-links with nothing; repeated ``doc_id`` rows count as one document whose rows
-are all kept; null ids come out with a null component.
+links with nothing; rows that repeat a ``doc_id`` are kept and counted one by
+one, and are one document for components: it links through any of its rows'
+texts; null ids come out with a null component.
 """
 
 from __future__ import annotations
@@ -52,6 +58,8 @@ from stratus.llm.words import doc_words, mix, shingles
 THRESHOLD = Fraction(3, 4)
 #: Sets that may share a signature before it counts as hot.
 HOT = 64
+#: Pairs with one document that a task gets at most, about.
+SPREAD = 256
 #: Extra segments over the pigeonhole's minimum, so that empty and hot
 #: segments can be skipped.
 SLACK = Fraction(15, 100)
@@ -175,11 +183,12 @@ def _parity(u: np.ndarray) -> np.ndarray:
 
 
 def _sizes(batches):
-    for ids, sets in _set_batches(batches):
-        yield pa.RecordBatch.from_arrays(
-            [ids, pa.array([len(u) for u in sets], pa.int64()),
-             _lists([_parity(u) for u in sets])],
-            ["doc_id", "n_shingles", "bits"])
+    for b in batches:
+        for ids, sets in _set_batches([b]):
+            yield pa.RecordBatch.from_arrays(
+                [b.column(2), ids, pa.array([len(u) for u in sets], pa.int64()),
+                 _lists([_parity(u) for u in sets])],
+                ["of", "doc_id", "n_shingles", "bits"])
 
 
 def _signer(bands: list[Band], t: Fraction):
@@ -212,12 +221,31 @@ def _packed_sets(batches):
         yield pa.RecordBatch.from_arrays([ids, _lists(sets)], ["doc_id", "items"])
 
 
+def _spread(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(pairs with ``salt``, hot): pairs of a ``u`` with very many partners get one of
+    several salts; ``hot`` (u, salts) tells how many, one row per :data:`SPREAD` pairs
+    at most."""
+    hot = bounded_broadcast(
+        pairs.groupBy("u").agg(F.ceil(F.count("*") / SPREAD).cast("int").alias("salts")).where("salts > 1"),
+        MAX_BROADCAST)
+    salt = F.coalesce(F.pmod(F.xxhash64("v"), F.col("salts")), F.lit(0)).cast("int")
+    return pairs.join(hot, "u", "left").select("u", "v", salt.alias("salt")), hot
+
+
+def _salted(side: DataFrame, hot: DataFrame) -> DataFrame:
+    """Rows keyed ``u``, once per salt."""
+    salts = F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1)
+    return side.join(hot, "u", "left").withColumn("salt", F.explode(salts)).drop("salts")
+
+
 def _plausible(pairs: DataFrame, sizes: DataFrame, t: Fraction) -> DataFrame:
     """The pairs (u, v) that sizes and parity bits don't rule out.  Both are
     bounds that no similar pair can break."""
+    pairs, hot = _spread(pairs)
     a = sizes.select(F.col("doc_id").alias("u"), F.col("n_shingles").alias("n_a"), F.col("bits").alias("a"))
     b = sizes.select(F.col("doc_id").alias("v"), F.col("n_shingles").alias("n_b"), F.col("bits").alias("b"))
-    return pairs.join(a, "u").join(b, "v").where(_possible("n_a", "n_b", "a", "b", t)).select("u", "v")
+    return (pairs.join(_salted(a, hot), ["u", "salt"]).join(b, "v")
+            .where(_possible("n_a", "n_b", "a", "b", t)).select("u", "v"))
 
 
 def _possible(n_a: str, n_b: str, bits_a: str, bits_b: str, t: Fraction) -> Column:
@@ -245,10 +273,11 @@ def _sets_of(pairs: DataFrame, known: DataFrame, scratch: Scratch, name: str) ->
 
 def _verified(pairs: DataFrame, sets: DataFrame, t: Fraction) -> DataFrame:
     """The pairs (u, v) whose sets have similarity t or more."""
+    pairs, hot = _spread(pairs)
     a = sets.select(F.col("doc_id").alias("u"), F.col("items").alias("a"))
     b = sets.select(F.col("doc_id").alias("v"), F.col("items").alias("b"))
     both = F.size(F.array_intersect("a", "b"))
-    return (pairs.join(a, "u").join(b, "v")
+    return (pairs.join(_salted(a, hot), ["u", "salt"]).join(b, "v")
             .withColumn("both", both)
             .where(t.denominator * F.col("both")
                    >= t.numerator * (F.size("a") + F.size("b") - F.col("both")))
@@ -287,24 +316,130 @@ def _shared(rows: DataFrame, bands: list[Band], scratch: Scratch) -> DataFrame:
     return out
 
 
-def _crossing(shared: DataFrame, clusters: DataFrame, sizes: DataFrame, tested: DataFrame,
-              t: Fraction) -> DataFrame:
+def _crossing(shared: DataFrame, clusters: DataFrame, sizes: DataFrame, tested: DataFrame, known: DataFrame,
+              scratch: Scratch, t: Fraction) -> DataFrame:
     """Pairs of different clusters that share a signature, are possible by size
     and parity bits, and were not tested yet."""
     of = shared.select("sig", "doc_id").join(clusters, "doc_id", "left").withColumn(
         "component", F.coalesce("component", "doc_id"))
     per_sig = Window.partitionBy("sig")
-    mixed = (of.withColumn("lo", F.min("component").over(per_sig))
-             .withColumn("hi", F.max("component").over(per_sig)).where("lo < hi")
-             .select("sig", "doc_id", "component")
-             .join(sizes, "doc_id"))
-    a, b = (mixed.select("sig", *[F.col(c).alias(f"{side}_{c}") for c in
-                                  ("doc_id", "component", "n_shingles", "bits")]) for side in "ab")
-    return (a.join(b, "sig")
-            .where("a_doc_id < b_doc_id AND a_component <> b_component")
-            .where(_possible("a_n_shingles", "b_n_shingles", "a_bits", "b_bits", t))
-            .select(F.col("a_doc_id").alias("u"), F.col("b_doc_id").alias("v")).distinct()
-            .join(tested, ["u", "v"], "left_anti"))
+    mixed = scratch.save(
+        of.withColumn("lo", F.min("component").over(per_sig)).withColumn("hi", F.max("component").over(per_sig))
+        .withColumn("n", F.count("*").over(per_sig)).where("lo < hi")
+        .select(F.col("sig").alias("key"), "doc_id", "component", "n"), "mixed")
+    few = mixed.where(F.col("n") <= HOT).select("key", "doc_id", "component").join(sizes, "doc_id")
+    a, b = (few.select("key", *[F.col(c).alias(f"{side}_{c}") for c in
+                                ("doc_id", "component", "n_shingles", "bits")]) for side in "ab")
+    pairs = (a.join(b, "key")
+             .where("a_doc_id < b_doc_id AND a_component <> b_component")
+             .where(_possible("a_n_shingles", "b_n_shingles", "a_bits", "b_bits", t))
+             .select(F.col("a_doc_id").alias("u"), F.col("b_doc_id").alias("v")).distinct()
+             .join(tested, ["u", "v"], "left_anti"))
+    many = scratch.save(mixed.where(F.col("n") > HOT).select("doc_id", "component").distinct(), "many")
+    if many.isEmpty():
+        return pairs
+    rarest = _by_rarest(many, sizes, known, scratch, t).distinct().join(tested, ["u", "v"], "left_anti")
+    return pairs.union(_plausible(scratch.save(rarest, "rarest"), sizes, t)).distinct()
+
+
+def size_class(n: int) -> tuple[int, int]:
+    """(number, least size) of the class of sets of size ``n``: single sizes up to 16,
+    then runs of a sixteenth."""
+    if n <= 16:
+        return n, n
+    octave = n.bit_length() - 5
+    part = (n >> octave) - 16
+    return 17 + octave * 16 + part, (16 + part) << octave
+
+
+def prefix_keys(n: int, rare_first: np.ndarray, t: Fraction) -> np.ndarray:
+    """Keys of a set of size ``n``, one of which any similar set has too.
+
+    ``rare_first``: its elements that other sets have as well, in the one order that
+    all sets use; all its other elements come before them.  A partner of size s or
+    more shares at least o = ceil(t (n + s) / (1 + t)) elements with it, so it has one
+    of the first n - o + 1.  A key is such an element with both sets' size classes.
+    """
+    own = n - len(rare_first)
+    mine, _ = size_class(n)
+    out, s = [], max(1, math.ceil(n * t))
+    while s <= math.floor(n / t):
+        number, least = size_class(s)
+        least = max(least, s)
+        overlap = math.ceil(t * (n + least) / (1 + t))
+        take = n - overlap + 1 - own
+        if take > 0:
+            tag = np.uint64(min(mine, number) * 4096 + max(mine, number))
+            out.append(mix(rare_first[:take] + mix(np.array([tag]))))
+        while size_class(s)[0] == number:
+            s = _next_class(s)
+    return np.concatenate(out) if out else np.empty(0, np.uint64)
+
+
+def _next_class(s: int) -> int:
+    """The least size of the class after that of ``s``."""
+    _, least = size_class(s)
+    return least + (1 if s <= 16 else 1 << (s.bit_length() - 5))
+
+
+def _prefixer(t: Fraction):
+    def run(batches):
+        for b in batches:
+            sets = [np.array(x, np.int64).view(np.uint64) for x in b.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), _lists([prefix_keys(n, x, t) for n, x in zip(b.column(1).to_pylist(), sets)])],
+                ["doc_id", "keys"])
+
+    return run
+
+
+def _by_rarest(many: DataFrame, sizes: DataFrame, known: DataFrame, scratch: Scratch, t: Fraction) -> DataFrame:
+    """(u, v) of different clusters among ``many`` (doc_id, component) that share one
+    of their rarest shingles."""
+    sets = scratch.save(
+        known.join(bounded_broadcast(many.select("doc_id"), MAX_BROADCAST), "doc_id", "left_semi")
+        .mapInArrow(_packed_sets, "doc_id long, items array<long>").dropDuplicates(["doc_id"]), "many-sets")
+    items = sets.select("doc_id", F.explode("items").alias("item"))
+    held = items.groupBy("item").agg(F.count("*").alias("holders")).where("holders > 1")
+    order = F.transform(F.array_sort(F.collect_list(F.struct("holders", "item"))), lambda x: x["item"])
+    rare = items.join(held, "item").groupBy("doc_id").agg(order.alias("rare"))
+    keys = (sets.select("doc_id", F.size("items").cast("long").alias("n")).join(rare, "doc_id")
+            .select("doc_id", "n", "rare").mapInArrow(_prefixer(t), "doc_id long, keys array<long>")
+            .select("doc_id", F.explode("keys").alias("key")).distinct().join(many, "doc_id"))
+    keys = scratch.save(keys, "many-keys")
+    # All pairs of a key but those inside its largest cluster: the rest meets everyone.
+    per = keys.groupBy("key", "component").agg(F.count("*").alias("n"))
+    main = per.groupBy("key").agg(F.count("*").alias("clusters"), F.max_by("component", F.struct("n", "component")).alias("main"))
+    main = scratch.save(main.where("clusters > 1").select("key", "main"), "many-main")
+    mixed = keys.join(main, "key")
+    a = mixed.where("component <> main").select("key", F.col("doc_id").alias("a"), F.col("component").alias("c_a"))
+    b = mixed.select("key", F.col("doc_id").alias("b"), F.col("component").alias("c_b"))
+    return (a.join(b, "key").where("c_a <> c_b")
+            .select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")))
+
+
+def _row_ids(base: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame | None]:
+    """(row_id, text, doc_id) with one ``row_id`` per document and text, and the edges
+    (u, v) that tie such rows to their document; None without any.
+
+    An id that stands for one text only (the usual case) is its own row id; where it
+    has several, each gets a number above all ids.
+    """
+    several = scratch.save(
+        base.where("doc_id IS NOT NULL").groupBy("doc_id")
+        .agg(F.min(F.xxhash64("text")).alias("lo"), F.max(F.xxhash64("text")).alias("hi")).where("lo <> hi")
+        .select("doc_id"), "several")
+    if several.isEmpty():
+        return base.select(F.col("doc_id").alias("row_id"), "text", "doc_id"), None
+    top = base.agg(F.max("doc_id")).first()[0]
+    several = bounded_broadcast(several, MAX_BROADCAST)
+    digest = F.coalesce(F.unhex(F.md5("text")), F.lit(b""))
+    rows = scratch.save(
+        base.join(several, "doc_id", "left_semi").select("doc_id", digest.alias("digest")).distinct()
+        .withColumn("own", F.monotonically_increasing_id() + F.lit(top + 1)), "several-rows")
+    named = base.withColumn("digest", digest).join(bounded_broadcast(rows, MAX_BROADCAST), ["doc_id", "digest"], "left")
+    return (named.select(F.coalesce("own", "doc_id").alias("row_id"), "text", "doc_id"),
+            rows.select(F.col("own").alias("u"), F.col("doc_id").alias("v")))
 
 
 def near_duplicates(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id",
@@ -314,7 +449,9 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id",
     ``docs`` is read several times, so it should be a stored table.
     """
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    known = base.where("doc_id IS NOT NULL AND text IS NOT NULL")
+    rows, ties = _row_ids(base, scratch)
+    # From here on a ``doc_id`` is a document's one text (see _row_ids).
+    known = rows.where("row_id IS NOT NULL AND text IS NOT NULL").select(F.col("row_id").alias("doc_id"), "text")
 
     # Equal texts: the smallest id stands for all.  Only digests are shuffled.
     digest = known.select("doc_id", F.unhex(F.md5("text")).alias("digest"))
@@ -322,7 +459,8 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id",
         F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1"), "first")
     same = scratch.save(digest.join(first, "digest").where("doc_id <> first")
                         .select(F.col("doc_id").alias("v"), F.col("first").alias("u")).distinct(), "same")
-    sizes = scratch.save(base.mapInArrow(_sizes, "doc_id long, n_shingles long, bits array<long>"), "sizes")
+    sizes = scratch.save(rows.select("row_id", "text", F.col("doc_id").alias("of")).mapInArrow(
+        _sizes, "of long, doc_id long, n_shingles long, bits array<long>"), "sizes")
 
     # One count per band (a few dozen rows) picks each band's allocation.
     lows = [lo for lo, _ in edges_of_bands(t, sizes.agg(F.max("n_shingles")).first()[0] or 1)]
@@ -352,12 +490,13 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id",
     near = _clusters(links, scratch, "near")
 
     # Round 2: signatures that still join different clusters.
-    rest = scratch.save(_crossing(shared, near, one, tested, t), "rest")
+    rest = scratch.save(_crossing(shared, near, one, tested, known, scratch, t), "rest")
     more = scratch.save(_verified(rest, _sets_of(rest, known, scratch, "sets-2"), t), "more")
     scratch.drop("sets-2", "shared")
     scratch.free()
     nonempty = same.join(sizes.where("n_shingles > 0").select(F.col("doc_id").alias("v")).distinct(),
                          "v", "left_semi").select("u", "v")
-    whole = _clusters(links.union(more).union(nonempty), scratch, "whole")
-    return (sizes.select("doc_id", "n_shingles").join(whole, "doc_id", "left")
+    found = links.union(more).union(nonempty)
+    whole = _clusters(found if ties is None else found.union(ties), scratch, "whole")
+    return (sizes.select(F.col("of").alias("doc_id"), "n_shingles").join(whole, "doc_id", "left")
             .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")))
