@@ -11,9 +11,11 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from stratus.functions.text import result_path
+from stratus.jobs.status import status_of
 from stratus.operators import (
     batched, cities, current, daily, dedup, envelope, flatten, latest, metrics, paramquery,
 )
@@ -23,7 +25,7 @@ from stratus.schemas import GOLD_DDL
 from stratus.session import scratch_path
 from stratus.sources import registry
 from stratus.sources.files import read_bronze, read_parquet_or_empty, read_registry_version, read_result, stored_day_presence
-from stratus.sources.sinks import write_registry
+from stratus.sources.sinks import publish_requests, write_registry
 from stratus.sources.streams import TOPIC_CURRENT, TOPIC_RAW, parse_statuses
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -906,3 +908,79 @@ def q_day_latest_by_city(spark, sf_dir):
     comes many times, the last event decides."""
     h = flatten.flatten(V.day_events(spark, sf_dir), keep=["event_id"])
     return latest.latest_by_city(h, order_by=("hour_ts", "event_id"))
+
+
+# --- single steps with a row of their own (A9 C8 D2 H12 H19) -------------------
+@register("published_requests", """
+SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN 'generated' ELSE concat('o', CAST(o_orderkey AS VARCHAR)) END AS request_id,
+       concat('c', CAST(o_custkey AS VARCHAR)) AS city_ids,
+       CASE WHEN o_orderkey % 5 = 0 THEN 'temperature_2m' WHEN o_orderstatus = 'F' THEN 'temperature_2m'
+            WHEN o_orderstatus = 'O' THEN 'wind_speed_10m,temperature_2m' ELSE 'relative_humidity_2m' END AS metrics,
+       CASE WHEN o_orderkey % 3 = 0 THEN 'avg' WHEN o_orderpriority = '1-URGENT' THEN 'max'
+            WHEN o_orderpriority = '2-HIGH' THEN 'min' ELSE 'avg' END AS agg, 'tests' AS submitted_by
+FROM orders""")
+def q_published_requests(spark, sf_dir):
+    """One request per order, some without id, metrics or aggregate: ids are
+    generated (36 characters, all different), the rest takes the defaults."""
+    key = F.substring("request_id", 2, 20).cast("long")
+    asked = V.order_requests(spark, sf_dir).withColumn("key", key).select(
+        F.when(key % 7 != 0, F.col("request_id")).alias("request_id"),
+        F.concat(F.array(key.cast("string")), "city_ids").alias("city_ids"), "date_from", "date_to",
+        F.when(key % 5 != 0, F.col("metrics")).alias("metrics"), F.when(key % 3 != 0, F.col("agg")).alias("agg"))
+    sent = publish_requests(asked, "tests")
+    made = (F.length("request_id") == 36) & (F.count("*").over(Window.partitionBy("request_id")) == 1)
+    return sent.select(
+        F.col("city_ids")[0].cast("long").alias("o_orderkey"), F.when(made, "generated").otherwise(F.col("request_id")).alias("request_id"),
+        F.col("city_ids")[1].alias("city_ids"), F.array_join("metrics", ",").alias("metrics"), "agg", "submitted_by")
+
+
+@register("attached_cities", SQL["hourly_flatten"])
+def q_attached_cities(spark, sf_dir):
+    """Replies without names get the registry's, become raw events, and flatten to
+    the hourly rows."""
+    replies = envelope.replies_from_hourly(V.hourly(spark, sf_dir)).drop("city_name", "country")
+    return flatten.flatten(envelope.envelope(envelope.attach_city(replies, V.cities(spark, sf_dir))))
+
+
+@register("status_of_one", """
+SELECT concat('r', CAST(o_custkey % 200 AS VARCHAR)) AS request_id,
+       CASE o_orderstatus WHEN 'O' THEN 'submitted' WHEN 'F' THEN 'success' ELSE 'error' END AS status
+FROM orders WHERE o_custkey % 200 = 7 ORDER BY o_orderkey DESC LIMIT 1""")
+def q_status_of_one(spark, sf_dir):
+    """The last status of one request in the whole log."""
+    return status_of(spark, V.statuses(spark, sf_dir), "r7").select("request_id", "status")
+
+
+@register("status_clocks", """
+WITH log AS (
+  SELECT concat('q', CAST(o_custkey % 300 AS VARCHAR)) AS request_id, o_orderkey, o_orderdate,
+         CASE o_orderkey % 3 WHEN 0 THEN 'submitted' WHEN 1 THEN 'success' ELSE 'error' END AS status
+  FROM orders)
+SELECT request_id, status, CAST(o_orderkey AS BIGINT) AS log_offset FROM (
+  SELECT *, row_number() OVER (PARTITION BY request_id ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn FROM log)
+WHERE rn = 1""")
+def q_status_clocks(spark, sf_dir):
+    """Half of the messages carry epoch seconds (some as decimals), half ISO text;
+    the clock decides, and the log where clocks agree."""
+    o = V.read_table(spark, sf_dir, "orders")
+    at, k = F.col("o_orderdate").cast("timestamp"), F.col("o_orderkey")
+    clock = (F.when(k % 4 == 0, F.unix_seconds(at).cast("string"))
+             .when(k % 4 == 1, F.concat(F.unix_seconds(at).cast("string"), F.lit(".0")))
+             .otherwise(F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss'Z'")))
+    word = F.when(k % 3 == 0, "submitted").when(k % 3 == 1, "success").otherwise("error")
+    log = o.select(F.concat(F.lit("q"), (F.col("o_custkey") % 300).cast("string")).alias("request_id"),
+                   word.alias("status"), clock.alias("ts"), k.cast("long").alias("log_offset"))
+    return latest.latest_status(log).select("request_id", "status", "log_offset")
+
+
+@register("result_paths", """
+SELECT o_orderkey, concat('lake/q/', rid) AS plain,
+       concat('lake/q/request_id=', replace(replace(replace(rid, '%', '%25'), ':', '%3A'), '/', '%2F')) AS keyed
+FROM (SELECT o_orderkey, concat('2025-01-01T', CAST(o_orderkey % 24 AS VARCHAR), ':00/', CAST(o_custkey AS VARCHAR), '%') AS rid
+      FROM orders)""")
+def q_result_paths(spark, sf_dir):
+    """Result folders of ids with characters that a partition folder escapes."""
+    rid = F.concat(F.lit("2025-01-01T"), (F.col("o_orderkey") % 24).cast("string"), F.lit(":00/"),
+                   F.col("o_custkey").cast("string"), F.lit("%"))
+    return V.read_table(spark, sf_dir, "orders").select(
+        "o_orderkey", result_path("lake/q/", rid).alias("plain"), result_path("lake/q", rid, "request_id").alias("keyed"))

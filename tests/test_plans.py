@@ -48,16 +48,77 @@ def test_only_spec_bounded_tables_are_hinted(spark):
     assert plan.count("ResolvedHint (strategy=broadcast)") == 2
 
 
-def test_listed_requests_prune_the_stored_stats(spark, tmp):
+def _spoiled_stats(spark, tmp, lo, hi):
+    """Stored stats whose files outside the days from ``lo`` to ``hi`` cannot be read."""
+    import glob
+    import os
+
+    from stratus.operators import batched
+    from stratus.plans import views as V
+    batched.write_stats(batched.daily_stats(V.bronze(spark, SF_SMALL)), f"{tmp}/stats")
+    good = spark.read.parquet(f"{tmp}/stats")
+    rows = good.where(f"date between '{lo}' and '{hi}'").collect()
+    for path in glob.glob(f"{tmp}/stats/date=*/*.parquet"):
+        day = os.path.basename(os.path.dirname(path)).removeprefix("date=")
+        if not lo <= day <= hi:
+            with open(path, "wb") as f:
+                f.write(b"junk")
+            crc = os.path.join(os.path.dirname(path), f".{os.path.basename(path)}.crc")
+            if os.path.exists(crc):
+                os.remove(crc)
+    return spark.read.schema(good.schema).parquet(f"{tmp}/stats"), rows
+
+
+def test_bounded_requests_read_only_their_days(spark, tmp):
+    """Pruned when the query runs: files of other days are not opened, whether cities
+    are listed or not, and no job runs while the query is built."""
+    from stratus.operators import batched
+    stats, rows = _spoiled_stats(spark, tmp, "2024-01-02", "2024-01-10")
+    ddl = "request_id string, city_ids array<string>, date_from string, date_to string, metrics array<string>, agg string"
+    asked = spark.createDataFrame([
+        ("r1", ["c1", "c2"], "2024-01-02", "2024-01-10", ["temperature_2m"], "avg"),
+        ("r2", [" "], "2024-01-05", "2024-01-06", ["wind_speed_10m"], "max"),
+        ("r3", ["c1"], "2024-01-09", "2024-01-03", ["wind_speed_10m"], "max")], ddl)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("build", "building a query")
+    out = batched.batched_from_stats(stats, asked)
+    assert not tracker.getJobIdsForGroup("build")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    got = {(r.request_id, r.city_id, str(r.date), r.value) for r in out.collect()}
+    days = {"r1": ("2024-01-02", "2024-01-10"), "r2": ("2024-01-05", "2024-01-06")}
+    want = {("r1", r.city_id, str(r.date), r.avg) for r in rows
+            if r.city_id in ("c1", "c2") and r.metric == "temperature_2m" and days["r1"][0] <= str(r.date) <= days["r1"][1]}
+    want |= {("r2", r.city_id, str(r.date), r.max) for r in rows
+             if r.metric == "wind_speed_10m" and days["r2"][0] <= str(r.date) <= days["r2"][1]}
+    assert got == want and len(want) > 2
+
+
+def test_an_open_request_does_not_unprune_the_others(spark, tmp):
+    """Each kind of request scans the stats under its own bounds."""
     from stratus.operators import batched
     from stratus.plans import views as V
     batched.write_stats(batched.daily_stats(V.bronze(spark, SF_SMALL)), f"{tmp}/stats")
-    asked = V.requests(spark).where("request_id = 'r1'")  # 2024-01-02 to 2024-01-10
-    out = batched.batched_from_stats(spark.read.parquet(f"{tmp}/stats"), asked)
+    out = batched.batched_from_stats(spark.read.parquet(f"{tmp}/stats"), V.requests(spark))
     plan = out._jdf.queryExecution().explainString(
         spark.sparkContext._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
     scans = [x for x in plan.splitlines() if "PartitionFilters" in x]
-    assert scans and all("2024-01-02" in x and "2024-01-10" in x for x in scans), scans
+    for kind in ("listed_bounded", "listed_open", "all_bounded", "all_open"):
+        assert any(f".{kind}.lo" in x and f".{kind}.hi" in x for x in scans), (kind, scans)
+    assert all(".lo" in x and ".hi" in x for x in scans), scans
+
+
+def test_presence_reads_no_row(spark, tmp):
+    from stratus.operators import daily
+    from stratus.plans import views as V
+    from stratus.sources.files import stored_day_presence
+    daily.write_daily(daily.daily_aggregate(V.bronze(spark, SF_SMALL)), f"{tmp}/gold")
+    out = stored_day_presence(spark, f"{tmp}/gold", "2024-01-03")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [COUNT(*)]" in plan and "ReadSchema: struct<count(*):bigint>" in plan, plan
+    n = spark.read.parquet(f"{tmp}/gold").where("date = '2024-01-03'").count()
+    assert [(r.n_rows, r.present) for r in out.collect()] == [(n, n > 0)]
+    assert stored_day_presence(spark, f"{tmp}/none", "2024-01-03").first().present is False
+    assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"
 
 
 def test_packed_order_equals_the_struct_order(spark):
