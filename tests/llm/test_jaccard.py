@@ -107,32 +107,6 @@ def test_similar_sets_always_share_a_signature(many):
         assert sigs[0] & sigs[1]
 
 
-def test_prefix_keys_of_similar_sets_meet():
-    """Pairs at the very limit, of all sizes, under one order of elements."""
-    t = Fraction(3, 4)
-    rng = np.random.default_rng(9)
-    assert [J.size_class(n)[1] for n in (1, 16, 17, 31, 32, 33, 34, 64, 67, 68)] == [1, 16, 17, 31, 32, 32, 34, 64, 64, 68]
-    numbers = [J.size_class(n)[0] for n in range(1, 5000)]
-    assert numbers == sorted(numbers) and all(J.size_class(J._next_class(n))[0] > J.size_class(n)[0] for n in range(1, 5000))
-    met = 0
-    for _ in range(3000):
-        n = int(rng.integers(1, 120))
-        a = rng.integers(0, 4000, n)
-        b = np.concatenate((a[int(rng.integers(0, n // 4 + 1)):], rng.integers(0, 4000, int(rng.integers(0, n // 3 + 2)))))
-        a, b = (np.unique(x).astype(np.uint64) for x in (a, b))
-        both = len(np.intersect1d(a, b))
-        if 4 * both < 3 * (len(a) + len(b) - both):
-            continue
-        met += 1
-        # Elements 0 to 1999 are held by one set only unless both have them.
-        shared = set(np.intersect1d(a, b).tolist())
-        known = [np.array([x for x in s if x >= 2000 or int(x) in shared], np.uint64) for s in (a, b)]
-        order = [np.concatenate((k[k < 2000], k[k >= 2000])) for k in known]
-        keys = [set(J.prefix_keys(len(s), r, t).tolist()) for s, r in zip((a, b), order)]
-        assert keys[0] & keys[1], (len(a), len(b), both)
-    assert met > 500
-
-
 def common_phrase(n, own=3):
     rng = random.Random(own)
     return [(i, "one two three four five six seven " + " ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(own)))
@@ -146,18 +120,6 @@ def test_short_texts_around_one_phrase(docs, scratch, monkeypatch):
     assert run(docs(rows), scratch) == brute(rows)
 
 
-def test_candidates_grow_with_the_texts_and_not_their_square(spark, docs, scratch):
-    counts = []
-    for n in (1000, 4000):
-        sub = type(scratch)(spark, f"grow-{n}")
-        run(docs(common_phrase(n)), sub)
-        try:
-            counts.append(spark.read.parquet(sub.path("rarest")).count())
-        except Exception:  # no signature was hot any more
-            counts.append(0)
-    assert counts[1] <= 8 * max(counts[0], 100), counts
-
-
 def test_one_id_on_several_texts(docs, scratch):
     """Rows stand for themselves, their ids for all of them."""
     near = "a b c d e f g h i j k l"
