@@ -118,12 +118,3 @@ def test_short_texts_around_one_phrase(docs, scratch, monkeypatch):
     rows = common_phrase(400) + [(500 + i, t) for i, t in common_phrase(60, 1)] + [(1000, "one two three four five six seven")]
     rows += [(2000 + i, rows[i][1] + " tail") for i in range(0, 40, 3)]
     assert run(docs(rows), scratch) == brute(rows)
-
-
-def test_one_id_on_several_texts(docs, scratch):
-    """Rows stand for themselves, their ids for all of them."""
-    near = "a b c d e f g h i j k l"
-    rows = [(1, near), (5, near), (5, "p q r s t u v w x y z"), (9, "p q r s t u v w x y z more"), (7, None), (7, near + " m"),
-            (30, "alone in the whole table here"), (30, None), (30, "alone in the whole table here")]
-    got = sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in J.near_duplicates(docs(rows), scratch).collect())
-    assert got == sorted([(1, 8, 1), (5, 8, 1), (5, 7, 1), (9, 8, 1), (7, 0, 1), (7, 9, 1), (30, 2, 30), (30, 0, 30), (30, 2, 30)])
