@@ -10,9 +10,8 @@ rows), then requests are joined to it on equality keys:
   the days in range;
 * requests for all cities: explode the day range, join on (date, metric).
 
-Both are one equi-join, on (kind of request, city or none, metric, week or
-day), so requests are parsed once and the planner can hash-partition both
-sides; no nested-loop or cross product is built, however many requests arrive.
+Both joins are equi-joins, so the planner can hash-partition both sides; no
+nested-loop or cross product is built, however many requests arrive.
 """
 
 from __future__ import annotations
@@ -99,118 +98,70 @@ def batched_query(bronze: DataFrame, requests: DataFrame) -> DataFrame:
 
 def batched_from_stats(stats: DataFrame, requests: DataFrame) -> DataFrame:
     """Same, over a stored :func:`daily_stats` table (the request stream reads
-    that small gold table instead of rescanning the hourly rows).
-
-    Requests are of four kinds: for listed or for all cities, with both days
-    given or with an open end.  Each kind has its own scan of ``stats``, pruned
-    at run time to the days that its requests ask for (a scalar subquery over the
-    request batch on the partition column; no job runs while the query is built).
-    So one open request does not make the others read all days, and a kind that
-    no request belongs to reads nothing.
-    """
+    that small gold table instead of rescanning the hourly rows)."""
+    # No row filters on parsed columns: a filter would be pushed below the
+    # projection and re-run the parsing.  Invalid requests explode no metric,
+    # an empty or inverted day range explodes no day, and each branch below
+    # explodes nothing for the requests it does not handle.
+    req = normalize_requests(requests)
+    per_metric = req.select(
+        "request_id", "city_ids", "date_from", "date_to", "agg",
+        F.posexplode(F.when(F.col("error").isNull(), F.col("metrics"))).alias("metric_pos", "metric"),
+    )
     asked = _asked_days(requests)
-    found = _asked_keys(normalize_requests(requests), _days_there(stats, asked)).join(
-        _stats_keys(stats, asked), ["_kind", "_city", "metric", "_at"])
+    stats = stats.where(F.col("date").between(asked.getField("lo"), asked.getField("hi")))
+    # Open bounds are closed with the data's first and last day (one scalar
+    # subquery returning both, evaluated once), so every day range is finite.
+    bounds = stats.select(F.struct(F.min("date").alias("lo"), F.max("date").alias("hi"))).scalar()
+    lo, hi = bounds.getField("lo"), bounds.getField("hi")
+    start = F.greatest(F.coalesce(F.col("date_from"), lo), lo)
+    stop = F.least(F.coalesce(F.col("date_to"), hi), hi)
+    ranged = per_metric.select(
+        "request_id", "agg", "metric_pos", "metric", "city_ids",
+        start.alias("_start"), stop.alias("_stop"),
+    )
+    # Requests that list cities: a range condition on the day, answered as an
+    # equi-join on week buckets (each request explodes the few weeks it
+    # overlaps), then the exact day filter.  A request reads at most its
+    # weeks of its cities' stats, not the cities' whole history.
+    weeks = F.sequence(_week(F.col("_start")), _week(F.col("_stop")))
+    listed = (
+        ranged.select("request_id", "agg", "metric_pos", "metric", "_start", "_stop",
+                      F.explode(F.array_distinct("city_ids")).alias("city_id"))
+        .select("*", F.explode(F.when(F.col("_start") <= F.col("_stop"), weeks)).alias("_wk"))
+        .join(stats.withColumn("_wk", _week(F.col("date"))), ["city_id", "metric", "_wk"])
+        .where(F.col("date").between(F.col("_start"), F.col("_stop")))
+    )
+    # Requests for all cities: every asked (day, metric) joined to all cities.
+    every_city = (
+        ranged.where(F.size("city_ids") == 0)
+        .select("request_id", "agg", "metric_pos", "metric",
+                F.explode(F.when(F.col("_start") <= F.col("_stop"),
+                                 F.sequence("_start", "_stop"))).alias("date"))
+        .join(stats, ["date", "metric"])
+    )
+    cols = ["request_id", *KEYS, "metric", "metric_pos", "agg"]
     value = (
         F.when(F.col("agg") == "avg", F.col("avg"))
         .when(F.col("agg") == "min", F.col("min"))
         .otherwise(F.col("max"))
         .alias("value")
     )
-    return found.where(F.col("date").between(F.col("_start"), F.col("_stop"))).select(
-        "request_id", *KEYS, "metric", "metric_pos", "agg", value)
-
-
-#: Kinds of requests: (for all cities, with an open end).
-_KINDS = {"listed_bounded": (False, False), "listed_open": (False, True),
-          "all_bounded": (True, False), "all_open": (True, True)}
-
-
-def _kind(every: Column, ends: Column) -> Column:
-    names = F.lit(None).cast("string")
-    for name, (e, o) in _KINDS.items():
-        names = F.when((every == e) & (ends == o), F.lit(name)).otherwise(names)
-    return names
+    return (
+        listed.select(*cols, value)
+        .unionByName(every_city.select(*cols, value))
+    )
 
 
 def _asked_days(requests: DataFrame) -> Column:
-    """First and last day that each kind of request asks for (null: none of that
-    kind), as one scalar subquery.  Only the days and whether cities are listed are
-    parsed here; an invalid request may widen the range, which costs reading only."""
+    """First and last day that any request asks for, as one scalar subquery that
+    prunes the stats' partitions when the query runs: no job runs while it is built.
+    Only the days are parsed here; an invalid request may widen the range, which
+    costs reading only."""
     dfrom, dto = (_day(F.nullif(strip_ws(F.col(c)), F.lit(""))) for c in ("date_from", "date_to"))
-    cities = F.array_join(F.coalesce(F.col("city_ids"), F.array().cast("array<string>")), " ")
-    rows = requests.select(dfrom.alias("f"), dto.alias("t"),
-                           (strip_ws(F.replace(cities, F.lit(","), F.lit(" "))) == "").alias("every"))
-    rows = rows.select("f", "t", _kind(F.col("every"), F.col("f").isNull() | F.col("t").isNull()).alias("kind"))
-    ranges = [F.struct(
-        F.min(F.when(F.col("kind") == k, F.coalesce("f", F.lit("0001-01-01").cast("date")))).alias("lo"),
-        F.max(F.when(F.col("kind") == k, F.coalesce("t", F.lit("9999-12-31").cast("date")))).alias("hi")).alias(k)
-        for k in _KINDS]
-    return rows.agg(F.struct(*ranges)).scalar()
-
-
-def _pruned(stats: DataFrame, asked: Column, kind: str) -> DataFrame:
-    return stats.where(F.col("date").between(asked[kind]["lo"], asked[kind]["hi"]))
-
-
-def _days_there(stats: DataFrame, asked: Column) -> Column:
-    """First and last day that the pruned scan of each kind has, as one scalar
-    subquery: with them every day range is finite."""
-    days = [_pruned(stats, asked, k).select(F.lit(k).alias("kind"), "date") for k in _KINDS]
-    rows = days[0]
-    for d in days[1:]:
-        rows = rows.unionByName(d)
-    ranges = [F.struct(F.min(F.when(F.col("kind") == k, F.col("date"))).alias("lo"),
-                       F.max(F.when(F.col("kind") == k, F.col("date"))).alias("hi")).alias(k) for k in _KINDS]
-    return rows.agg(F.struct(*ranges)).scalar()
-
-
-def _asked_keys(req: DataFrame, there: Column) -> DataFrame:
-    """One row per (request, metric, key): the week buckets of its cities, or its days."""
-    # No row filters on parsed columns: a filter would be pushed below the
-    # projection and re-run the parsing.  Invalid requests explode no metric, an
-    # empty or inverted day range explodes no key.
-    every = F.size("city_ids") == 0
-    kind = _kind(every, F.col("date_from").isNull() | F.col("date_to").isNull())
-    per_metric = req.select(
-        "request_id", "city_ids", "date_from", "date_to", "agg", kind.alias("_kind"),
-        F.posexplode(F.when(F.col("error").isNull(), F.col("metrics"))).alias("metric_pos", "metric"))
-    lo, hi = F.lit(None).cast("date"), F.lit(None).cast("date")
-    for k in _KINDS:
-        mine = F.col("_kind") == k
-        lo, hi = F.when(mine, there[k]["lo"]).otherwise(lo), F.when(mine, there[k]["hi"]).otherwise(hi)
-    ranged = per_metric.select(
-        "request_id", "agg", "metric_pos", "metric", "_kind",
-        F.explode(F.when(every, F.array(F.lit(""))).otherwise(F.array_distinct("city_ids"))).alias("_city"),
-        F.greatest(F.coalesce(F.col("date_from"), lo), lo).alias("_start"),
-        F.least(F.coalesce(F.col("date_to"), hi), hi).alias("_stop"))
-    # A range condition on the day becomes an equi-join on week buckets (each request
-    # explodes the few weeks it overlaps, and reads at most those of its cities),
-    # then the exact day filter; for all cities the days themselves are the keys.
-    weeks, days = F.sequence(_week("_start"), _week("_stop")), F.sequence(_number("_start"), _number("_stop"))
-    at = F.when(F.col("_start") <= F.col("_stop"), F.when(F.col("_city") == "", days).otherwise(weeks))
-    return ranged.select("*", F.explode(at).alias("_at"))
-
-
-def _stats_keys(stats: DataFrame, asked: Column) -> DataFrame:
-    """``stats`` once per kind, each pruned to its days, under that kind's keys."""
-    parts = [_pruned(stats, asked, k).select(
-        "*", F.lit(k).alias("_kind"), (F.lit("") if every else F.col("city_id")).alias("_city"),
-        (_number("date") if every else _week("date")).alias("_at")) for k, (every, _) in _KINDS.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-def _number(d: str) -> Column:
-    """Days since the epoch."""
-    return F.datediff(F.col(d), F.lit("1970-01-01").cast("date"))
-
-
-def _week(d: str) -> Column:
-    """Week bucket of a day (days since the epoch div 7)."""
-    return F.floor(_number(d) / 7).cast("int")
+    return requests.select(dfrom.alias("f"), dto.alias("t")).agg(F.struct(
+        F.min(F.coalesce("f", F.lit("0001-01-01").cast("date"))).alias("lo"),
+        F.max(F.coalesce("t", F.lit("9999-12-31").cast("date"))).alias("hi"))).scalar()
 
 
 def _day(c: Column) -> Column:
@@ -218,6 +169,11 @@ def _day(c: Column) -> Column:
     return F.when(c.rlike(DAY_PATTERN), c.try_cast("date"))
 
 
+def _week(d: Column) -> Column:
+    """Week bucket of a day (days since the epoch div 7)."""
+    return F.floor(F.datediff(d, F.lit("1970-01-01").cast("date")) / 7)
+
+
 def write_stats(stats: DataFrame, path: str) -> None:
     """Store :func:`daily_stats` as a gold table partitioned by ``date``
     (built by the daily job; read by the request stream)."""

@@ -93,20 +93,6 @@ def test_bounded_requests_read_only_their_days(spark, tmp):
     assert got == want and len(want) > 2
 
 
-def test_an_open_request_does_not_unprune_the_others(spark, tmp):
-    """Each kind of request scans the stats under its own bounds."""
-    from stratus.operators import batched
-    from stratus.plans import views as V
-    batched.write_stats(batched.daily_stats(V.bronze(spark, SF_SMALL)), f"{tmp}/stats")
-    out = batched.batched_from_stats(spark.read.parquet(f"{tmp}/stats"), V.requests(spark))
-    plan = out._jdf.queryExecution().explainString(
-        spark.sparkContext._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
-    scans = [x for x in plan.splitlines() if "PartitionFilters" in x]
-    for kind in ("listed_bounded", "listed_open", "all_bounded", "all_open"):
-        assert any(f".{kind}.lo" in x and f".{kind}.hi" in x for x in scans), (kind, scans)
-    assert all(".lo" in x and ".hi" in x for x in scans), scans
-
-
 def test_presence_reads_no_row(spark, tmp):
     from stratus.operators import daily
     from stratus.plans import views as V
