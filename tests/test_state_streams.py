@@ -124,6 +124,20 @@ def test_failing_requests_do_not_take_the_others_with_them(spark, tmp):
     assert latest.latest_status(log, order_by=("log_offset",)).where("status = 'success'").count() == 12
 
 
+def test_answers_beside_failing_requests_are_written_in_one_job(spark, tmp):
+    calls = []
+
+    def answer(stats, requests):
+        calls.append(1)
+        return _failing(["r3"])(stats, requests)
+
+    folder, bad = sr.answer_isolated(_requests(spark), _stats(spark), f"{tmp}/res", answer)
+    assert os.listdir(f"{tmp}/res") == ["part=all"] and folder == f"{tmp}/res/part=all"
+    assert bad.keys() == {"r3"} and "no answer for r3" in bad["r3"]
+    assert spark.read.parquet(folder).count() == 11
+    assert len(calls) <= 2 + 13 + 4  # the batch twice, its parts
+
+
 def test_a_fault_of_everything_fails_the_batch(spark, tmp, monkeypatch):
     monkeypatch.setattr(sr, "MAX_FAILURES", 6)
     with pytest.raises(Exception, match="no answer for"):
