@@ -4,22 +4,21 @@ Counters: an aggregating stream keeps its counts in checkpointed state, so they
 on where the last run stopped and never fall; each micro-batch replaces the changed
 rows of the table that readers see.
 
-Sums of gauges (``sum(gauge) by (labels)``): two stateful steps.  The first holds the
-newest sample per series and says, for every series that moved, which value it had
-(to retract) and which it has now.  The second adds these differences to the sums by
-label.  Work per batch is in proportion to the series that moved and to the number
-of label combinations, not to the number of series.
+Sums of gauges (``sum(gauge) by (labels)``): each micro-batch is reduced to its newest
+sample per series and joined to the newest of all earlier ones, a table that is written
+anew like the sums.  Every series that moved says which value it had (to retract) and
+which it has now, and these differences are added to the sums by label.  Work per batch
+is in proportion to its samples and to the number of series, all of it joins and
+aggregates.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from stratus.operators import metrics
 from stratus.streaming.versions import Versions
@@ -76,42 +75,37 @@ def start_failures(log: DataFrame, path: str, checkpoint: str, by: Sequence[str]
 
 
 # --- sums of latest values ------------------------------------------------------
-def moves(samples: DataFrame, series: Sequence[str], by: Sequence[str], ts: str = "ts", seq: str = "seq",
-          value: str = "value") -> DataFrame:
-    """(labels, old, new, added) per series and micro-batch in which its newest sample
-    (largest ``ts``, then ``seq``) changed.
+_NEWEST = ("_ts", "_seq", "_value")
 
-    State: one row per series.  A sample older than the state's changes nothing; a
-    null value counts as no number, as in a batch sum.  ``by`` are some of ``series``."""
-    if not set(by) <= set(series):
-        raise ValueError("labels must be part of what tells series apart")
-    labels = [f"_by{i}" for i in range(len(by))]
-    kinds = dict(samples.dtypes)
-    out = ", ".join([*(f"{n} {kinds[b]}" for n, b in zip(labels, by)), "old double", "new double", "added int"])
-    at = [list(series).index(b) for b in by]
-    nothing = -(2 ** 63)
-
-    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        held = state.get if state.exists else None
-        best = held
-        for pdf in batches:
-            order = pdf.sort_values(["_ts", "_seq"]).iloc[-1]
-            place = (int(order["_ts"]), int(order["_seq"]))
-            if best is None or place > tuple(best[:2]):
-                best = (*place, None if pd.isna(order["_value"]) else float(order["_value"]))
-        if best == held:
-            return
-        state.update(best)
-        row = {n: [key[i]] for n, i in zip(labels, at)}
-        yield pd.DataFrame({**row, "old": pd.Series([held[2] if held else None], dtype="float64"),
-                            "new": pd.Series([best[2]], dtype="float64"), "added": [0 if held else 1]})
 
+def newest(samples: DataFrame, series: Sequence[str], ts: str = "ts", seq: str = "seq",
+           value: str = "value") -> DataFrame:
+    """(series..., _ts, _seq, _value): the newest sample per series, by ``ts``, then
+    ``seq`` (null counts as the oldest); of equals the largest value."""
+    nothing = -(2 ** 63)
     rows = samples.select(
         *series, F.coalesce(F.unix_micros(F.col(ts).cast("timestamp")), F.lit(nothing)).alias("_ts"),
         F.coalesce(F.col(seq).cast("long"), F.lit(nothing)).alias("_seq"), F.col(value).cast("double").alias("_value"))
-    moved = rows.groupBy(*series).applyInPandasWithState(
-        step, out, "ts long, seq long, value double", "update", GroupStateTimeout.NoTimeout)
-    return moved.withColumnsRenamed(dict(zip(labels, by)))
+    return rows.groupBy(*series).agg(F.max(F.struct(*_NEWEST)).alias("_n")).select(*series, "_n.*")
+
+
+def moves(samples: DataFrame, series: Sequence[str], by: Sequence[str], held: DataFrame | None = None,
+          ts: str = "ts", seq: str = "seq", value: str = "value") -> DataFrame:
+    """(series..., _ts, _seq, _value, old, new, added) per series whose newest sample is
+    among ``samples`` and not among ``held`` (:func:`newest` of earlier ones).
+
+    A sample that is not newer than the held one changes nothing; a null value counts
+    as no number, as in a batch sum.  ``by`` are some of ``series``."""
+    if not set(by) <= set(series):
+        raise ValueError("labels must be part of what tells series apart")
+    found = newest(samples, series, ts, seq, value)
+    if held is None:
+        return found.withColumns({"old": F.lit(None).cast("double"), "new": F.col("_value"), "added": F.lit(1)})
+    both = found.alias("n").join(held.alias("o"), _same(series, "n", "o"), "left")
+    place = [F.struct(f"{t}._ts", f"{t}._seq") for t in "no"]
+    return both.where(F.col("o._ts").isNull() | (place[0] > place[1])).select(
+        *[f"n.{c}" for c in (*series, *_NEWEST)], F.col("o._value").alias("old"), F.col("n._value").alias("new"),
+        F.col("o._ts").isNull().cast("int").alias("added"))
 
 
 def start_sum_latest(samples: DataFrame, series: Sequence[str], by: Sequence[str], path: str, checkpoint: str,
@@ -119,15 +113,27 @@ def start_sum_latest(samples: DataFrame, series: Sequence[str], by: Sequence[str
     """E13 on a stream: (labels, value, series): the sum of the newest samples by label
     and how many series it has.
 
-    The first step's state is the stream's; the sums are the table under ``path``,
-    which a replayed batch rebuilds from its predecessor."""
-    def each(moved: DataFrame, batch_id: int) -> None:
-        table = Versions(moved.sparkSession, path)
-        change = moved.groupBy(*by).agg(
-            (F.coalesce(F.sum("new"), F.lit(0.0)) - F.coalesce(F.sum("old"), F.lit(0.0))).alias("value"),
-            F.sum("added").cast("long").alias("series"))
-        old = table.read(before=batch_id)
-        both = change if old is None else old.unionByName(change)
-        table.write(both.groupBy(*by).agg(F.sum("value").alias("value"), F.sum("series").alias("series")), batch_id)
-
-    return _start(moves(samples, series, by), each, checkpoint, trigger)
+    The sums are the table under ``path``, the newest samples the one under
+    ``path``/series; a replayed batch rebuilds both from their predecessors."""
+    def each(batch: DataFrame, batch_id: int) -> None:
+        table, state = (Versions(batch.sparkSession, p) for p in (path, f"{path.rstrip('/')}/series"))
+        old, held = table.read(before=batch_id), state.read(before=batch_id)
+        if (old is None) != (held is None):
+            raise ValueError(f"{path}: sums and their series are not of one stream")
+        moved = moves(batch, series, by, held).persist()
+        try:
+            now = moved.select(*series, *_NEWEST)
+            if held is not None:
+                now = held.alias("o").join(moved.alias("n"), _same(series, "o", "n"), "left_anti").unionByName(now)
+            state.write(now, batch_id)
+            change = moved.groupBy(*by).agg(
+                (F.coalesce(F.sum("new"), F.lit(0.0)) - F.coalesce(F.sum("old"), F.lit(0.0))).alias("value"),
+                F.sum("added").cast("long").alias("series"))
+            both = change if old is None else old.unionByName(change)
+            table.write(both.groupBy(*by).agg(F.sum("value").alias("value"), F.sum("series").alias("series")), batch_id)
+        finally:
+            moved.unpersist()
+
+    moves(samples, series, by)  # wrong labels fail here, not in the first batch
+    w = samples.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+    return (w.trigger(**trigger) if trigger else w).start()
