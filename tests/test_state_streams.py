@@ -257,3 +257,37 @@ def test_late_rows_are_kept_and_folded(spark, tmp):
     closed = live.read_rates(spark, f"{tmp}/out", closed_only=True)
     assert closed.where(F.col("window_start") >= F.lit(at(57, 30))).count() == 0
     assert closed.agg(F.sum("late_n")).first()[0] == 6  # three rows in two windows each
+
+
+# --- inputs are built once ---------------------------------------------------------
+@pytest.mark.parametrize("query", ["q_stream_city_events", "q_stream_poll_counters"])
+def test_the_input_of_a_counting_stream_is_built_once(spark, tmp, monkeypatch, query):
+    from stratus.plans import stream_catalog
+
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("double", useArrow=False)
+    def value(x):
+        made.add(1)
+        return x
+
+    ddl = ("city_id string, city_name string, country string, hour_ts timestamp, temperature_2m double, "
+           "relative_humidity_2m double, wind_speed_10m double, date date, fetch_seq long")
+    t = dt.datetime(2025, 1, 1)
+    hourly = spark.createDataFrame(
+        [(f"c{i % 3}", "n", "EU", t, float(i), 1.0, 2.0, t.date(), 24 * i) for i in range(12)], ddl).coalesce(1)
+    monkeypatch.setattr(stream_catalog.V, "hourly", lambda *_: hourly.withColumn("temperature_2m", value("temperature_2m")))
+    monkeypatch.setattr(stream_catalog, "_dirs", lambda *_: f"{tmp}/streams")
+    got = getattr(stream_catalog, query)(spark, "")
+    total = "cities" if "poll" in query else "events"
+    assert got.agg(F.sum(total)).first()[0] == 12
+    assert made.value == 12
+
+
+def test_only_series_with_a_newer_sample_move(spark):
+    ddl = "part long, ts timestamp, seq long, value double"
+    t = dt.datetime(2025, 1, 1)
+    held = counters.newest(spark.createDataFrame([(1, t, 1, 1.0), (None, t, 2, 5.0), (3, t, 3, None)], ddl), ["part"])
+    later = spark.createDataFrame([(1, t, 1, 9.0), (None, t, 3, 6.0), (3, t, 2, 4.0), (2, t, 1, 1.0), (2, t, 0, 8.0)], ddl)
+    moved = counters.moves(later, ["part"], [], held)
+    assert rows(moved, "part", "old", "new", "added") == [(None, 5.0, 6.0, 0), (2, None, 1.0, 1)]
