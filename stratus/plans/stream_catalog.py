@@ -266,8 +266,8 @@ def q_stream_poll_counters(spark, sf_dir):
     base = _dirs(spark, "polls")
     events = envelope.envelope(envelope.replies_from_hourly(V.hourly(spark, sf_dir)))
     events = events.select((F.col("block") % 20).cast("long").alias("poll"), "value")
-    for k in range(20):  # one file per poll
-        events.where(F.col("poll") == k).coalesce(1).write.mode("append").parquet(f"{base}/in")
+    # One file per poll, all in one job: the events are built once.
+    events.repartition("poll").write.partitionBy("poll").parquet(f"{base}/in")
     stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", "1").parquet(f"{base}/in")
     sent = polls.observed(current.current_values(stream, keep=["poll"]))
     listener = polls.PollListener(spark, f"{base}/polls")
