@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratus.functions.arrays import last_element
+from stratus.functions.plans import once
 from stratus.functions.times import now_iso
 from stratus.schemas import CURRENT_NAMES, METRICS, RAW_CURRENT_DDL, SOURCE_TAG
 
@@ -23,7 +24,7 @@ def current_values(df: DataFrame, value_col: str = "value", keep: list[str] | No
     the event has none.
     """
     keep = list(keep or [])
-    e = F.from_json(F.col(value_col), RAW_CURRENT_DDL)
+    e = once(F.from_json(F.col(value_col), RAW_CURRENT_DDL))
     p = df.select(*keep, e.alias("_e"))
     vals = [
         F.coalesce(

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from stratus.functions.plans import once
 from stratus.functions.times import hour_key, json_ts, parse_hour
 from stratus.schemas import KEY_SEPARATOR, METRICS, RAW_EVENT_DDL
 
@@ -19,7 +20,7 @@ _ARRAYS = {"time": "_t", **{m: f"_{i}" for i, m in enumerate(METRICS)}}
 def parse_raw(df: DataFrame, value_col: str = "value") -> DataFrame:
     """B1: one ``from_json`` of the whole event (not one extract per field);
     unused fields are pruned by the declared schema."""
-    return df.withColumn("_e", F.from_json(F.col(value_col), RAW_EVENT_DDL))
+    return df.withColumn("_e", once(F.from_json(F.col(value_col), RAW_EVENT_DDL)))
 
 
 def _zipped(df: DataFrame, value_col: str, keep: list[str]) -> DataFrame:

@@ -82,20 +82,20 @@ def day_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     Columns: event_id, value (JSON)."""
     ev = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
     c = _cities_keyed(spark, sf_dir).select("city_key", "id", "name", "country")
-    j = ev.join(c, ev["user_id"] == c["city_key"])
-    hours = F.sequence(F.lit(0), F.lit(23))
+    # An event becomes a hundred times its size in JSON: the rows are spread over all
+    # cores first, however few files or partitions they come from.
+    j = _spread(ev.join(c, ev["user_id"] == c["city_key"]), "event_id", "ts")
     day = F.date_format(F.col("ts"), "yyyy-MM-dd")
     error = F.col("event_type") == "error"
-    none = F.lit(None).cast("double")
 
     def values(at):
-        return F.transform(hours, lambda h: F.when(~error, at(h)).otherwise(none))
+        return F.array(*[F.when(~error, at(h)).cast("double") for h in range(24)])
 
     hourly_arrays = F.struct(
-        F.transform(hours, lambda h: F.format_string("%sT%02d:00", day, h)).alias("time"),
-        values(lambda h: F.when(h % 5 != 0, F.col("value") + h)).alias("temperature_2m"),
-        values(lambda h: (F.col("event_id") % 100 + h).cast("double")).alias("relative_humidity_2m"),
-        values(lambda h: F.when(h != 23, F.col("value") / 10)).alias("wind_speed_10m"),
+        F.array(*[F.concat(F.coalesce(day, F.lit("null")), F.lit(f"T{h:02d}:00")) for h in range(24)]).alias("time"),
+        values(lambda h: F.col("value") + h if h % 5 else F.lit(None)).alias("temperature_2m"),
+        values(lambda h: F.col("event_id") % 100 + h).alias("relative_humidity_2m"),
+        values(lambda h: F.col("value") / 10 if h != 23 else F.lit(None)).alias("wind_speed_10m"),
     )
     k = F.col("event_id") % 3
     now = F.when(~error & (k < 2), F.struct(
@@ -105,10 +105,20 @@ def day_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("event_id") % 97 == 0, F.lit("")).otherwise(F.col("id")).alias("city_id"),
         F.col("name").alias("city_name"), "country",
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("ingested_at"))
-    raw = F.struct(hourly_arrays.alias("hourly"), now.alias("current"))
-    return j.select("event_id", F.to_json(F.struct(
-        meta.alias("_meta"), F.lit("open-meteo").alias("source"), now.alias("current"),
-        hourly_arrays.alias("hourly"), raw.alias("raw"))).alias("value"))
+    # A projection of its own: the arrays are made once, though the event holds them twice.
+    parts = j.select("event_id", meta.alias("_meta"), now.alias("current"), hourly_arrays.alias("hourly"))
+    raw = F.struct("hourly", "current")
+    return parts.select("event_id", F.to_json(F.struct(
+        "_meta", F.lit("open-meteo").alias("source"), "current", "hourly", raw.alias("raw"))).alias("value"))
+
+
+#: Tasks per core of a step that does much work per row.
+_TASKS = 4
+
+
+def _spread(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` in a fixed number of partitions, which AQE does not merge by their few bytes."""
+    return df.repartition(_TASKS * df.sparkSession.sparkContext.defaultParallelism, *keys)
 
 
 def city_events(spark: SparkSession, sf_dir: str) -> DataFrame:

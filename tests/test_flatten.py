@@ -112,3 +112,20 @@ def test_observed_counters(spark):
     out = flatten.flatten(_df(spark, [raw_event(), raw_event(drop=("time",)), "nope"]), observe=obs)
     assert out.count() == 2
     assert obs.get == {"events": 3, "dropped_events": 2, "hourly_rows": 2}
+
+
+def test_filters_do_not_parse_the_event_again(spark):
+    """One from_json per event, below what filters on its fields and the generated rows."""
+    from stratus.operators import current
+
+    df = spark.createDataFrame([("{}",)], "value string")
+    for out in (flatten.flatten(df).where("city_id <> ''"), current.current_flat(df)):
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_json(") == 1
+
+
+def test_day_events_are_spread_over_all_cores(spark):
+    from stratus.plans import views
+
+    spread = views._spread(spark.range(10).coalesce(1), "id")
+    assert spread.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
