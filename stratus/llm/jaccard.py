@@ -45,7 +45,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratus.llm import graph
-from stratus.llm.scratch import MAX_BROADCAST, Scratch, bounded_broadcast
+from stratus.llm.scratch import MAX_BROADCAST, Scratch, bounded_batches, bounded_broadcast
 from stratus.llm.words import doc_words, mix, shingles
 
 #: Similarity as a fraction: 100 * intersection >= 75 * union.
@@ -313,6 +313,7 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id",
 
     ``docs`` is read several times, so it should be a stored table.
     """
+    bounded_batches(docs.sparkSession)
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     known = base.where("doc_id IS NOT NULL AND text IS NOT NULL")
 

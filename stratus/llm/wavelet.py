@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratus.llm.scratch import Scratch
+from stratus.llm.scratch import Scratch, bounded_batches
 from stratus.llm.words import is_space, mix, powers, text_buffers
 
 #: Bytes of text in a shard, about; a longer document is a shard of its own.
@@ -305,19 +305,28 @@ class Encoder:
                 for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _forget(self) -> None:
-        """No piece is known: number of each hash, their ids one after the other, and
-        where each piece's end."""
-        self.index: dict[int, int] = {}
+        """No piece is known: their hashes in order and the number of each, their ids one
+        after the other, and where each piece's end.  Arrays, as a worker keeps them."""
+        self.hashes, self.numbers = np.empty(0, np.uint64), np.empty(0, np.int32)
         self.flat, self.ends = array("I"), array("q", [0])
 
-    def _learn(self, hashes: list[int], pieces: list[str], kinds: list[int]) -> None:
+    def _number(self, hashes: np.ndarray) -> np.ndarray:
+        """Numbers of the pieces; -1 where one is not known."""
+        if not len(self.hashes):
+            return np.full(len(hashes), -1, np.int64)
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        return np.where(self.hashes[at] == hashes, self.numbers[at].astype(np.int64), -1)
+
+    def _learn(self, hashes: np.ndarray, pieces: list[str], kinds: list[int]) -> None:
         whole = iter(self._plain([p for p, k in zip(pieces, kinds) if k == _OTHER]))
         tokenize, alphabet = self.model.tokenize, self.alphabet
         found = [next(whole).tolist() if k == _OTHER else
                  [t.id for t in tokenize(p if p.isascii() else p.translate(alphabet))]
                  for p, k in zip(pieces, kinds)]
         n = len(self.ends) - 1
-        self.index.update(zip(hashes, range(n, n + len(found))))
+        at = np.searchsorted(self.hashes, hashes)
+        self.hashes = np.insert(self.hashes, at, hashes)
+        self.numbers = np.insert(self.numbers, at, np.arange(n, n + len(found)))
         self.ends.extend((len(self.flat) + np.cumsum([len(x) for x in found])).tolist())
         self.flat.extend(chain.from_iterable(found))
 
@@ -325,15 +334,13 @@ class Encoder:
         """(ids, ids per row) of texts laid end to end."""
         start, end, kind, h, text = cut(data, rows, self.simple)
         distinct, at, back = np.unique(h, return_index=True, return_inverse=True)
-        keys = distinct.tolist()
-        if len(self.index) > REMEMBERED:
+        if len(self.hashes) > REMEMBERED:
             self._forget()
-        get = self.index.get
-        known = np.array([get(x, -1) for x in keys], np.int64)
+        known = self._number(distinct)
         new = np.flatnonzero(known < 0)
         if len(new):
             raw, where, n = text.tobytes(), at[new], len(self.ends) - 1
-            self._learn(distinct[new].tolist(),
+            self._learn(distinct[new],
                         [raw[a:b].decode() for a, b in zip(start[where].tolist(), end[where].tolist())],
                         kind[where].tolist())
             known[new] = np.arange(n, n + len(new))
@@ -441,6 +448,7 @@ def write_shards(docs: DataFrame, scratch: Scratch, path: str, end_id: int, name
     repeated id may go on in the next shard); each partition is one shard, one
     task and one file.
     """
+    bounded_batches(docs.sparkSession)
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
     size = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     order = [F.col("doc_id"), F.xxhash64("text")]
