@@ -7,14 +7,17 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from stratus.llm import decontaminate
 from stratus.llm.words import doc_words
 
 
-def test_the_fit_reads_every_document(spark, scratch, monkeypatch):
-    n = 10_700
-    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.format_string("x%d of y%d", "id", "id").alias("text"))
-    bench = spark.createDataFrame([(1, "x5 of y5 and no more")], "item_id long, text string")
+N = 10_700
+
+
+@pytest.fixture()
+def fitted_on(spark, monkeypatch):
+    """The passages that each fit reads."""
     seen, fit = [], decontaminate.latent_basis
 
     def watched(pieces, weight, **kw):
@@ -23,8 +26,27 @@ def test_the_fit_reads_every_document(spark, scratch, monkeypatch):
         return fit(pieces, weight, **kw)
 
     monkeypatch.setattr(decontaminate, "latent_basis", watched)
-    decontaminate.leaks(docs, bench, scratch)
-    assert seen == [n]  # a passage each
+    return seen
+
+
+def many_docs(spark):
+    """Texts of one passage each."""
+    return spark.range(N).select(F.col("id").alias("doc_id"), F.format_string("x%d of y%d", "id", "id").alias("text"))
+
+
+def items(spark):
+    return spark.createDataFrame([(1, "x5 of y5 and no more")], "item_id long, text string")
+
+
+def test_the_fit_reads_every_document(spark, scratch, fitted_on):
+    decontaminate.leaks(many_docs(spark), items(spark), scratch)
+    assert fitted_on == [N]
+
+
+def test_the_pipelines_stage_fits_on_every_document(spark, tmp_path, fitted_on):
+    items(spark).write.parquet(f"{tmp_path}/benchmark.parquet")
+    kept = corpus_pipeline.drop_benchmark_leaks(spark, many_docs(spark), str(tmp_path))
+    assert fitted_on == [N] and kept.columns == ["doc_id", "text"]
 
 
 def test_basis_is_the_singular_vectors_of_all_passages(spark, docs, scratch):
